@@ -1,0 +1,230 @@
+"""Type-2 slowly changing dimension: what a load does to each key, and the rows that follow from it.
+
+Source and active target rows meet in one full outer join on the key, which gives every key one
+action. Closed history takes no part in it: it is passed on without a shuffle, apart from the few
+rows an output row may replace.
+
+==========  =======================================  =====================  ====================
+action      key                                      delta                  full
+==========  =======================================  =====================  ====================
+insert      only in the source                       new row                new row
+same        in both, equal                           kept                   kept
+version     in both, different                       closed and new row     closed and new row
+inplace     in both, different, began on the run     new values, old start  new values, old start
+missing     only in the target                       kept                   closed
+blank       has no values, ``close_blank`` set       closed                 closed
+==========  =======================================  =====================  ====================
+
+Closing on the day a row began gives it an end date one day before its start.
+"""
+
+from __future__ import annotations
+
+import datetime
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from feedkit.functions.names import column
+from feedkit.operators.dimension import Load
+
+# Which of the two joined rows an output row is made from, and how.
+KEEP, CLOSE, NEW = 0, 1, 2
+
+_IN_SOURCE, _IN_TARGET, _OUT = "__in_source", "__in_target", "__out"
+
+
+def scd2(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    start_col: str,
+    end_col: str,
+    flag_col: str,
+    refresh_type: str = "delta",
+    run_date: str | datetime.date | None = None,
+    active_end_date: str | datetime.date | None = "9999-12-31",
+    close_blank: bool = False,
+) -> DataFrame:
+    """The whole dimension after loading ``source`` into ``target``.
+
+    Expects input that passes :func:`feedkit.operators.quality.report`.
+    """
+    load = Load.of(keys, start_col, end_col, flag_col, refresh_type, run_date, active_end_date)
+    return next_snapshot(source, target, load, close_blank)
+
+
+# ---------------------------------------------------------------- single steps
+
+
+def active(target: DataFrame, load: Load) -> DataFrame:
+    """Target rows that are valid now."""
+    return target.where(load.is_active(target))
+
+
+def blank_rows(target: DataFrame, load: Load) -> DataFrame:
+    """Active rows in which every column but the key and the validity is null."""
+    return active(target, load).where(_is_blank(_values(target, load)))
+
+
+def changed(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
+    """Source rows whose key is active in the target with other values."""
+    load, source, rows = _sides(source, target, load)
+    return source.join(rows, _same_key(load) & ~_same_values(target, load), "left_semi")
+
+
+def new_rows(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
+    """Source rows whose key is not active in the target."""
+    load, source, rows = _sides(source, target, load)
+    return source.join(rows, _same_key(load), "left_anti")
+
+
+def to_close(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
+    """Active target rows with other values in the source that did not begin on the run date."""
+    load, source, rows = _sides(source, target, load)
+    earlier = load.start_or_first_day(column(load.start, "t")) != load.run()
+    return rows.join(source, _same_key(load) & ~_same_values(target, load) & earlier, "left_semi")
+
+
+def missing(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
+    """Active target rows whose key the source no longer has."""
+    load, source, rows = _sides(source, target, load)
+    return rows.join(source, _same_key(load), "left_anti")
+
+
+def closed(rows: DataFrame, load: Load) -> DataFrame:
+    """Target rows ended on the day before the run."""
+    return rows.withColumns({load.end: load.day_before(), load.flag: F.lit("N")})
+
+
+def opened(rows: DataFrame, target: DataFrame, load: Load) -> DataFrame:
+    """Source rows as versions that begin on the run date, in the target's layout."""
+    load, aligned = load.resolved(rows, target)
+    validity = {load.start: load.run(), load.end: load.active_end(), load.flag: F.lit("Y")}
+    return aligned.withColumns(validity).select(*[column(c) for c in target.columns])
+
+
+# ---------------------------------------------------------------- the load
+
+
+def classify(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+    """Every key of the source and the active target, with its action."""
+    load, joined = _joined(source, target, load, close_blank)
+    key = [F.coalesce(column(k, "s"), column(k, "t")).alias(k) for k in load.keys]
+    return joined.select(*key, "action")
+
+
+def stats(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+    """Number of keys per action."""
+    _, joined = _joined(source, target, load, close_blank)
+    return joined.groupBy("action").agg(F.count("*").alias("n"))
+
+
+def change_set(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+    """Rows to merge into the target: new versions and closed rows, without the rows that stay."""
+    return _outputs(source, target, load, close_blank).where(F.col(_OUT) != KEEP).drop(_OUT, "action")
+
+
+def current_rows(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+    """Active target rows after the load plus those it closed; with ``action`` telling why each is there."""
+    return _outputs(source, target, load, close_blank).drop(_OUT)
+
+
+def next_snapshot(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+    """Target rows after the load, history included."""
+    load, _ = load.resolved(source, target)
+    outputs = current_rows(source, target, load, close_blank).drop("action")
+    history = target.where(~load.is_active(target))
+    began_today = F.coalesce(column(load.start) == load.run(), F.lit(False))
+    reopened = without_replaced(history.where(began_today), outputs, load)
+    return outputs.unionByName(history.where(~began_today)).unionByName(reopened)
+
+
+def without_replaced(history: DataFrame, outputs: DataFrame, load: Load) -> DataFrame:
+    """History rows, less those an output row replaces: same key and start.
+
+    A key opened, closed and opened again on one run date has such a row. An anti join leaves it to
+    Spark to split a key that fills much of the history.
+    """
+    replaces = outputs.select(*[column(k) for k in load.keys], column(load.start)).alias("o")
+    same_start = load.start_or_first_day(column(load.start, "h")) == load.start_or_first_day(column(load.start, "o"))
+    same_key = reduce(and_, [column(k, "h") == column(k, "o") for k in load.keys])
+    return history.alias("h").join(replaces, same_key & same_start, "left_anti")
+
+
+# ---------------------------------------------------------------- parts
+
+
+def _sides(source: DataFrame, target: DataFrame, load: Load) -> tuple[Load, DataFrame, DataFrame]:
+    load, aligned = load.resolved(source, target)
+    return load, aligned.alias("s"), active(target, load).alias("t")
+
+
+def _values(target: DataFrame, load: Load) -> list[str]:
+    keys = {k.lower() for k in load.keys}
+    return [c for c in load.shared(target.columns) if c.lower() not in keys]
+
+
+def _same_key(load: Load) -> Column:
+    return reduce(and_, [column(k, "s") == column(k, "t") for k in load.keys])
+
+
+def _same_values(target: DataFrame, load: Load) -> Column:
+    """Exact and null-safe, which a hash of the joined texts is not."""
+    same = [column(c, "s").eqNullSafe(column(c, "t")) for c in _values(target, load)]
+    return reduce(and_, same, F.lit(True))
+
+
+def _is_blank(values: Sequence[str], side: str | None = None) -> Column:
+    if not values:
+        return F.lit(False)
+    return reduce(and_, [column(c, side).isNull() for c in values])
+
+
+def _joined(source: DataFrame, target: DataFrame, load: Load, close_blank: bool) -> tuple[Load, DataFrame]:
+    load, aligned = load.resolved(source, target)
+    left = aligned.withColumn(_IN_SOURCE, F.lit(True)).alias("s")
+    right = active(target, load).withColumn(_IN_TARGET, F.lit(True)).alias("t")
+    same = _same_values(target, load)
+    began_today = load.start_or_first_day(column(load.start, "t")) == load.run()
+    action = F.when(F.col(_IN_TARGET).isNull(), "insert")
+    if close_blank:
+        unchanged = F.col(_IN_SOURCE).isNull() | same
+        action = action.when(_is_blank(_values(target, load), "t") & unchanged, "blank")
+    action = (
+        action.when(F.col(_IN_SOURCE).isNull(), "missing")
+        .when(same, "same")
+        .when(began_today, "inplace")
+        .otherwise("version")
+    )
+    return load, left.join(right, _same_key(load), "full_outer").withColumn("action", action)
+
+
+def _outputs(source: DataFrame, target: DataFrame, load: Load, close_blank: bool) -> DataFrame:
+    load, joined = _joined(source, target, load, close_blank)
+
+    def emit(*codes: int) -> Column:
+        return F.array(*[F.lit(c) for c in codes])
+
+    action = F.col("action")
+    codes = (
+        F.when(action.isin("insert", "inplace"), emit(NEW))
+        .when(action == "version", emit(CLOSE, NEW))
+        .when(action == "blank", emit(CLOSE))
+        .when(action == "missing", emit(CLOSE if load.refresh_type == "full" else KEEP))
+        .otherwise(emit(KEEP))
+    )
+    rows = joined.withColumn(_OUT, F.explode(codes))
+    out = F.col(_OUT)
+    values = {c: F.when(out == NEW, column(c, "s")).otherwise(column(c, "t")) for c in load.shared(target.columns)}
+    values[load.start] = F.when(out == NEW, load.run()).otherwise(column(load.start, "t"))
+    values[load.end] = (
+        F.when(out == NEW, load.active_end())
+        .when(out == CLOSE, load.day_before())
+        .otherwise(column(load.end, "t"))
+    )
+    values[load.flag] = F.when(out == NEW, "Y").when(out == CLOSE, "N").otherwise(column(load.flag, "t"))
+    return rows.select(*[values[c].alias(c) for c in target.columns], "action", _OUT)
