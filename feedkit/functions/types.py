@@ -32,7 +32,8 @@ DATE_DIALECTS = ("warehouse", "spark")
 ERROR_MODES = ("raise", "null")
 
 _TYPE = re.compile(r"\s*([A-Za-z_]+)\s*(?:\(\s*(\d+)\s*\))?\s*")
-_TO_DATE = re.compile(r"(\bto_date\s*\(.*?,\s*')([dmy/., -]+)('\s*\))", re.IGNORECASE | re.DOTALL)
+_TO_DATE = re.compile(r"\bto_date\s*\(", re.IGNORECASE)
+_DATE_PATTERN = re.compile(r"(,\s*')(?=[^']*mm)(?=[^']*yy)([dmy/., -]+)('\s*\))", re.IGNORECASE)
 _TO_DATE_OR_TIMESTAMP = re.compile(r"\b(to_date|to_timestamp)(?=\s*\()", re.IGNORECASE)
 _CURRENT_DATE = re.compile(r"\bcurrent_date\b(\s*\(\s*\))?", re.IGNORECASE)
 
@@ -73,14 +74,14 @@ def sql_expression(
 ) -> Column:
     """SQL text of a mapping file as a column.
 
-    ``date_dialect='warehouse'`` reads ``mm`` in a date-only pattern of ``to_date`` as the month; Spark
-    itself reads it as the minute and silently returns January. ``run_date`` stands in for
-    ``current_date()`` so that a load can be repeated.
+    ``date_dialect='warehouse'`` reads ``mm`` in the date-only patterns of a text with ``to_date`` as the
+    month; Spark itself reads it as the minute and silently returns January. ``run_date`` stands in
+    for ``current_date()`` so that a load can be repeated.
     """
     one_of(date_dialect, DATE_DIALECTS, "date_dialect")
     one_of(on_error, ERROR_MODES, "on_error")
-    if date_dialect == "warehouse":
-        text = _TO_DATE.sub(lambda m: m[1] + m[2].lower().replace("m", "M") + m[3], text)
+    if date_dialect == "warehouse" and _TO_DATE.search(text):
+        text = _DATE_PATTERN.sub(lambda m: m[1] + m[2].lower().replace("m", "M") + m[3], text)
     if on_error == "null":
         text = _TO_DATE_OR_TIMESTAMP.sub(r"try_\1", text)
     if run_date is not None:

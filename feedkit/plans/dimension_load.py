@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from feedkit.functions.names import column
 from feedkit.operators.dimension import Load
 from feedkit.operators.quality import MAX_KEYS, report
-from feedkit.operators.scd2 import current_rows, next_snapshot, stats, without_replaced
+from feedkit.operators.type2 import current_rows, next_snapshot, stats, without_replaced
 from feedkit.workdir import written
 
 ACTIONS = ("insert", "same", "version", "inplace", "missing", "blank")

@@ -3,9 +3,10 @@ import datetime
 import pytest
 from pyspark.errors import PySparkException
 
-from feedkit.operators import quality, scd2 as steps
+from feedkit.operators import quality
+from feedkit.operators import type2 as steps
 from feedkit.operators.dimension import Load
-from feedkit.operators.scd2 import scd2
+from feedkit.operators.type2 import scd2
 from feedkit.plans import LoadRejected, create_snapshot, load_dimension
 from feedkit.sinks import create_table
 
