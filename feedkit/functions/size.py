@@ -1,0 +1,36 @@
+"""Measured size of a frame, for the choice of a join form."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from feedkit.functions.names import column
+
+# A fixed-length value and the overhead of any value, in bytes; generous on purpose.
+VALUE_BYTES = 16
+_SIZE = re.compile(r"(-?\d+)\s*([kmgt]?)b?", re.IGNORECASE)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Upper estimate of the bytes the rows take in memory: their texts' lengths, counted, and a fixed part."""
+    size = F.lit(VALUE_BYTES * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(column(field.name)), F.lit(0))
+        elif not isinstance(field.dataType, T.AtomicType):
+            raise ValueError(f"column {field.name} has no simple type")
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    number, unit = _SIZE.fullmatch(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit.lower() or " ")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    return measured_bytes(df) <= broadcast_limit(df)

@@ -2,7 +2,8 @@
 
 Source and active target rows meet in one full outer join on the key, which gives every key one
 action. Closed history takes no part in it: it is passed on without a shuffle, apart from the few
-rows an output row may replace.
+rows an output row may replace. For a source small enough for a broadcast there is another form,
+``small_source``, in which the target is not shuffled either.
 
 ==========  =======================================  =====================  ====================
 action      key                                      delta                  full
@@ -34,7 +35,7 @@ from feedkit.operators.dimension import Load
 # Which of the two joined rows an output row is made from, and how.
 KEEP, CLOSE, NEW = 0, 1, 2
 
-_IN_SOURCE, _IN_TARGET, _OUT = "__in_source", "__in_target", "__out"
+_PRESENT, _OUT = "__present", "__out"
 
 
 def scd2(
@@ -48,13 +49,15 @@ def scd2(
     run_date: str | datetime.date | None = None,
     active_end_date: str | datetime.date | None = "9999-12-31",
     close_blank: bool = False,
+    small_source: bool = False,
+    same_day: bool | None = None,
 ) -> DataFrame:
     """The whole dimension after loading ``source`` into ``target``.
 
-    Expects input that passes :func:`feedkit.operators.quality.report`.
+    Expects input that passes :func:`feedkit.operators.quality.report`. See :func:`next_snapshot`.
     """
     load = Load.of(keys, start_col, end_col, flag_col, refresh_type, run_date, active_end_date)
-    return next_snapshot(source, target, load, close_blank)
+    return next_snapshot(source, target, load, close_blank, small_source, same_day)
 
 
 # ---------------------------------------------------------------- single steps
@@ -110,35 +113,60 @@ def opened(rows: DataFrame, target: DataFrame, load: Load) -> DataFrame:
 # ---------------------------------------------------------------- the load
 
 
-def classify(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+def classify(
+    source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False, small_source: bool = False
+) -> DataFrame:
     """Every key of the source and the active target, with its action."""
-    load, joined = _joined(source, target, load, close_blank)
+    load, joined = _joined(source, target, load, close_blank, small_source)
     key = [F.coalesce(column(k, "s"), column(k, "t")).alias(k) for k in load.keys]
     return joined.select(*key, "action")
 
 
-def stats(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+def stats(
+    source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False, small_source: bool = False
+) -> DataFrame:
     """Number of keys per action."""
-    _, joined = _joined(source, target, load, close_blank)
+    _, joined = _joined(source, target, load, close_blank, small_source)
     return joined.groupBy("action").agg(F.count("*").alias("n"))
 
 
-def change_set(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+def change_set(
+    source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False, small_source: bool = False
+) -> DataFrame:
     """Rows to merge into the target: new versions and closed rows, without the rows that stay."""
-    return _outputs(source, target, load, close_blank).where(F.col(_OUT) != KEEP).drop(_OUT, "action")
+    outputs = _outputs(source, target, load, close_blank, small_source)
+    return outputs.where(F.col(_OUT) != KEEP).drop(_OUT, "action")
 
 
-def current_rows(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
+def current_rows(
+    source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False, small_source: bool = False
+) -> DataFrame:
     """Active target rows after the load plus those it closed; with ``action`` telling why each is there."""
-    return _outputs(source, target, load, close_blank).drop(_OUT)
+    return _outputs(source, target, load, close_blank, small_source).drop(_OUT)
 
 
-def next_snapshot(source: DataFrame, target: DataFrame, load: Load, close_blank: bool = False) -> DataFrame:
-    """Target rows after the load, history included."""
+def next_snapshot(
+    source: DataFrame,
+    target: DataFrame,
+    load: Load,
+    close_blank: bool = False,
+    small_source: bool = False,
+    same_day: bool | None = None,
+) -> DataFrame:
+    """Target rows after the load, history included.
+
+    ``same_day`` says whether history may hold rows that began on the run date, which only an earlier
+    load of that day leaves behind. They cost a second join. Left open, the target's dates are looked
+    at first, in a job of its own.
+    """
     load, _ = load.resolved(source, target)
-    outputs = current_rows(source, target, load, close_blank).drop("action")
+    outputs = current_rows(source, target, load, close_blank, small_source).drop("action")
     history = target.where(~load.is_active(target))
     began_today = F.coalesce(column(load.start) == load.run(), F.lit(False))
+    if same_day is None:
+        same_day = not history.where(began_today).select(F.lit(1)).isEmpty()
+    if not same_day:
+        return outputs.unionByName(history)
     reopened = without_replaced(history.where(began_today), outputs, load)
     return outputs.unionByName(history.where(~began_today)).unionByName(reopened)
 
@@ -184,27 +212,48 @@ def _is_blank(values: Sequence[str], side: str | None = None) -> Column:
     return reduce(and_, [column(c, side).isNull() for c in values])
 
 
-def _joined(source: DataFrame, target: DataFrame, load: Load, close_blank: bool) -> tuple[Load, DataFrame]:
+def _joined(
+    source: DataFrame, target: DataFrame, load: Load, close_blank: bool, small_source: bool
+) -> tuple[Load, DataFrame]:
+    """Source and active target rows by key, as ``s`` and ``t``, and the key's action."""
     load, aligned = load.resolved(source, target)
-    left = aligned.withColumn(_IN_SOURCE, F.lit(True)).alias("s")
-    right = active(target, load).withColumn(_IN_TARGET, F.lit(True)).alias("t")
+    left = aligned.withColumn(_PRESENT, F.lit(True)).alias("s")
+    right = active(target, load).withColumn(_PRESENT, F.lit(True)).alias("t")
+    if small_source:
+        joined = _joined_to_small(left, right, load)
+    else:
+        joined = left.join(right, _same_key(load), "full_outer")
+    in_source, in_target = column(_PRESENT, "s").isNotNull(), column(_PRESENT, "t").isNotNull()
     same = _same_values(target, load)
     began_today = load.start_or_first_day(column(load.start, "t")) == load.run()
-    action = F.when(F.col(_IN_TARGET).isNull(), "insert")
+    action = F.when(~in_target, "insert")
     if close_blank:
-        unchanged = F.col(_IN_SOURCE).isNull() | same
-        action = action.when(_is_blank(_values(target, load), "t") & unchanged, "blank")
+        action = action.when(_is_blank(_values(target, load), "t") & (~in_source | same), "blank")
     action = (
-        action.when(F.col(_IN_SOURCE).isNull(), "missing")
-        .when(same, "same")
-        .when(began_today, "inplace")
-        .otherwise("version")
+        action.when(~in_source, "missing").when(same, "same").when(began_today, "inplace").otherwise("version")
+    )
+    return load, joined.withColumn("action", action)
+
+
+def _joined_to_small(left: DataFrame, right: DataFrame, load: Load) -> DataFrame:
+    """The full outer join in two parts, in each of which Spark can broadcast the source.
+
+    There is no hint: whether it does is up to Spark's size limit. Target rows keep their place; only
+    the keys found in both, at most as many as the source has, are moved.
+    """
+    found = right.join(left, _same_key(load), "left_semi").select(*[column(k, "t").alias(k) for k in load.keys])
+    only_source = left.join(found.alias("t"), _same_key(load), "left_anti")
+    from_target = right.join(left, _same_key(load), "left_outer").select(
+        F.struct("s.*").alias("s"), F.struct("t.*").alias("t")
     )
-    return load, left.join(right, _same_key(load), "full_outer").withColumn("action", action)
+    absent = F.lit(None).cast(from_target.schema["t"].dataType)
+    return from_target.unionByName(only_source.select(F.struct("s.*").alias("s"), absent.alias("t")))
 
 
-def _outputs(source: DataFrame, target: DataFrame, load: Load, close_blank: bool) -> DataFrame:
-    load, joined = _joined(source, target, load, close_blank)
+def _outputs(
+    source: DataFrame, target: DataFrame, load: Load, close_blank: bool, small_source: bool
+) -> DataFrame:
+    load, joined = _joined(source, target, load, close_blank, small_source)
 
     def emit(*codes: int) -> Column:
         return F.array(*[F.lit(c) for c in codes])

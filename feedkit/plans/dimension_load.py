@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.functions.names import column
+from feedkit.functions.size import fits_broadcast
 from feedkit.operators.dimension import Load
-from feedkit.operators.quality import MAX_KEYS, report
+from feedkit.operators.quality import MAX_KEYS, data_checks, structure_checks
 from feedkit.operators.type2 import current_rows, next_snapshot, stats, without_replaced
 from feedkit.workdir import written
 
@@ -55,15 +56,16 @@ def load_dimension(
 ) -> LoadResult:
     """Load ``source`` into the dimension ``table`` and say how many keys took which action.
 
-    A load that was cut short is completed by running it again with the same source and run date.
+    The source is read once and kept in the shared folder for the checks and the load. A load that
+    was cut short is completed by running it again with the same source and run date.
     """
     spark = source.sparkSession
     load = Load.of(keys, start_col, end_col, flag_col, refresh_type, run_date, active_end_date)
     target = spark.table(table)
-    failed = [r["message"] for r in report(source, target, load, max_keys).where("NOT passed").collect()]
-    if failed:
-        raise LoadRejected("; ".join(failed))
-    load, _ = load.resolved(source, target)
+    _reject(structure_checks(source.columns, target.columns, load, max_keys))
+    load, source = load.resolved(source, target)
+    source = written(source, "source")
+    _reject(data_checks(source, target, load).collect())
     if spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Type' AND data_type = 'VIEW'").take(1):
         counts = _switch_snapshot(source, target, table, load, close_blank)
     elif _partition_columns(spark, table) == [load.end]:
@@ -73,6 +75,12 @@ def load_dimension(
     return LoadResult(load.run_date, {a: counts.get(a, 0) for a in ACTIONS})
 
 
+def _reject(checks: Iterable[tuple[str, bool, str]]) -> None:
+    failed = [message for _, passed, message in checks if not passed]
+    if failed:
+        raise LoadRejected("; ".join(failed))
+
+
 def create_snapshot(rows: DataFrame, view: str) -> None:
     """Write ``rows`` as a new table and let ``view`` show it. Earlier snapshots stay until dropped."""
     snapshot = f"{view}__{uuid.uuid4().hex}"
@@ -83,8 +91,9 @@ def create_snapshot(rows: DataFrame, view: str) -> None:
 def _switch_snapshot(
     source: DataFrame, target: DataFrame, view: str, load: Load, close_blank: bool
 ) -> dict[str, int]:
-    counts = {r["action"]: r["n"] for r in stats(source, target, load, close_blank).collect()}
-    create_snapshot(next_snapshot(source, target, load, close_blank), view)
+    small = fits_broadcast(source)
+    counts = {r["action"]: r["n"] for r in stats(source, target, load, close_blank, small).collect()}
+    create_snapshot(next_snapshot(source, target, load, close_blank, small), view)
     return counts
 
 
@@ -100,7 +109,7 @@ def _write_partitions(
     ends = {r[0] for r in target.where(affected).select(end).distinct().collect()}
     history_ends = sorted(e for e in ends if e is not None and e != load.active_end_date)
 
-    outputs = current_rows(source, target, load, close_blank)
+    outputs = current_rows(source, target, load, close_blank, fits_broadcast(source))
     history = None
     if history_ends:
         # Used twice below, so it is computed once and kept where lost executors cannot take it.

@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.errors import PySparkException
 
+from feedkit.functions.size import broadcast_limit, measured_bytes
 from feedkit.operators import quality
 from feedkit.operators import type2 as steps
 from feedkit.operators.dimension import Load
@@ -66,9 +67,18 @@ def test_first_load(spark, rows):
     assert rows(result) == [(*f, d(RUN), OPEN, "Y") for f in FEED]
 
 
+@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("refresh", ["delta", "full", " FULL "])
-def test_change(source, target, rows, refresh):
-    assert rows(scd2(source, target, refresh_type=refresh, **CALL)) == AFTER[refresh.strip().lower()]
+def test_change(source, target, rows, refresh, small):
+    result = scd2(source, target, refresh_type=refresh, small_source=small, **CALL)
+    assert rows(result) == AFTER[refresh.strip().lower()]
+
+
+def test_small_source_takes_the_same_actions(source, target, rows):
+    load = Load.of(**CALL)
+    for blank in (False, True):
+        expected = rows(steps.classify(source, target, load, blank))
+        assert rows(steps.classify(source, target, load, blank, small_source=True)) == expected
 
 
 @pytest.mark.parametrize("refresh", ["delta", "full"])
@@ -183,6 +193,16 @@ def test_one_join_and_no_shuffle_of_history(spark, source, target, tmp_path):
     assert plan.count("Join") == 1 and plan.count("Exchange") == 2
 
 
+def test_small_source_leaves_the_target_in_place(spark, source, target, tmp_path):
+    source.write.parquet(str(tmp_path / "s"))
+    target.write.parquet(str(tmp_path / "t"))
+    stored_source, stored_target = spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "t"))
+    outputs = steps.current_rows(stored_source, stored_target, Load.of(**CALL), small_source=True)
+    plan = outputs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert all("hashpartitioning" not in line for line in plan.splitlines())
+
+
 def test_unknown_refresh_type_is_refused(source, target):
     with pytest.raises(ValueError, match="neither delta nor full"):
         scd2(source, target, refresh_type="partial", **CALL)
@@ -319,6 +339,31 @@ def test_load_that_closes_everything(spark, source, table, rows):
     assert rows(spark.table(table).where("active_flag = 'Y'"), "store_id") == [("A0001",)]
 
 
+def test_load_with_open_intervals(spark, source, target, rows):
+    create_table(spark, "dim_open", COLUMNS, replace=True, partitioned_by=["end_date"])
+    opened = target.selectExpr("store_id", "location", "value", "start_date",
+                               "nullif(end_date, DATE'9999-12-31') AS end_date", "active_flag")
+    opened.select(*COLUMNS).write.insertInto("dim_open")
+    call = {**CALL, "refresh_type": "full", "active_end_date": None}
+    load_dimension(source, "dim_open", **call)
+    expected = sorted([(*r[:4], None if r[4] == OPEN else r[4], r[5]) for r in AFTER["full"]], key=repr)
+    assert rows(spark.table("dim_open"), *ORDER) == expected
+    load_dimension(source.limit(0), "dim_open", **call)
+    assert spark.table("dim_open").where("end_date IS NULL").count() == 0
+    assert spark.table("dim_open").count() == len(expected)
+
+
+def test_large_source_loads_by_shuffle(spark, source, table, rows):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = load_dimension(source, table, **CALL)
+        assert rows(spark.table(table), *ORDER) == AFTER["delta"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert result.keys == {"insert": 1, "same": 1, "version": 1, "inplace": 1, "missing": 1, "blank": 0}
+
+
 def test_load_completes_one_that_was_cut_short(spark, source, target, rows):
     """Closed rows written, active rows still as before: the state between the two partitions' commits."""
     create_table(spark, "dim_cut", COLUMNS, replace=True, partitioned_by=["end_date"])
@@ -338,6 +383,18 @@ def test_load_leaves_other_history_unread(spark, source, target):
     assert spark.sql(files).collect() == before
 
 
+def test_measured_size(spark, source):
+    assert measured_bytes(source) == sum(len(a) + len(b) + 3 * 16 for a, b, _ in SOURCE)
+    assert measured_bytes(source.limit(0)) == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, size in (("10485760b", 10 << 20), ("1g", 1 << 30), ("-1", -1), ("64KB", 64 << 10)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert broadcast_limit(source) == size
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_rejected_load_leaves_the_table(spark, source, table, rows):
     before = rows(spark.table(table))
     with pytest.raises(LoadRejected, match="more than once in the source"):
