@@ -13,7 +13,7 @@ from feedkit.functions.names import reject_duplicates
 from feedkit.functions.positions import spans
 from feedkit.functions.types import cast_as, one_of
 from feedkit.sources.config import load_json
-from feedkit.sources.options import csv_options, null_if, null_tokens
+from feedkit.sources.options import after_read, csv_options
 
 MISMATCHES = ("fail", "permit")
 
@@ -44,14 +44,15 @@ def read_feed(
         one_of(on_mismatch, MISMATCHES, "on_mismatch")
         names = [p["name"] for p in properties]
         reject_duplicates(names, "feed schema")
-        settings = {"error_on_column_count_mismatch": on_mismatch == "fail", **(file_format or {})}
-        options = csv_options({"field_delimiter": document.get("field_delimiter", ","), **settings})
+        settings = {
+            "field_delimiter": document.get("field_delimiter", ","),
+            "error_on_column_count_mismatch": on_mismatch == "fail",
+            **(file_format or {}),
+        }
+        options = csv_options(settings)
         if "header" in document:
             options["header"] = str(bool(document["header"])).lower()
-        df = spark.read.options(**options).schema(_strings(names)).csv(path)
-        tokens = null_tokens(settings)
-        if len(tokens) > 1:
-            df = null_if(df, tokens)
+        df = after_read(spark.read.options(**options).schema(_strings(names)).csv(path), settings)
     return df if partitions is None else df.repartition(partitions)
 
 
@@ -76,13 +77,9 @@ def read_positional(
     """
     if not ordinals or min(ordinals) < 1 or max(ordinals) > width:
         raise ValueError(f"ordinals are 1 to {width}")
-    settings = dict(file_format or {})
     names = [f"_c{i}" for i in range(width)]
-    df = spark.read.options(**csv_options(settings)).schema(_strings(names)).csv(path)
-    tokens = null_tokens(settings)
-    if len(tokens) > 1:
-        df = null_if(df, tokens)
-    return df.select(*[names[i - 1] for i in ordinals])
+    df = spark.read.options(**csv_options(file_format)).schema(_strings(names)).csv(path)
+    return after_read(df, file_format).select(*[names[i - 1] for i in ordinals])
 
 
 def read_fixed_width(

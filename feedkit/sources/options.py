@@ -40,20 +40,24 @@ OPTION_ALIASES = {"comperssion": "compression", "delimiter": "field_delimiter"}
 COMPRESSIONS = ("AUTO", "NONE", "GZIP", "BZ2", "DEFLATE", "SNAPPY", "ZSTD")
 
 
-def csv_options(file_format: Mapping[str, object] | None = None) -> dict[str, str]:
-    """Reader options of a file format. What Spark cannot do is refused rather than ignored."""
+def settings_of(file_format: Mapping[str, object] | None) -> dict[str, object]:
+    """The format's options under their own names, with the defaults of those not given."""
     given = {}
     for name, value in (file_format or {}).items():
         key = OPTION_ALIASES.get(name.lower(), name.lower())
         if key == "type":
             if str(value).upper() != "CSV":
                 raise ValueError(f"file format type {value} is not delimited text")
-            continue
-        if key not in FILE_FORMAT_DEFAULTS:
+        elif key in FILE_FORMAT_DEFAULTS:
+            given[key] = value
+        else:
             raise ValueError(f"unknown file format option {name}")
-        given[key] = value
-    merged = {**FILE_FORMAT_DEFAULTS, **given}
+    return {**FILE_FORMAT_DEFAULTS, **given}
+
 
+def csv_options(file_format: Mapping[str, object] | None = None) -> dict[str, str]:
+    """Reader options of a file format. What Spark cannot do is refused rather than ignored."""
+    merged = settings_of(file_format)
     options = {
         "sep": _text(merged["field_delimiter"]),
         "header": str(_header(merged["skip_header"])).lower(),
@@ -82,27 +86,40 @@ def csv_options(file_format: Mapping[str, object] | None = None) -> dict[str, st
         # Without reading every column Spark would not notice a wrong column count in count() or a
         # narrow select, so the check costs column pruning.
         options.update(mode="FAILFAST", columnPruning="false")
-    if _flag(merged["empty_field_as_null"]) == "false":
-        # An empty field is told from a null only by naming the null.
-        options.update(nullValue="\u0000", emptyValue="")
     tokens = null_tokens(merged)
-    if tokens:
+    if len(tokens) == 1 and not _keeps_empty(merged):
         options["nullValue"] = tokens[0]
     if merged["file_extension"]:
         options["pathGlobFilter"] = "*" + str(merged["file_extension"])
     return options
 
 
-def null_tokens(file_format: Mapping[str, object]) -> list[str]:
+def null_tokens(settings: Mapping[str, object]) -> list[str]:
     """The distinct texts that stand for null, in the order given."""
-    value = file_format.get("null_if") or []
+    value = settings["null_if"] or []
     values: Sequence[str] = [value] if isinstance(value, str) else list(value)
     return list(dict.fromkeys(values))
 
 
-def null_if(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
-    """Set every listed token to null; Spark's reader itself takes a single one."""
-    return df.select(*[F.when(~column(c).isin(*tokens), column(c)).alias(c) for c in df.columns])
+def after_read(df: DataFrame, file_format: Mapping[str, object] | None) -> DataFrame:
+    """What the reader cannot do by itself: more than one null token, and empty fields that stay empty."""
+    settings = settings_of(file_format)
+    tokens, keeps_empty = null_tokens(settings), _keeps_empty(settings)
+    if len(tokens) < 2 and not keeps_empty:
+        return df
+    columns = []
+    for name in df.columns:
+        value = F.coalesce(column(name), F.lit("")) if keeps_empty else column(name)
+        columns.append((F.when(~value.isin(*tokens), value) if tokens else value).alias(name))
+    return df.select(*columns)
+
+
+def _keeps_empty(settings: Mapping[str, object]) -> bool:
+    if _flag(settings["empty_field_as_null"]) == "true":
+        return False
+    if _flag(settings["error_on_column_count_mismatch"]) == "false":
+        raise ValueError("empty_field_as_null=FALSE: in rows that are too short an absent field would look empty")
+    return True
 
 
 def _upper(value: object) -> str:

@@ -1,0 +1,217 @@
+import gzip
+
+import pytest
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+
+from feedkit.sinks import create_table, load_positional
+from feedkit.sources import (
+    csv_options,
+    list_files,
+    load_json,
+    read_feed,
+    read_fixed_width,
+    read_positional,
+    read_widths,
+    read_with_header,
+)
+from feedkit.sources.feeds import parse_schema
+
+NAMES = ["LONGITUDE", "Country", "SOURCE_DATE", "SOURCE_TIMESTAMP"]
+SCHEMA = {
+    "field_delimiter": ",",
+    "header": False,
+    "isFixedWidth": False,
+    "properties": [{"name": n, "type": t} for n, t in zip(NAMES, ["FLOAT", "VARHCAR", "VARCHAR", "VARCHAR"])],
+}
+POSITIONAL = {
+    "field_delimiter": "|",
+    "header": False,
+    "isFixedWidth": True,
+    "properties": [
+        {**p, "position": at} for p, at in zip(SCHEMA["properties"], ["1,3", "5,9", "15,10", "26,19"])
+    ],
+}
+DATA = """
+1.2,INDIA    ,12/12/2023,2022/05/10 12:30:00
+2.4,AUSTRELIA,02/01/2022,2023/02/28 10:30:00
+"""
+ROWS = [
+    ("1.2", "INDIA    ", "12/12/2023", "2022/05/10 12:30:00"),
+    ("2.4", "AUSTRELIA", "02/01/2022", "2023/02/28 10:30:00"),
+]
+STORES = "Store_ID,Location,Value\r\nA0001,London,1000\r\nB0001,US,2000\r\nC0001,,2500\r\nD0001,NULL,1500\r\n"
+
+
+@pytest.fixture
+def file(tmp_path):
+    def of(text, name="input.csv"):
+        path = tmp_path / name
+        data = text.encode()
+        path.write_bytes(gzip.compress(data) if name.endswith(".gz") else data)
+        return str(path)
+
+    return of
+
+
+def test_delimited(spark, file, rows):
+    df = read_feed(spark, file(DATA), SCHEMA)
+    assert df.dtypes == [(n, "string") for n in NAMES]
+    assert rows(df) == ROWS
+
+
+def test_schema_from_a_file(spark, file, rows):
+    import json
+
+    path = file(json.dumps(SCHEMA), "schema.json")
+    assert load_json(spark, path) == SCHEMA
+    assert rows(read_feed(spark, file(DATA), path)) == ROWS
+
+
+def test_wrong_number_of_fields_fails_even_a_narrow_read(spark, file):
+    path = file("1,a,b,c\n2,a,b\n3,a,b,c,d\n")
+    for read in (lambda d: d.count(), lambda d: d.select("Country").collect()):
+        with pytest.raises((PySparkException, Py4JError)):
+            read(read_feed(spark, path, SCHEMA))
+    assert read_feed(spark, path, SCHEMA, on_mismatch="permit").collect()[1]["SOURCE_TIMESTAMP"] is None
+
+
+def test_gzip_with_header_and_null_tokens(spark, file, rows):
+    schema = {"properties": [{"name": n, "type": "VARCHAR"} for n in ("store_id", "location", "value")]}
+    settings = {"TYPE": "CSV", "SKIP_HEADER": 1, "NULL_IF": ("NULL", "2000"), "EMPTY_FIELD_AS_NULL": True,
+                "COMPRESSION": "GZIP"}
+    df = read_feed(spark, file(STORES, "stores.csv.gz"), schema, file_format=settings, partitions=3)
+    assert rows(df) == [
+        ("A0001", "London", "1000"), ("B0001", "US", None), ("C0001", None, "2500"), ("D0001", None, "1500"),
+    ]
+    assert df.rdd.getNumPartitions() == 3
+
+
+def test_header_and_inferred_types(spark, file, rows):
+    df = read_with_header(spark, file(STORES.replace(",", "|")), "|")
+    assert df.dtypes == [("Store_ID", "string"), ("Location", "string"), ("Value", "int")]
+    assert len(rows(df)) == 4
+
+
+def test_fields_by_ordinal_into_a_table(spark, file, rows):
+    df = read_positional(spark, file(STORES), [1, 3], width=3, file_format={"skip_header": 1})
+    assert df.columns == ["_c0", "_c2"]
+    create_table(spark, "staging_stores", {"store_id": "varchar(5)", "value": "integer"}, replace=True)
+    load_positional(df, "staging_stores")
+    assert rows(spark.table("staging_stores"))[0] == ("A0001", 1000)
+    with pytest.raises(ValueError, match="1 fields for the 2 columns"):
+        load_positional(df.select("_c0"), "staging_stores")
+    with pytest.raises(ValueError, match="ordinals"):
+        read_positional(spark, file(STORES), [4], width=3)
+
+
+def test_fixed_width_by_start_and_length(spark, file, rows):
+    assert rows(read_feed(spark, file(DATA), POSITIONAL)) == ROWS
+
+
+def test_fixed_width_by_start_and_end(spark, file, rows):
+    layout = [{"name": "col1", "position": "1,8"}, {"name": "col2", "position": "9,18"}]
+    path = file("1jonny1020\n2absbd2022\n3asdka4838")
+    assert rows(read_fixed_width(spark, path, layout, "start_end")) == [
+        ("1jonny10", "20"), ("2absbd20", "22"), ("3asdka48", "38"),
+    ]
+    path = file("abcdefghijklmnopqrst\n", "long.txt")
+    assert rows(read_fixed_width(spark, path, layout, "start_end"), "col2") == [("ijklmnopqr",)]
+    assert rows(read_fixed_width(spark, path, layout, "start_length"), "col2") == [("ijklmnopqrst",)]
+
+
+def test_fixed_width_keeps_any_character(spark, file, rows):
+    path = file('a|b"c,d\n\n   \nä€😀x,"\\\n')
+    layout = [{"name": "x", "position": "1,4"}, {"name": "y", "position": "5,9"}]
+    assert rows(read_fixed_width(spark, path, layout)) == [('a|b"', "c,d"), ("ä€😀x", ',"\\')]
+
+
+def test_widths(spark, file, rows):
+    path = file("col1      col2 col3      \njohn      00042     12.50\nbartholomew   7          \n", "w.txt")
+    schema = "col1 STRING(4), col2 INT, col3 DOUBLE"
+    typed = read_widths(spark, path, "10,5,10", schema, header=True, on_error="null")
+    assert typed.dtypes == [("col1", "string"), ("col2", "int"), ("col3", "double")]
+    assert rows(typed) == [("bart", None, None), ("john", 42, 12.5)]
+    untyped = read_widths(spark, path, [10, 5, 10])
+    assert untyped.columns == ["col0", "col1", "col2"]
+    assert ("john      ", "00042", "     12.50") in rows(untyped)
+    with pytest.raises(ValueError, match="3 columns but 2 widths"):
+        read_widths(spark, path, "10,5", schema)
+
+
+def test_parse_schema():
+    assert parse_schema("a STRING(10), b decimal(10,2),c INT") == [
+        ("a", "STRING(10)"), ("b", "decimal(10,2)"), ("c", "INT"),
+    ]
+    with pytest.raises(ValueError):
+        parse_schema("a, b INT")
+
+
+@pytest.mark.parametrize("position, form", [("5", "start_length"), ("0,3", "start_length"), ("6,3", "start_end"), ("1,2", "widths")])
+def test_positions_that_cannot_be(spark, file, position, form):
+    with pytest.raises(ValueError, match="position"):
+        read_fixed_width(spark, file(DATA), [{"name": "a", "position": position}], form)
+
+
+def test_list_files(spark, file, tmp_path):
+    file("abc", "one.csv")
+    (tmp_path / "below").mkdir()
+    file("abcdef", "below/two.csv")
+    file("x", "other.txt")
+    found = list_files(spark, str(tmp_path), "*.csv")
+    assert sorted(r["length"] for r in found.collect()) == [3, 6]
+
+
+# ---------------------------------------------------------------- file formats
+
+
+def test_option_defaults():
+    assert csv_options() == {
+        "sep": ",", "header": "false", "encoding": "UTF-8", "quote": "", "escape": '"',
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+        "mode": "FAILFAST", "columnPruning": "false",
+    }
+
+
+def test_options_given():
+    options = csv_options(
+        {
+            "FIELD_DELIMITER": "\\t", "skip_header": "1", "comperssion": "AUTO", "record_delimiter": ";",
+            "trim_space": True, "field_optionally_enclosed_by": '"', "escape": "\\", "encoding": "ISO-8859-1",
+            "error_on_column_count_mismatch": "FALSE", "file_extension": ".csv", "null_if": "NULL",
+            "date_format": "yyyy/MM/dd",
+        }
+    )
+    assert options == {
+        "sep": "\t", "header": "true", "lineSep": ";", "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true", "quote": '"', "escape": "\\", "encoding": "ISO-8859-1",
+        "pathGlobFilter": "*.csv", "nullValue": "NULL", "dateFormat": "yyyy/MM/dd",
+    }
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {"skip_header": 2}, {"no_such_option": 1}, {"type": "JSON"}, {"compression": "BROTLI"}, {"trim_space": "maybe"},
+        {"binary_format": "BASE64"}, {"time_format": "HH"}, {"escape": "a", "escape_unenclosed_field": "b"},
+    ],
+)
+def test_options_refused(settings):
+    with pytest.raises(ValueError):
+        csv_options(settings)
+
+
+def test_options_at_work(spark, file, rows):
+    schema = {"properties": [{"name": "a"}, {"name": "b"}]}
+
+    def read(text, **settings):
+        return rows(read_feed(spark, file(text), schema, file_format=settings))
+
+    assert read('"x",y\n') == [('"x"', "y")]
+    assert read('"x,z",y\n', field_optionally_enclosed_by='"') == [("x,z", "y")]
+    assert read(" x ,y \n", trim_space="TRUE") == [("x", "y")]
+    assert read(" x ,y \n") == [(" x ", "y ")]
+    assert read(",y\n") == [(None, "y")]
+    assert read(",y\n", empty_field_as_null="FALSE") == [("", "y")]
+    assert read("x,y;z,NULL;", record_delimiter=";", null_if="NULL") == [("x", "y"), ("z", None)]
+    assert read("﻿x,y\n") == [("x", "y")]
