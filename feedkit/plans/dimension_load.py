@@ -101,12 +101,14 @@ def _write_partitions(
     source: DataFrame, target: DataFrame, table: str, load: Load, close_blank: bool
 ) -> dict[str, int]:
     spark = source.sparkSession
-    end = column(load.end)
+    end, start = column(load.end), column(load.start)
     is_active = load.is_active(target)
     # A load changes active rows, the rows closed on the day before the run, and rows that began on
-    # the run date. Which partitions these are in is a list of dates, not of rows.
-    affected = is_active | (end == load.day_before()) | (column(load.start) == load.run())
-    ends = {r[0] for r in target.where(affected).select(end).distinct().collect()}
+    # the run date. Which partitions these are in is a list of dates, not of rows. The first filter
+    # is on the partition column alone, the second on a date few files can hold.
+    by_end = target.where(is_active | (end == load.day_before()))
+    began_today = target.where(~is_active & (start == load.run()))
+    ends = {r[0] for f in (by_end, began_today) for r in f.select(end).distinct().collect()}
     history_ends = sorted(e for e in ends if e is not None and e != load.active_end_date)
 
     outputs = current_rows(source, target, load, close_blank, fits_broadcast(source))
@@ -129,11 +131,25 @@ def _write_partitions(
     for gone in sorted({"" if e is None else str(e) for e in ends} - set(seen.get["ends"])):
         value = f"DATE'{gone}'" if gone else "NULL"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{load.end}` = {value})")
+    if not _bucketed(spark, table):
+        _compact(spark, table, load)
     counts = {a: seen.get[a] for a in ACTIONS}
     counts["version"] //= 2
     return counts
 
 
+def _compact(spark: SparkSession, table: str, load: Load) -> None:
+    """Every task of the load wrote its few closed rows to a file of its own; make that few files."""
+    closed = spark.table(table).where(column(load.end) == load.day_before())
+    if len(closed.inputFiles()) > 1:
+        with _dynamic_overwrite(spark):
+            closed.hint("rebalance").write.insertInto(table, overwrite=True)
+
+
+def _bucketed(spark: SparkSession, table: str) -> bool:
+    return any(c.isBucket for c in spark.catalog.listColumns(table))
+
+
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 

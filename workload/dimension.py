@@ -217,8 +217,8 @@ COLUMNS = {
 def dimension_table(spark: SparkSession, folder: str) -> str:
     name = f"{new_database(spark)}.profiles"
     create_table(spark, name, COLUMNS, partitioned_by=["end_date"])
-    # One task per end date writes few files; the active rows, all of one date, stay spread by key.
-    rows = dimension(spark, folder).select(*COLUMNS).repartition("end_date", *KEYS)
+    # Brings the rows of an end date together in few files, and splits a date that has very many.
+    rows = dimension(spark, folder).select(*COLUMNS).hint("rebalance", "end_date")
     rows.write.insertInto(name)
     return name
 
