@@ -122,16 +122,19 @@ def _write_partitions(
     seen = Observation()
     counted = {a: F.count_if(F.col("action") == a).alias(a) for a in ACTIONS}
     observed_ends = F.collect_set(F.coalesce(end.cast("string"), F.lit("")))
-    rows = outputs
+    rows, buckets = outputs, _buckets(spark, table)
     if history is not None:
         rows = rows.unionByName(history.withColumn("action", F.lit(None).cast("string")))
+        if buckets:
+            # The join by key leaves a bucket in one task; rows read back are spread anew.
+            rows = rows.repartition(buckets, *[column(k) for k in _bucket_columns(spark, table)])
     rows = rows.observe(seen, *counted.values(), observed_ends.alias("ends"))
     with _dynamic_overwrite(spark):
         rows.select(*[column(c) for c in target.columns]).write.insertInto(table, overwrite=True)
     for gone in sorted({"" if e is None else str(e) for e in ends} - set(seen.get["ends"])):
         value = f"DATE'{gone}'" if gone else "NULL"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{load.end}` = {value})")
-    if not _bucketed(spark, table):
+    if not buckets:
         _compact(spark, table, load)
     counts = {a: seen.get[a] for a in ACTIONS}
     counts["version"] //= 2
@@ -146,8 +149,13 @@ def _compact(spark: SparkSession, table: str, load: Load) -> None:
             closed.hint("rebalance").write.insertInto(table, overwrite=True)
 
 
-def _bucketed(spark: SparkSession, table: str) -> bool:
-    return any(c.isBucket for c in spark.catalog.listColumns(table))
+def _buckets(spark: SparkSession, table: str) -> int:
+    found = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+    return int(found["data_type"]) if found else 0
+
+
+def _bucket_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
