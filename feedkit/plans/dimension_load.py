@@ -162,13 +162,21 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+# Settings of a write to a few partitions: overwrite only those that get rows, and keep a file open
+# for each instead of sorting the rows by partition first.
+WRITE_SETTINGS = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+}
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions that get rows."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
+    before = {name: spark.conf.get(name) for name in WRITE_SETTINGS}
+    for name, value in WRITE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -95,6 +95,19 @@ def test_closed_and_reopened_on_one_day(spark, source, target, rows):
     assert rows(again) == AFTER["full"]
 
 
+def test_only_rows_with_the_same_key_and_start_are_replaced(spark, rows):
+    history = [("A", "x", i, d(RUN), d("2023-05-09"), "N") for i in range(200)]
+    history += [("A", "x", 1, d("2023-01-01"), d("2023-02-01"), "N"), ("B", "y", 1, d(RUN), d("2023-05-09"), "N")]
+    target = spark.createDataFrame(history, DIMENSION)
+    source = spark.createDataFrame([("A", "new", 0)], STORE)
+    assert rows(scd2(source, target, **CALL)) == [
+        ("A", "new", 0, d(RUN), OPEN, "Y"), *history[-2:],
+    ]
+    assert rows(scd2(source, target, same_day=False, **CALL)) == sorted(
+        [*history, ("A", "new", 0, d(RUN), OPEN, "Y")], key=repr
+    )
+
+
 def test_names_match_without_regard_to_case(source, target, rows):
     shouted = source.toDF(*[c.upper() for c in source.columns])
     call = {**CALL, "keys": ["Store_ID"], "start_col": "START_DATE", "end_col": "End_Date", "flag_col": "ACTIVE_flag"}

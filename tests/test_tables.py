@@ -16,6 +16,7 @@ def test_create_fill_and_truncate(spark, rows):
     assert rows(spark.table("t_fill")) == [("A0001", 1000, "Y")]
     truncate(spark, "t_fill")
     assert rows(spark.table("t_fill")) == []
+    assert run_sql(spark, "SELECT version() AS v").first()["v"].startswith(spark.version)
     assert "t_fill" in {r["tableName"] for r in list_tables(spark).collect()}
     with pytest.raises(ValueError, match="together"):
         create_table(spark, "t_buckets", {"a": "int"}, buckets=4)

@@ -10,14 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.operators import merge_upsert, quality
+from feedkit.operators import apply_mapping, merge_upsert, quality
 from feedkit.operators import type2 as steps
 from feedkit.operators.dimension import Load
 from feedkit.operators.type2 import scd2
 from feedkit.plans import load_dimension
 from feedkit.sinks import create_table
-from feedkit.workdir import written
+from feedkit.sources import read_feed
+from feedkit.workdir import new_folder, written
 from workload.common import Query, new_database, table
+from workload.mappings import to
 
 RUN_DATE = "1998-06-30"
 KEYS = ["cust_id", "priority"]
@@ -181,6 +183,14 @@ SELECT CASE WHEN a.cust_id IS NULL THEN 'insert' WHEN f.cust_id IS NULL THEN 'mi
 FROM feed f FULL JOIN act a ON {SAME_KEY} GROUP BY 1""",
 )
 
+def scd2_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The change set put together from the single steps."""
+    source, target, load = feed(spark, folder), dimension(spark, folder), load_of("full")
+    incoming = steps.changed(source, target, load).unionByName(steps.new_rows(source, target, load))
+    outgoing = steps.to_close(source, target, load).unionByName(steps.missing(source, target, load))
+    return steps.opened(incoming, target, load).unionByName(steps.closed(outgoing, load))
+
+
 # ---------------------------------------------------------------- loads
 
 
@@ -193,6 +203,12 @@ def scd2_full(spark: SparkSession, folder: str) -> DataFrame:
     return scd2(feed(spark, folder), dimension(spark, folder), refresh_type="full", **CALL)
 
 
+def scd2_small_source(spark: SparkSession, folder: str) -> DataFrame:
+    """A full load in the form that leaves the target in place when the source can be broadcast."""
+    source = written(feed(spark, folder), "feed")
+    return scd2(source, dimension(spark, folder), refresh_type="full", small_source=True, **CALL)
+
+
 def scd2_close_blank(spark: SparkSession, folder: str) -> DataFrame:
     return scd2(feed(spark, folder), dimension(spark, folder), close_blank=True, **CALL)
 
@@ -229,6 +245,32 @@ def scd2_load_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+FEED_SCHEMA = {
+    "field_delimiter": "|",
+    "header": False,
+    "isFixedWidth": False,
+    "properties": [{"name": n.upper(), "type": "VARCHAR"} for n in [*KEYS, *VALUES]],
+}
+FEED_MAPPING = {
+    "mappings": [
+        to("CUST_ID", "cust_id", "bigint"),
+        to("PRIORITY", "priority", "VARCHAR(20)"),
+        to("FINISHED", "finished", "VARCHAR(1)"),
+        to("OPEN", "open", "VARCHAR(1)"),
+        to("TIER", "tier", "INTEGER"),
+    ]
+}
+
+
+def feed_to_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """From file to dimension: a delimited feed read by its schema, mapped, checked and loaded."""
+    path, name = new_folder(spark, "feed"), dimension_table(spark, folder)
+    feed(spark, folder).write.options(sep="|").csv(path)
+    mapped = apply_mapping(read_feed(spark, path, FEED_SCHEMA), FEED_MAPPING)
+    load_dimension(mapped, name, refresh_type="full", **CALL)
+    return spark.table(name)
+
+
 def scd2_rerun_same_day(spark: SparkSession, folder: str) -> DataFrame:
     """Three loads on one day: the feed, the profiles of before, the feed again. Keys close and reopen."""
     name = dimension_table(spark, folder)
@@ -348,16 +390,26 @@ WHERE {DIFFERENT} AND a.start_date <> DATE '{RUN_DATE}'""",
         scd2_change_set,
         on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded_changes"),
     ),
+    "scd2_steps": Query(
+        scd2_steps,
+        on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded_changes"),
+    ),
     "scd2_delta": Query(scd2_delta, on_tables(load_sql("dim", "feed", "loaded"), select="SELECT * FROM loaded")),
     "scd2_full": Query(
         scd2_full, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
     ),
+    "scd2_small_source": Query(
+        scd2_small_source, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
+    ),
     "scd2_close_blank": Query(scd2_close_blank, CLOSE_BLANK_SQL),
     "scd2_first_load": Query(scd2_first_load, on_tables(select=f"SELECT f.*, {NEW} FROM feed f")),
     "scd2_merge": Query(scd2_merge, on_tables(load_sql("dim", "feed", "loaded"), select="SELECT * FROM loaded")),
     "scd2_load_table": Query(
         scd2_load_table, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
     ),
+    "feed_to_dimension": Query(
+        feed_to_dimension, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
+    ),
     "scd2_rerun_same_day": Query(
         scd2_rerun_same_day,
         on_tables(

@@ -127,6 +127,37 @@ FROM orders
 """
 
 
+def map_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """The functions a mapping's expressions use, on values with nulls."""
+    orders = table(spark, folder, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("P")))
+    mapping = {
+        "mappings": [
+            to("o_orderkey", "ORDER_ID", "VARCHAR"),
+            to("", "CODE", "VARCHAR", expression="substring(o_orderpriority, 3, 4)"),
+            to("", "PIPED", "VARCHAR", expression="o_orderpriority || '/' || status"),
+            to("", "JOINED", "VARCHAR", expression="concat('<', status, '>')"),
+            to("", "LISTED", "VARCHAR", expression="concat_ws(',', o_custkey, status, o_orderpriority)"),
+            to("", "STATUS", "VARCHAR", expression="coalesce(status, 'none')"),
+            to("", "ORDERED", "DATE", expression="to_date(substring(cast(o_orderdate as string), 1, 10))"),
+            to("", "DAY_BEFORE", "DATE", expression="date_add(o_orderdate, -1)"),
+            to("", "TODAY", "DATE", expression="current_date()"),
+            to("", "CENTS", "INTEGER", expression="cast(round(o_totalprice * 100) as bigint)"),
+        ]
+    }
+    return apply_mapping(orders, mapping, run_date=RUN_DATE)
+
+
+FUNCTIONS_SQL = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS "ORDER_ID", substring(o_orderpriority, 3, 4) AS "CODE",
+       o_orderpriority || '/' || status AS "PIPED", '<' || status || '>' AS "JOINED",
+       concat_ws(',', CAST(o_custkey AS VARCHAR), status, o_orderpriority) AS "LISTED",
+       coalesce(status, 'none') AS "STATUS", CAST(o_orderdate AS DATE) AS "ORDERED",
+       CAST(o_orderdate - INTERVAL 1 DAY AS DATE) AS "DAY_BEFORE", DATE '{RUN_DATE}' AS "TODAY",
+       CAST(round(o_totalprice * 100) AS BIGINT) AS "CENTS"
+FROM (SELECT *, nullif(o_orderstatus, 'P') AS status FROM orders)
+"""
+
+
 def map_constant(spark: SparkSession, folder: str) -> DataFrame:
     mapping = {
         "mappings": [
@@ -291,6 +322,7 @@ QUERIES = {
     "map_expression": Query(map_expression, EXPRESSION_SQL),
     "map_timestamp": Query(map_timestamp, TIMESTAMP_SQL),
     "map_lenient": Query(map_lenient, LENIENT_SQL),
+    "map_functions": Query(map_functions, FUNCTIONS_SQL),
     "map_constant": Query(map_constant, CONSTANT_SQL),
     "map_passthrough": Query(map_passthrough, PASSTHROUGH_SQL),
     "map_rename": Query(map_rename, RENAME_SQL),
