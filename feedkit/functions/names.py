@@ -13,9 +13,13 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def ref(name: str, side: str | None = None) -> str:
+    """A column in SQL text by its exact name, also when the name holds dots or blanks."""
+    return quoted(name) if side is None else f"{side}.{quoted(name)}"
+
+
 def column(name: str, side: str | None = None) -> Column:
-    """Column by its exact name, also when the name holds dots or blanks."""
-    return F.col(quoted(name) if side is None else f"{side}.{quoted(name)}")
+    return F.col(ref(name, side))
 
 
 def find(name: str, columns: Iterable[str]) -> str | None:

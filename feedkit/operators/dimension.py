@@ -6,14 +6,13 @@ import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from feedkit.functions.names import column, find, resolve
+from feedkit.functions.names import ref, resolve
 
 REFRESH_TYPES = ("delta", "full")
 # A missing start date compares as this day.
-NO_START = "1901-01-01"
+NO_START = "DATE'1901-01-01'"
 
 
 def as_date(value: str | datetime.date, what: str) -> datetime.date:
@@ -71,7 +70,9 @@ class Load:
         fields = [f for f in target.schema.fields if f.name not in (start, end, flag)]
         names = resolve([f.name for f in fields], source.columns, "source")
         # Casting here, not in the join condition, also keeps the join keys of equal type.
-        aligned = source.select(*[column(n).cast(f.dataType).alias(f.name) for n, f in zip(names, fields)])
+        aligned = source.selectExpr(
+            *[f"CAST({ref(n)} AS {f.dataType.simpleString()}) AS {ref(f.name)}" for n, f in zip(names, fields)]
+        )
         return load, aligned
 
     def shared(self, target_columns: Sequence[str]) -> list[str]:
@@ -79,21 +80,27 @@ class Load:
         audit = {n.lower() for n in (self.start, self.end, self.flag)}
         return [c for c in target_columns if c.lower() not in audit]
 
-    def run(self) -> Column:
-        return F.lit(self.run_date).cast("date")
+    # Parts of conditions and projections, as SQL text.
+
+    @property
+    def run(self) -> str:
+        return f"DATE'{self.run_date}'"
 
-    def day_before(self) -> Column:
-        return F.lit(self.run_date - datetime.timedelta(days=1)).cast("date")
+    @property
+    def day_before(self) -> str:
+        return f"DATE'{self.run_date - datetime.timedelta(days=1)}'"
 
-    def active_end(self) -> Column:
-        return F.lit(self.active_end_date).cast("date")
+    @property
+    def active_end(self) -> str:
+        return f"DATE'{self.active_end_date}'" if self.active_end_date else "CAST(NULL AS DATE)"
 
-    def is_active(self, target: DataFrame) -> Column:
+    @property
+    def active(self) -> str:
         """Rows without an end date or with the active end date."""
-        end = column(find(self.end, target.columns) or self.end)
+        end = ref(self.end)
         if self.active_end_date is None:
-            return end.isNull()
-        return end.isNull() | (end == self.active_end())
+            return f"({end} IS NULL)"
+        return f"({end} IS NULL OR {end} = {self.active_end})"
 
-    def start_or_first_day(self, start: Column) -> Column:
-        return F.coalesce(start, F.lit(datetime.date.fromisoformat(NO_START)))
+    def start_of(self, side: str) -> str:
+        return f"coalesce({ref(self.start, side)}, {NO_START})"

@@ -49,8 +49,5 @@ def _matches(target: DataFrame, keys: Sequence[str], start_col: str | None, side
     on = [column(k, side) == column(k, "c") for k in resolve(keys, target.columns, "target")]
     if start_col:
         start = resolve([start_col], target.columns, "target")[0]
-        first_day = F.lit(NO_START).cast("date")
-        on.append(
-            F.coalesce(column(start, side), first_day) == F.coalesce(column(start, "c"), first_day)
-        )
+        on.append(F.coalesce(column(start, side), F.expr(NO_START)) == F.coalesce(column(start, "c"), F.expr(NO_START)))
     return reduce(and_, on)

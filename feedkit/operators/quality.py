@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.functions.names import column, find, name_difference
+from feedkit.functions.names import column, find, name_difference, ref
 from feedkit.operators.dimension import Load
 
 MAX_KEYS = 5
@@ -71,7 +71,7 @@ def structure_checks(
 
 def data_checks(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     """Checks that read the tables, as one report; run them once the structure checks have passed."""
-    late_start = _latest_after(target, load.start, load.run())
+    late_start = _latest_after(target, load.start, load.run)
     reports = [
         _rows(
             late_start,
@@ -83,7 +83,7 @@ def data_checks(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
         )
     ]
     # With open intervals there is no active end date that could be too early.
-    limit = load.active_end() if load.active_end_date else F.lit("9999-12-31").cast("date")
+    limit = load.active_end if load.active_end_date else "DATE'9999-12-31'"
     late_end = _latest_after(target, load.end, limit)
     passed = F.col("latest").isNull() if load.active_end_date else F.lit(True)
     reports.append(
@@ -98,7 +98,7 @@ def data_checks(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     )
     reports.append(
         _rows(
-            _key_counts(target.where(load.is_active(target)), load),
+            _key_counts(target.where(load.active), load),
             (
                 "target_keys_unique",
                 F.col("repeated") == 0,
@@ -133,26 +133,24 @@ def report(source: DataFrame, target: DataFrame, load: Load, max_keys: int = MAX
     return result
 
 
-def _latest_after(target: DataFrame, name: str, limit: Column) -> DataFrame:
+def _latest_after(target: DataFrame, name: str, limit: str) -> DataFrame:
     """One row: the latest date after ``limit``, null if there is none.
 
     The comparison goes to the scan, where file statistics or partitions rule out nearly everything;
     the maximum of the whole column would have to read it.
     """
-    day = column(find(name, target.columns))
-    return target.where(day > limit).agg(F.max(day).cast("date").alias("latest"))
+    day = ref(find(name, target.columns))
+    return target.where(f"{day} > {limit}").agg(F.expr(f"CAST(max({day}) AS DATE)").alias("latest"))
 
 
 def _key_counts(df: DataFrame, load: Load) -> DataFrame:
     """One row: how many keys are repeated, how many rows have a null in the key."""
     keys = [find(k, df.columns) for k in load.keys]
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | column(key).isNull()
-    counts = df.groupBy(*[column(k) for k in keys]).agg(F.count("*").alias("n"))
+    no_key = " OR ".join(f"{ref(k)} IS NULL" for k in keys)
+    counts = df.groupBy(*[column(k) for k in keys]).agg(F.count("*").alias("__n"))
     return counts.agg(
-        F.count_if(F.col("n") > 1).alias("repeated"),
-        F.coalesce(F.sum(F.when(no_key, F.col("n"))), F.lit(0)).alias("without_key"),
+        F.expr("count_if(__n > 1)").alias("repeated"),
+        F.expr(f"coalesce(sum(IF({no_key}, __n, 0)), 0)").alias("without_key"),
     )
 
 

@@ -23,13 +23,11 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.functions.names import column
+from feedkit.functions.names import column, ref
 from feedkit.operators.dimension import Load
 
 # Which of the two joined rows an output row is made from, and how.
@@ -65,7 +63,7 @@ def scd2(
 
 def active(target: DataFrame, load: Load) -> DataFrame:
     """Target rows that are valid now."""
-    return target.where(load.is_active(target))
+    return target.where(load.active)
 
 
 def blank_rows(target: DataFrame, load: Load) -> DataFrame:
@@ -76,37 +74,38 @@ def blank_rows(target: DataFrame, load: Load) -> DataFrame:
 def changed(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     """Source rows whose key is active in the target with other values."""
     load, source, rows = _sides(source, target, load)
-    return source.join(rows, _same_key(load) & ~_same_values(target, load), "left_semi")
+    differs = F.expr(f"{_same_key(load)} AND NOT ({_same_values(target, load)})")
+    return source.join(rows, differs, "left_semi")
 
 
 def new_rows(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     """Source rows whose key is not active in the target."""
     load, source, rows = _sides(source, target, load)
-    return source.join(rows, _same_key(load), "left_anti")
+    return source.join(rows, F.expr(_same_key(load)), "left_anti")
 
 
 def to_close(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     """Active target rows with other values in the source that did not begin on the run date."""
     load, source, rows = _sides(source, target, load)
-    earlier = load.start_or_first_day(column(load.start, "t")) != load.run()
-    return rows.join(source, _same_key(load) & ~_same_values(target, load) & earlier, "left_semi")
+    differs = f"{_same_key(load)} AND NOT ({_same_values(target, load)})"
+    return rows.join(source, F.expr(f"{differs} AND {load.start_of('t')} <> {load.run}"), "left_semi")
 
 
 def missing(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     """Active target rows whose key the source no longer has."""
     load, source, rows = _sides(source, target, load)
-    return rows.join(source, _same_key(load), "left_anti")
+    return rows.join(source, F.expr(_same_key(load)), "left_anti")
 
 
 def closed(rows: DataFrame, load: Load) -> DataFrame:
     """Target rows ended on the day before the run."""
-    return rows.withColumns({load.end: load.day_before(), load.flag: F.lit("N")})
+    return rows.withColumns({load.end: F.expr(load.day_before), load.flag: F.lit("N")})
 
 
 def opened(rows: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     """Source rows as versions that begin on the run date, in the target's layout."""
     load, aligned = load.resolved(rows, target)
-    validity = {load.start: load.run(), load.end: load.active_end(), load.flag: F.lit("Y")}
+    validity = {load.start: F.expr(load.run), load.end: F.expr(load.active_end), load.flag: F.lit("Y")}
     return aligned.withColumns(validity).select(*[column(c) for c in target.columns])
 
 
@@ -118,8 +117,8 @@ def classify(
 ) -> DataFrame:
     """Every key of the source and the active target, with its action."""
     load, joined = _joined(source, target, load, close_blank, small_source)
-    key = [F.coalesce(column(k, "s"), column(k, "t")).alias(k) for k in load.keys]
-    return joined.select(*key, "action")
+    keys = [f"coalesce({ref(k, 's')}, {ref(k, 't')}) AS {ref(k)}" for k in load.keys]
+    return joined.selectExpr(*keys, "action")
 
 
 def stats(
@@ -161,14 +160,14 @@ def next_snapshot(
     """
     load, _ = load.resolved(source, target)
     outputs = current_rows(source, target, load, close_blank, small_source).drop("action")
-    history = target.where(~load.is_active(target))
-    began_today = F.coalesce(column(load.start) == load.run(), F.lit(False))
+    history = target.where(f"NOT {load.active}")
+    began_today = f"{ref(load.start)} <=> {load.run}"
     if same_day is None:
         same_day = not history.where(began_today).select(F.lit(1)).isEmpty()
     if not same_day:
         return outputs.unionByName(history)
     reopened = without_replaced(history.where(began_today), outputs, load)
-    return outputs.unionByName(history.where(~began_today)).unionByName(reopened)
+    return outputs.unionByName(history.where(f"NOT ({began_today})")).unionByName(reopened)
 
 
 def without_replaced(history: DataFrame, outputs: DataFrame, load: Load) -> DataFrame:
@@ -177,10 +176,10 @@ def without_replaced(history: DataFrame, outputs: DataFrame, load: Load) -> Data
     A key opened, closed and opened again on one run date has such a row. An anti join leaves it to
     Spark to split a key that fills much of the history.
     """
-    replaces = outputs.select(*[column(k) for k in load.keys], column(load.start)).alias("o")
-    same_start = load.start_or_first_day(column(load.start, "h")) == load.start_or_first_day(column(load.start, "o"))
-    same_key = reduce(and_, [column(k, "h") == column(k, "o") for k in load.keys])
-    return history.alias("h").join(replaces, same_key & same_start, "left_anti")
+    replaces = outputs.select(*[column(c) for c in (*load.keys, load.start)]).alias("o")
+    same = [f"{ref(k, 'h')} = {ref(k, 'o')}" for k in load.keys]
+    same.append(f"{load.start_of('h')} = {load.start_of('o')}")
+    return history.alias("h").join(replaces, F.expr(" AND ".join(same)), "left_anti")
 
 
 # ---------------------------------------------------------------- parts
@@ -196,20 +195,17 @@ def _values(target: DataFrame, load: Load) -> list[str]:
     return [c for c in load.shared(target.columns) if c.lower() not in keys]
 
 
-def _same_key(load: Load) -> Column:
-    return reduce(and_, [column(k, "s") == column(k, "t") for k in load.keys])
+def _same_key(load: Load) -> str:
+    return " AND ".join(f"{ref(k, 's')} = {ref(k, 't')}" for k in load.keys)
 
 
-def _same_values(target: DataFrame, load: Load) -> Column:
+def _same_values(target: DataFrame, load: Load) -> str:
     """Exact and null-safe, which a hash of the joined texts is not."""
-    same = [column(c, "s").eqNullSafe(column(c, "t")) for c in _values(target, load)]
-    return reduce(and_, same, F.lit(True))
+    return " AND ".join(f"{ref(c, 's')} <=> {ref(c, 't')}" for c in _values(target, load)) or "true"
 
 
-def _is_blank(values: Sequence[str], side: str | None = None) -> Column:
-    if not values:
-        return F.lit(False)
-    return reduce(and_, [column(c, side).isNull() for c in values])
+def _is_blank(values: Sequence[str], side: str | None = None) -> str:
+    return " AND ".join(f"{ref(c, side)} IS NULL" for c in values) or "false"
 
 
 def _joined(
@@ -217,22 +213,22 @@ def _joined(
 ) -> tuple[Load, DataFrame]:
     """Source and active target rows by key, as ``s`` and ``t``, and the key's action."""
     load, aligned = load.resolved(source, target)
-    left = aligned.withColumn(_PRESENT, F.lit(True)).alias("s")
-    right = active(target, load).withColumn(_PRESENT, F.lit(True)).alias("t")
+    left = aligned.selectExpr("*", f"true AS {_PRESENT}").alias("s")
+    right = active(target, load).selectExpr("*", f"true AS {_PRESENT}").alias("t")
     if small_source:
         joined = _joined_to_small(left, right, load)
     else:
-        joined = left.join(right, _same_key(load), "full_outer")
-    in_source, in_target = column(_PRESENT, "s").isNotNull(), column(_PRESENT, "t").isNotNull()
+        joined = left.join(right, F.expr(_same_key(load)), "full_outer")
     same = _same_values(target, load)
-    began_today = load.start_or_first_day(column(load.start, "t")) == load.run()
-    action = F.when(~in_target, "insert")
-    if close_blank:
-        action = action.when(_is_blank(_values(target, load), "t") & (~in_source | same), "blank")
-    action = (
-        action.when(~in_source, "missing").when(same, "same").when(began_today, "inplace").otherwise("version")
-    )
-    return load, joined.withColumn("action", action)
+    no_source, no_target = f"s.{_PRESENT} IS NULL", f"t.{_PRESENT} IS NULL"
+    blank = f"{_is_blank(_values(target, load), 't')} AND ({no_source} OR ({same}))" if close_blank else "false"
+    action = f"""CASE WHEN {no_target} THEN 'insert'
+                      WHEN {blank} THEN 'blank'
+                      WHEN {no_source} THEN 'missing'
+                      WHEN {same} THEN 'same'
+                      WHEN {load.start_of("t")} = {load.run} THEN 'inplace'
+                      ELSE 'version' END"""
+    return load, joined.withColumn("action", F.expr(action))
 
 
 def _joined_to_small(left: DataFrame, right: DataFrame, load: Load) -> DataFrame:
@@ -241,9 +237,10 @@ def _joined_to_small(left: DataFrame, right: DataFrame, load: Load) -> DataFrame
     There is no hint: whether it does is up to Spark's size limit. Target rows keep their place; only
     the keys found in both, at most as many as the source has, are moved.
     """
-    found = right.join(left, _same_key(load), "left_semi").select(*[column(k, "t").alias(k) for k in load.keys])
-    only_source = left.join(found.alias("t"), _same_key(load), "left_anti")
-    from_target = right.join(left, _same_key(load), "left_outer").select(
+    same_key = F.expr(_same_key(load))
+    found = right.join(left, same_key, "left_semi").select(*[column(k, "t").alias(k) for k in load.keys])
+    only_source = left.join(found.alias("t"), same_key, "left_anti")
+    from_target = right.join(left, same_key, "left_outer").select(
         F.struct("s.*").alias("s"), F.struct("t.*").alias("t")
     )
     absent = F.lit(None).cast(from_target.schema["t"].dataType)
@@ -254,26 +251,18 @@ def _outputs(
     source: DataFrame, target: DataFrame, load: Load, close_blank: bool, small_source: bool
 ) -> DataFrame:
     load, joined = _joined(source, target, load, close_blank, small_source)
-
-    def emit(*codes: int) -> Column:
-        return F.array(*[F.lit(c) for c in codes])
-
-    action = F.col("action")
-    codes = (
-        F.when(action.isin("insert", "inplace"), emit(NEW))
-        .when(action == "version", emit(CLOSE, NEW))
-        .when(action == "blank", emit(CLOSE))
-        .when(action == "missing", emit(CLOSE if load.refresh_type == "full" else KEEP))
-        .otherwise(emit(KEEP))
-    )
-    rows = joined.withColumn(_OUT, F.explode(codes))
-    out = F.col(_OUT)
-    values = {c: F.when(out == NEW, column(c, "s")).otherwise(column(c, "t")) for c in load.shared(target.columns)}
-    values[load.start] = F.when(out == NEW, load.run()).otherwise(column(load.start, "t"))
+    of_missing = CLOSE if load.refresh_type == "full" else KEEP
+    codes = f"""CASE WHEN action IN ('insert', 'inplace') THEN array({NEW})
+                     WHEN action = 'version' THEN array({CLOSE}, {NEW})
+                     WHEN action = 'blank' THEN array({CLOSE})
+                     WHEN action = 'missing' THEN array({of_missing})
+                     ELSE array({KEEP}) END"""
+    new, close = f"{_OUT} = {NEW}", f"{_OUT} = {CLOSE}"
+    values = {c: f"IF({new}, {ref(c, 's')}, {ref(c, 't')})" for c in load.shared(target.columns)}
+    values[load.start] = f"IF({new}, {load.run}, {ref(load.start, 't')})"
     values[load.end] = (
-        F.when(out == NEW, load.active_end())
-        .when(out == CLOSE, load.day_before())
-        .otherwise(column(load.end, "t"))
+        f"CASE WHEN {new} THEN {load.active_end} WHEN {close} THEN {load.day_before} ELSE {ref(load.end, 't')} END"
     )
-    values[load.flag] = F.when(out == NEW, "Y").when(out == CLOSE, "N").otherwise(column(load.flag, "t"))
-    return rows.select(*[values[c].alias(c) for c in target.columns], "action", _OUT)
+    values[load.flag] = f"CASE WHEN {new} THEN 'Y' WHEN {close} THEN 'N' ELSE {ref(load.flag, 't')} END"
+    rows = joined.withColumn(_OUT, F.explode(F.expr(codes)))
+    return rows.selectExpr(*[f"{values[c]} AS {ref(c)}" for c in target.columns], "action", _OUT)

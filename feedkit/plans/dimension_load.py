@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.functions.names import column
+from feedkit.functions.names import column, ref
 from feedkit.functions.size import fits_broadcast
 from feedkit.operators.dimension import Load
 from feedkit.operators.quality import MAX_KEYS, data_checks, structure_checks
@@ -101,14 +101,13 @@ def _write_partitions(
     source: DataFrame, target: DataFrame, table: str, load: Load, close_blank: bool
 ) -> dict[str, int]:
     spark = source.sparkSession
-    end, start = column(load.end), column(load.start)
-    is_active = load.is_active(target)
+    end, start = ref(load.end), ref(load.start)
     # A load changes active rows, the rows closed on the day before the run, and rows that began on
     # the run date. Which partitions these are in is a list of dates, not of rows. The first filter
     # is on the partition column alone, the second on a date few files can hold.
-    by_end = target.where(is_active | (end == load.day_before()))
-    began_today = target.where(~is_active & (start == load.run()))
-    ends = {r[0] for f in (by_end, began_today) for r in f.select(end).distinct().collect()}
+    by_end = target.where(f"{load.active} OR {end} = {load.day_before}")
+    began_today = target.where(f"NOT {load.active} AND {start} = {load.run}")
+    ends = {r[0] for f in (by_end, began_today) for r in f.selectExpr(end).distinct().collect()}
     history_ends = sorted(e for e in ends if e is not None and e != load.active_end_date)
 
     outputs = current_rows(source, target, load, close_blank, fits_broadcast(source))
@@ -116,19 +115,19 @@ def _write_partitions(
     if history_ends:
         # Used twice below, so it is computed once and kept where lost executors cannot take it.
         outputs = written(outputs, "outputs")
-        touched = target.where(~is_active & end.isin(history_ends))
+        touched = target.where(f"NOT {load.active}").where(column(load.end).isin(history_ends))
         history = without_replaced(touched, outputs, load)
 
     seen = Observation()
-    counted = {a: F.count_if(F.col("action") == a).alias(a) for a in ACTIONS}
-    observed_ends = F.collect_set(F.coalesce(end.cast("string"), F.lit("")))
+    counted = [F.expr(f"count_if(action = '{a}')").alias(a) for a in ACTIONS]
+    observed_ends = F.expr(f"collect_set(coalesce(CAST({end} AS STRING), ''))").alias("ends")
     rows, buckets = outputs, _buckets(spark, table)
     if history is not None:
         rows = rows.unionByName(history.withColumn("action", F.lit(None).cast("string")))
         if buckets:
             # The join by key leaves a bucket in one task; rows read back are spread anew.
             rows = rows.repartition(buckets, *[column(k) for k in _bucket_columns(spark, table)])
-    rows = rows.observe(seen, *counted.values(), observed_ends.alias("ends"))
+    rows = rows.observe(seen, *counted, observed_ends)
     with _dynamic_overwrite(spark):
         rows.select(*[column(c) for c in target.columns]).write.insertInto(table, overwrite=True)
     for gone in sorted({"" if e is None else str(e) for e in ends} - set(seen.get["ends"])):
@@ -143,7 +142,7 @@ def _write_partitions(
 
 def _compact(spark: SparkSession, table: str, load: Load) -> None:
     """Every task of the load wrote its few closed rows to a file of its own; make that few files."""
-    closed = spark.table(table).where(column(load.end) == load.day_before())
+    closed = spark.table(table).where(f"{ref(load.end)} = {load.day_before}")
     if len(closed.inputFiles()) > 1:
         with _dynamic_overwrite(spark):
             closed.hint("rebalance").write.insertInto(table, overwrite=True)
