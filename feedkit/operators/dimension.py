@@ -53,7 +53,7 @@ class Load:
             raise ValueError(f"refresh type {refresh_type!r} is neither delta nor full")
         given = run_date.strip() if isinstance(run_date, str) else run_date
         return Load(
-            keys=tuple(k.strip() for k in keys),
+            keys=tuple({k.strip().lower(): k.strip() for k in keys}.values()),
             start=(start_col or "").strip(),
             end=(end_col or "").strip(),
             flag=(flag_col or "").strip(),

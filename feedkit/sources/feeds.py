@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ def read_feed(
     document = load_json(spark, schema)
     properties = document["properties"]
     if document.get("isFixedWidth"):
-        df = read_fixed_width(spark, path, properties, positions)
+        df = read_fixed_width(spark, path, properties, positions, header=bool(document.get("header")))
     else:
         one_of(on_mismatch, MISMATCHES, "on_mismatch")
         names = [p["name"] for p in properties]
@@ -87,16 +87,18 @@ def read_fixed_width(
     path: str | Sequence[str],
     properties: Sequence[dict],
     positions: str = "start_length",
+    *,
+    header: bool = False,
 ) -> DataFrame:
     """Fixed-width lines cut by position, every field a string with its padding.
 
     Lines are read as text, so no character can split a row; blank lines are dropped. A field beyond
-    the end of a short line is empty.
+    the end of a short line is empty. ``header=True`` drops the line of column names at the top of
+    each file.
     """
     reject_duplicates([p["name"] for p in properties], "fixed-width layout")
-    return _lines(spark, path).select(
-        *[F.substring("value", start, length).alias(name) for name, start, length in spans(properties, positions)]
-    )
+    fields = {name: F.substring("value", start, length) for name, start, length in spans(properties, positions)}
+    return _lines(spark, path, fields if header else None).select(*[cut.alias(n) for n, cut in fields.items()])
 
 
 def read_widths(
@@ -121,19 +123,13 @@ def read_widths(
         raise ValueError(f"{len(fields)} columns but {len(numbers)} widths")
     reject_duplicates([name for name, _ in fields], "fixed-width layout")
     layout = spans([{"name": n, "position": w} for (n, _), w in zip(fields, numbers)], "widths")
-    cuts = [F.substring("value", start, length) for _, start, length in layout]
-    lines = _lines(spark, path)
-    if header:
-        names_line = F.col("_metadata.file_block_start") == 0
-        for (name, _), cut in zip(fields, cuts):
-            names_line &= F.lower(F.trim(cut)) == name.lower()
-        lines = lines.where(~names_line)
-    return lines.select(
+    cuts = {name: F.substring("value", start, length) for name, start, length in layout}
+    return _lines(spark, path, cuts if header else None).select(
         *[
-            cut.alias(name)
+            cuts[name].alias(name)
             if type_name is None
-            else cast_as(F.trim(cut), type_name, length_policy=length_policy, on_error=on_error).alias(name)
-            for (name, type_name), cut in zip(fields, cuts)
+            else cast_as(F.trim(cuts[name]), type_name, length_policy=length_policy, on_error=on_error).alias(name)
+            for name, type_name in fields
         ]
     )
 
@@ -161,5 +157,14 @@ def _strings(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return spark.read.text(path).where(F.trim("value") != "")
+def _lines(
+    spark: SparkSession, path: str | Sequence[str], header: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Lines that are not blank; without those at the start of a file whose ``header`` fields hold their own names."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    if header is None:
+        return lines
+    names_line = F.col("_metadata.file_block_start") == 0
+    for name, cut in header.items():
+        names_line &= F.lower(F.trim(cut)) == name.lower()
+    return lines.where(~names_line)

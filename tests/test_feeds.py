@@ -109,6 +109,14 @@ def test_fixed_width_by_start_and_length(spark, file, rows):
     assert rows(read_feed(spark, file(DATA), POSITIONAL)) == ROWS
 
 
+def test_fixed_width_with_a_line_of_names(spark, file, rows):
+    layout = [{"name": "city", "position": "1,6"}, {"name": "no", "position": "7,2"}]
+    schema = {"header": True, "isFixedWidth": True, "properties": layout}
+    path = file("CITY  NO\nRome  12\nOslo  13\n")
+    assert rows(read_feed(spark, path, schema)) == [("Oslo  ", "13"), ("Rome  ", "12")]
+    assert len(rows(read_feed(spark, path, {**schema, "header": False}))) == 3
+
+
 def test_fixed_width_by_start_and_end(spark, file, rows):
     layout = [{"name": "col1", "position": "1,8"}, {"name": "col2", "position": "9,18"}]
     path = file("1jonny1020\n2absbd2022\n3asdka4838")

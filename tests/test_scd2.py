@@ -269,7 +269,8 @@ def test_checks_pass_with_history_of_a_key(source, target):
         (dict(flag_col=""), {"flag_column_given", "flag_column_in_target", "same_columns"}),
         (dict(start_col="begin"), {"start_column_in_target", "same_columns"}),
         (dict(keys=[]), {"keys_given"}),
-        (dict(keys=["store_id"] * 6), {"keys_at_most"}),
+        (dict(keys=["store_id", " STORE_ID "]), set()),
+        (dict(keys=list("abcdef")), {"keys_at_most", "keys_in_target", "keys_in_source"}),
         (dict(keys=["store"]), {"keys_in_target", "keys_in_source"}),
         (dict(run_date="2023-05-09"), {"run_date_not_before_start"}),
         (dict(active_end_date="9000-01-01"), {"active_end_not_before_end"}),

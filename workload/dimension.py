@@ -214,7 +214,8 @@ def scd2_close_blank(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scd2_first_load(spark: SparkSession, folder: str) -> DataFrame:
-    return scd2(feed(spark, folder), dimension(spark, folder).limit(0), **CALL)
+    empty = spark.createDataFrame([], dimension(spark, folder).schema)
+    return scd2(feed(spark, folder), empty, **CALL)
 
 
 def scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
