@@ -160,14 +160,23 @@ def next_snapshot(
     """
     load, _ = load.resolved(source, target)
     outputs = current_rows(source, target, load, close_blank, small_source).drop("action")
-    history = target.where(f"NOT {load.active}")
-    began_today = f"{ref(load.start)} <=> {load.run}"
     if same_day is None:
-        same_day = not history.where(began_today).select(F.lit(1)).isEmpty()
+        same_day = has_same_day_history(target, load)
+    return with_history(outputs, target, load, same_day)
+
+
+def has_same_day_history(target: DataFrame, load: Load) -> bool:
+    """Whether a closed row began on the run date."""
+    return not target.where(f"NOT {load.active} AND {_began_today(load)}").select(F.lit(1)).isEmpty()
+
+
+def with_history(outputs: DataFrame, target: DataFrame, load: Load, same_day: bool) -> DataFrame:
+    """Output rows and the target's closed rows, less those replaced."""
+    history = target.where(f"NOT {load.active}")
     if not same_day:
         return outputs.unionByName(history)
-    reopened = without_replaced(history.where(began_today), outputs, load)
-    return outputs.unionByName(history.where(f"NOT ({began_today})")).unionByName(reopened)
+    reopened = without_replaced(history.where(_began_today(load)), outputs, load)
+    return outputs.unionByName(history.where(f"NOT ({_began_today(load)})")).unionByName(reopened)
 
 
 def without_replaced(history: DataFrame, outputs: DataFrame, load: Load) -> DataFrame:
@@ -195,6 +204,10 @@ def _values(target: DataFrame, load: Load) -> list[str]:
     return [c for c in load.shared(target.columns) if c.lower() not in keys]
 
 
+def _began_today(load: Load) -> str:
+    return f"{ref(load.start)} <=> {load.run}"
+
+
 def _same_key(load: Load) -> str:
     return " AND ".join(f"{ref(k, 's')} = {ref(k, 't')}" for k in load.keys)
 

@@ -17,14 +17,14 @@ from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.functions.names import column, ref
 from feedkit.functions.size import fits_broadcast
 from feedkit.operators.dimension import Load
 from feedkit.operators.quality import MAX_KEYS, data_checks, structure_checks
-from feedkit.operators.type2 import current_rows, next_snapshot, stats, without_replaced
+from feedkit.operators.type2 import current_rows, has_same_day_history, with_history, without_replaced
 from feedkit.workdir import written
 
 ACTIONS = ("insert", "same", "version", "inplace", "missing", "blank")
@@ -72,7 +72,7 @@ def load_dimension(
         counts = _write_partitions(source, target, table, load, close_blank)
     else:
         raise ValueError(f"{table} is neither partitioned by {load.end} only nor a view made by create_snapshot")
-    return LoadResult(load.run_date, {a: counts.get(a, 0) for a in ACTIONS})
+    return LoadResult(load.run_date, counts)
 
 
 def _reject(checks: Iterable[tuple[str, bool, str]]) -> None:
@@ -91,10 +91,22 @@ def create_snapshot(rows: DataFrame, view: str) -> None:
 def _switch_snapshot(
     source: DataFrame, target: DataFrame, view: str, load: Load, close_blank: bool
 ) -> dict[str, int]:
-    small = fits_broadcast(source)
-    counts = {r["action"]: r["n"] for r in stats(source, target, load, close_blank, small).collect()}
-    create_snapshot(next_snapshot(source, target, load, close_blank, small), view)
-    return counts
+    seen, same_day = Observation(), has_same_day_history(target, load)
+    outputs = current_rows(source, target, load, close_blank, fits_broadcast(source)).observe(seen, *_counters())
+    if same_day:
+        outputs = written(outputs, "outputs")
+    create_snapshot(with_history(outputs.drop("action"), target, load, same_day), view)
+    return _counts(seen)
+
+
+def _counters() -> list[Column]:
+    return [F.expr(f"count_if(action = '{a}')").alias(a) for a in ACTIONS]
+
+
+def _counts(seen: Observation) -> dict[str, int]:
+    """Keys per action, out of the rows counted while they were written. A new version has two rows."""
+    rows = seen.get
+    return {a: rows[a] // 2 if a == "version" else rows[a] for a in ACTIONS}
 
 
 def _write_partitions(
@@ -119,7 +131,6 @@ def _write_partitions(
         history = without_replaced(touched, outputs, load)
 
     seen = Observation()
-    counted = [F.expr(f"count_if(action = '{a}')").alias(a) for a in ACTIONS]
     observed_ends = F.expr(f"collect_set(coalesce(CAST({end} AS STRING), ''))").alias("ends")
     rows, buckets = outputs, _buckets(spark, table)
     if history is not None:
@@ -127,7 +138,7 @@ def _write_partitions(
         if buckets:
             # The join by key leaves a bucket in one task; rows read back are spread anew.
             rows = rows.repartition(buckets, *[column(k) for k in _bucket_columns(spark, table)])
-    rows = rows.observe(seen, *counted, observed_ends)
+    rows = rows.observe(seen, *_counters(), observed_ends)
     with _dynamic_overwrite(spark):
         rows.select(*[column(c) for c in target.columns]).write.insertInto(table, overwrite=True)
     for gone in sorted({"" if e is None else str(e) for e in ends} - set(seen.get["ends"])):
@@ -135,9 +146,7 @@ def _write_partitions(
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{load.end}` = {value})")
     if not buckets:
         _compact(spark, table, load)
-    counts = {a: seen.get[a] for a in ACTIONS}
-    counts["version"] //= 2
-    return counts
+    return _counts(seen)
 
 
 def _compact(spark: SparkSession, table: str, load: Load) -> None:
