@@ -1,7 +1,8 @@
 """Checks and Type-2 loads on a dimension of buying profiles.
 
 The dimension has a row per customer and order priority. All orders up to the run date make the
-dimension as it stands, with the first order's profile as history; all later orders make the feed.
+dimension as it stands, with the first order's profile as history until the end of its year; all later
+orders make the feed.
 So some keys are only in one of the two, some are equal, some differ, and some began on the run date.
 """
 
@@ -51,17 +52,17 @@ def past_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dimension(spark: SparkSession, folder: str) -> DataFrame:
-    """The profile now, and before it that of the first order if there was an earlier day."""
-    versions = F.when(F.col("first_day") < F.col("last_day"), F.array(F.lit(True), F.lit(False)))
+    """The profile now, and before it that of the first order if it was in an earlier year."""
+    versions = F.when(F.year("first_day") < F.year("last_day"), F.array(F.lit(True), F.lit(False)))
     rows = past_profiles(spark, folder).withColumn("now", F.explode(F.coalesce(versions, F.array(F.lit(True)))))
-    now = F.col("now")
+    now, year_end = F.col("now"), F.make_date(F.year("first_day"), F.lit(12), F.lit(31))
     return rows.select(
         *KEYS,
         F.when(now, F.col("finished")).alias("finished"),
         F.when(now, F.col("open")).otherwise("O").alias("open"),
         F.when(now, F.col("tier")).otherwise(F.col("first_tier")).alias("tier"),
         F.when(now, F.col("last_day")).otherwise(F.col("first_day")).alias("start_date"),
-        F.when(now, F.lit("9999-12-31").cast("date")).otherwise(F.date_sub("last_day", 1)).alias("end_date"),
+        F.when(now, F.lit("9999-12-31").cast("date")).otherwise(year_end).alias("end_date"),
         F.when(now, "Y").otherwise("N").alias("active_flag"),
     )
 
@@ -92,8 +93,8 @@ dim AS (
     SELECT cust_id, priority, finished, open, tier, last_day AS start_date, DATE '9999-12-31' AS end_date,
            'Y' AS active_flag FROM past
     UNION ALL
-    SELECT cust_id, priority, NULL, 'O', first_tier, first_day, CAST(last_day - INTERVAL 1 DAY AS DATE), 'N'
-    FROM past WHERE first_day < last_day)"""
+    SELECT cust_id, priority, NULL, 'O', first_tier, first_day, make_date(year(first_day), 12, 31), 'N'
+    FROM past WHERE year(first_day) < year(last_day))"""
 
 SAME_KEY = "f.cust_id = a.cust_id AND f.priority = a.priority"
 DIFFERENT = "(f.finished, f.open, f.tier) IS DISTINCT FROM (a.finished, a.open, a.tier)"

@@ -135,7 +135,7 @@ def loaded_tables(spark: SparkSession, folder: str) -> DataFrame:
     database = new_database(spark)
     for name in ("nation", "supplier"):
         overwrite_table(table(spark, folder, name), f"{database}.{name}")
-    return list_tables(spark, database).select("tableName", "isTemporary")
+    return list_tables(spark, database).where("NOT isTemporary").select("tableName", "isTemporary")
 
 
 LIST_TABLES_SQL = """
