@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from feedkit.functions.names import column, find, reject_duplicates, resolve
 from feedkit.functions.types import cast_as, one_of, spark_type, sql_expression
+from feedkit.sources.config import load_json
 
 EXTRAS = ("error", "drop")
 MISSING = ("error", "null")
@@ -22,7 +23,7 @@ MISSING = ("error", "null")
 
 def apply_mapping(
     df: DataFrame,
-    mapping: dict,
+    mapping: str | dict,
     *,
     keep_unmapped: bool = False,
     length_policy: str = "truncate",
@@ -30,7 +31,7 @@ def apply_mapping(
     on_error: str = "raise",
     run_date: str | None = None,
 ) -> DataFrame:
-    """The target columns of ``mapping``, in its order.
+    """The target columns of ``mapping``, a document or its path, in its order.
 
     A target with an ``expression`` takes the value and type of that SQL text. A source of type
     ``constant`` gives its name as the value. Any other source column is cast to the target type, or
@@ -40,7 +41,7 @@ def apply_mapping(
     places only.
     """
     columns, used = [], set()
-    for entry in mapping["mappings"]:
+    for entry in load_json(df.sparkSession, mapping)["mappings"]:
         source, target = entry.get("source") or {}, entry["target"]
         if "expression" in target:
             value = sql_expression(
@@ -73,10 +74,10 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(found)
 
 
-def rename_by_mapping(df: DataFrame, mapping: dict) -> DataFrame:
+def rename_by_mapping(df: DataFrame, mapping: str | dict) -> DataFrame:
     """Only the renames of a mapping document: source name -> target name, for the columns there are."""
     names = {}
-    for entry in mapping["mappings"]:
+    for entry in load_json(df.sparkSession, mapping)["mappings"]:
         name = find((entry.get("source") or {}).get("name") or "", df.columns)
         if name is not None:
             names[name] = entry["target"]["name"]
@@ -95,8 +96,9 @@ class LayoutDifference:
         return bool(self.missing or self.extra or self.mistyped)
 
 
-def compare_layout(df: DataFrame, layout: dict) -> LayoutDifference:
+def compare_layout(df: DataFrame, layout: str | dict) -> LayoutDifference:
     """Names and types of ``df`` against ``layout['properties']``. Reads no data."""
+    layout = load_json(df.sparkSession, layout)
     expected = {p["name"].lower(): p for p in layout["properties"]}
     actual = {f.name.lower(): f for f in df.schema.fields}
     return LayoutDifference(
@@ -112,7 +114,7 @@ def compare_layout(df: DataFrame, layout: dict) -> LayoutDifference:
 
 def conform(
     df: DataFrame,
-    layout: dict,
+    layout: str | dict,
     *,
     on_extra: str = "error",
     on_missing: str = "error",
@@ -122,6 +124,7 @@ def conform(
     """The columns of a target layout, in its order and with its types."""
     one_of(on_extra, EXTRAS, "on_extra")
     one_of(on_missing, MISSING, "on_missing")
+    layout = load_json(df.sparkSession, layout)
     difference = compare_layout(df, layout)
     if difference.extra and on_extra == "error":
         raise ValueError(f"not in the target layout: {', '.join(difference.extra)}")

@@ -1,19 +1,20 @@
 """Load a Type-2 dimension table: check, work out the change, commit.
 
-Two ways to commit:
+Three ways to commit:
 
 * A table partitioned by its end date is updated in place. A load writes the partition of the active
   rows and the one of the rows it closed; all other history is neither read nor written, so a load
   costs what the active rows cost, however long the history grows.
 * A view over a snapshot table is switched to a newly written snapshot. The whole dimension is
   rewritten, in exchange the switch is a single catalog change.
+* A table without partitions is rewritten under another name, and the names are exchanged.
 """
 
 from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -66,12 +67,15 @@ def load_dimension(
     load, source = load.resolved(source, target)
     source = written(source, "source")
     _reject(data_checks(source, target, load).collect())
-    if spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Type' AND data_type = 'VIEW'").take(1):
-        counts = _switch_snapshot(source, target, table, load, close_blank)
-    elif _partition_columns(spark, table) == [load.end]:
+    partitions = _partition_columns(spark, table)
+    if partitions == [load.end]:
         counts = _write_partitions(source, target, table, load, close_blank)
+    elif partitions:
+        raise ValueError(f"{table} is partitioned by {', '.join(partitions)}; only {load.end} by itself can be loaded")
     else:
-        raise ValueError(f"{table} is neither partitioned by {load.end} only nor a view made by create_snapshot")
+        is_view = bool(spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Type' AND data_type = 'VIEW'").take(1))
+        commit = create_snapshot if is_view else _replace_table
+        counts = _write_snapshot(source, target, table, load, close_blank, commit)
     return LoadResult(load.run_date, counts)
 
 
@@ -88,14 +92,28 @@ def create_snapshot(rows: DataFrame, view: str) -> None:
     rows.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {snapshot}")
 
 
-def _switch_snapshot(
-    source: DataFrame, target: DataFrame, view: str, load: Load, close_blank: bool
+def _replace_table(rows: DataFrame, table: str) -> None:
+    """Write ``rows`` beside ``table``, then let them take its name. At no moment is there less than one whole copy."""
+    spark, suffix = rows.sparkSession, uuid.uuid4().hex
+    rows.write.saveAsTable(f"{table}__new_{suffix}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old_{suffix}")
+    spark.sql(f"ALTER TABLE {table}__new_{suffix} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {table}__old_{suffix}")
+
+
+def _write_snapshot(
+    source: DataFrame,
+    target: DataFrame,
+    name: str,
+    load: Load,
+    close_blank: bool,
+    commit: Callable[[DataFrame, str], None],
 ) -> dict[str, int]:
     seen, same_day = Observation(), has_same_day_history(target, load)
     outputs = current_rows(source, target, load, close_blank, fits_broadcast(source)).observe(seen, *_counters())
     if same_day:
         outputs = written(outputs, "outputs")
-    create_snapshot(with_history(outputs.drop("action"), target, load, same_day), view)
+    commit(with_history(outputs.drop("action"), target, load, same_day), name)
     return _counts(seen)
 
 

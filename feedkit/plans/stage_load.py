@@ -6,7 +6,6 @@ from pyspark.sql import SparkSession
 
 from feedkit.operators.mapping import apply_mapping
 from feedkit.sinks.tables import append_by_name, overwrite_table
-from feedkit.sources.config import load_json
 from feedkit.sources.feeds import read_with_header
 
 
@@ -27,5 +26,5 @@ def stage_load(
     """
     overwrite_table(read_with_header(spark, data_file, delimiter, infer_types), staging_table)
     staged = spark.table(staging_table)
-    mapped = apply_mapping(staged, load_json(spark, mapping), keep_unmapped=True, **mapping_options)
+    mapped = apply_mapping(staged, mapping, keep_unmapped=True, **mapping_options)
     append_by_name(mapped, target_table)

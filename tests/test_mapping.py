@@ -1,4 +1,5 @@
 import datetime
+import json
 
 import pytest
 from pyspark.errors import PySparkException
@@ -78,6 +79,15 @@ def test_mapping(feed, rows):
     ]
 
 
+def test_documents_from_files(feed, rows, tmp_path):
+    mapping, layout = tmp_path / "mapping.json", tmp_path / "layout.json"
+    mapping.write_text(json.dumps(MAPPING, indent=2))
+    layout.write_text(json.dumps(LAYOUT))
+    mapped = apply_mapping(feed, str(mapping), run_date=RUN)
+    assert rows(mapped) == rows(apply_mapping(feed, MAPPING, run_date=RUN))
+    assert conform(mapped, str(layout), on_extra="drop").columns == [p["name"] for p in LAYOUT["properties"]]
+
+
 def test_date_dialect_of_spark_reads_minutes(feed, rows):
     result = apply_mapping(feed, {"mappings": MAPPING["mappings"][2:3]}, date_dialect="spark")
     assert rows(result)[1] == (datetime.date(2023, 1, 13),)

@@ -311,12 +311,14 @@ COLUMNS = {
 ORDER = DIMENSION.replace(" string", "").replace(" int", "").replace(" date", "").split(", ")
 
 
-@pytest.fixture(params=["partitions", "buckets", "snapshot"])
+@pytest.fixture(params=["partitions", "buckets", "snapshot", "plain"])
 def table(spark, request, target):
     name = f"dim_{request.param}"
     if request.param == "snapshot":
         spark.sql(f"DROP VIEW IF EXISTS {name}")
         create_snapshot(target, name)
+    elif request.param == "plain":
+        target.write.mode("overwrite").saveAsTable(name)
     else:
         stored_by_key = dict(clustered_by=["store_id"], buckets=4) if request.param == "buckets" else {}
         create_table(spark, name, COLUMNS, replace=True, partitioned_by=["end_date"], **stored_by_key)
@@ -438,10 +440,15 @@ def test_rejected_load_leaves_the_table(spark, source, table, rows):
 
 
 def test_load_into_another_kind_of_table(spark, source, target):
-    spark.sql("DROP TABLE IF EXISTS dim_plain")
-    target.write.saveAsTable("dim_plain")
-    with pytest.raises(ValueError, match="neither partitioned"):
-        load_dimension(source, "dim_plain", **CALL)
+    target.write.mode("overwrite").partitionBy("active_flag").saveAsTable("dim_by_flag")
+    with pytest.raises(ValueError, match="partitioned by active_flag"):
+        load_dimension(source, "dim_by_flag", **CALL)
+
+
+def test_replaced_table_leaves_no_others(spark, source, target):
+    target.write.mode("overwrite").saveAsTable("dim_alone")
+    load_dimension(source, "dim_alone", **CALL)
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("dim_alone")] == ["dim_alone"]
 
 
 def test_merge_in_place_needs_a_catalog_for_it(spark, source, target):
