@@ -54,18 +54,21 @@ def load_dimension(
     *,
     max_keys: int = MAX_KEYS,
     close_blank: bool = False,
+    stage_source: bool = True,
 ) -> LoadResult:
     """Load ``source`` into the dimension ``table`` and say how many keys took which action.
 
-    The source is read once and kept in the shared folder for the checks and the load. A load that
-    was cut short is completed by running it again with the same source and run date.
+    The source is read once and kept in the shared folder for the checks and the load; that is not
+    needed, ``stage_source=False``, if it is a stored table already. A load that was cut short is
+    completed by running it again with the same source and run date.
     """
     spark = source.sparkSession
     load = Load.of(keys, start_col, end_col, flag_col, refresh_type, run_date, active_end_date)
     target = spark.table(table)
     _reject(structure_checks(source.columns, target.columns, load, max_keys))
     load, source = load.resolved(source, target)
-    source = written(source, "source")
+    if stage_source:
+        source = written(source, "source")
     _reject(data_checks(source, target, load).collect())
     partitions = _partition_columns(spark, table)
     if partitions == [load.end]:
