@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from feedkit.llm import sql
 from feedkit.llm.common import table
+from feedkit.llm.exact import deduplicate
 from feedkit.llm.mixing import mix
+from feedkit.llm.packing import pack
+from feedkit.llm.quality import quality
 
 
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources,)}
-ORACLE = {"op2_mix_sources": sql.MIX}
+def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents")).drop("longest_repeat")
+
+
+def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return deduplicate(table(spark, folder, "documents")).drop("file", "row")
+
+
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_pack, op6_quality_rules, op10_exact_dedup)}
+ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
