@@ -6,17 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from feedkit.llm import sql
+from feedkit.llm.classifier import classify
 from feedkit.llm.common import table
 from feedkit.llm.exact import deduplicate
 from feedkit.llm.mixing import mix
 from feedkit.llm.packing import pack
 from feedkit.llm.quality import quality
+from feedkit.llm.token_counts import token_counts
+
+
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -29,5 +39,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return deduplicate(table(spark, folder, "documents")).drop("file", "row")
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_pack, op6_quality_rules, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op5_pack, op6_quality_rules, op10_exact_dedup)}
 ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
