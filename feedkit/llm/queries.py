@@ -12,6 +12,7 @@ from feedkit.llm.exact import deduplicate
 from feedkit.llm.html import extract
 from feedkit.llm.mixing import mix
 from feedkit.llm.packing import pack
+from feedkit.llm.pii import find
 from feedkit.llm.quality import quality
 from feedkit.llm.token_counts import token_counts
 
@@ -36,6 +37,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents")).drop("longest_repeat")
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return find(table(spark, folder, "documents"))
+
+
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
 
@@ -44,5 +49,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return deduplicate(table(spark, folder, "documents")).drop("file", "row")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op5_pack, op6_quality_rules, op8_html_extraction, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op10_exact_dedup)}
 ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
