@@ -11,6 +11,7 @@ from feedkit.llm.common import table
 from feedkit.llm.exact import deduplicate
 from feedkit.llm.html import extract
 from feedkit.llm.mixing import mix
+from feedkit.llm.near import near_duplicates
 from feedkit.llm.packing import pack
 from feedkit.llm.pii import find
 from feedkit.llm.quality import quality
@@ -45,9 +46,13 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).drop("file", "row", "first")
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return deduplicate(table(spark, folder, "documents")).drop("file", "row")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup)}
 ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
