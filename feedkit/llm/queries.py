@@ -13,6 +13,7 @@ from feedkit.llm.html import extract
 from feedkit.llm.mixing import mix
 from feedkit.llm.near import near_duplicates
 from feedkit.llm.packing import pack
+from feedkit.llm.passages import repeated_passages
 from feedkit.llm.pii import find
 from feedkit.llm.quality import quality
 from feedkit.llm.token_counts import token_counts
@@ -30,6 +31,10 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op4_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents")).drop("removed")
+
+
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -54,5 +59,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return deduplicate(table(spark, folder, "documents")).drop("file", "row")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op4_repeated_passages, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup)}
 ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
