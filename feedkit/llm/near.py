@@ -33,11 +33,10 @@ from pyspark.sql import functions as F
 from feedkit.llm.common import located, locator, stored
 from feedkit.llm.quality import chunks, texts_of
 
-SHINGLE = 3
 BANDS, ROWS = 24, 4
 PLACES = BANDS * ROWS
-#: Least share of equal places for a pair to be tried. A pair at 0.85 is below it once in ten million times.
-ALIKE = 0.65
+#: How far below the limit the share of equal places may lie for a pair to be tried: five times its deviation.
+MARGIN = 0.2
 #: Bands that are tried one after the other.
 PHASES = ((0, 3), (3, BANDS))
 #: Classes in a block of a bucket.
@@ -58,14 +57,14 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWERED).split()
 
 
-def shingles(words: list[bytes]) -> set[bytes]:
-    """The set itself: runs of three words, or all words if there are fewer; empty without words."""
-    if len(words) <= SHINGLE:
+def shingles(words: list[bytes], size: int) -> set[bytes]:
+    """The set itself: runs of ``size`` words, or all words if there are fewer; empty without words."""
+    if len(words) <= size:
         return {b" ".join(words)} if words else set()
-    return set(map(b" ".join, zip(words, words[1:], words[2:], strict=False)))
+    return set(map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False)))
 
 
-def sets_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def sets_of(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of the distinct shingles of all texts, in order."""
     ids = defaultdict(count().__next__)
     split = [words_of(t) for t in texts]
@@ -73,12 +72,12 @@ def sets_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     index = np.fromiter((ids[w] for words in split for w in words), np.int64, int(n.sum()))
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in ids), np.uint64, len(ids))[index]
     begin = np.cumsum(n) - n
-    per = np.where(n >= SHINGLE, n - SHINGLE + 1, (n > 0).astype(np.int64))
+    per = np.where(n >= size, n - size + 1, (n > 0).astype(np.int64))
     doc = np.repeat(np.arange(len(texts)), per)
     at = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per) + np.repeat(begin, per)
     end = np.repeat(begin + n, per)
     value = mixed(hashes[at] + GOLDEN)
-    for k in range(1, SHINGLE):
+    for k in range(1, size):
         there = at + k < end
         after = np.where(there, hashes[np.minimum(at + k, max(len(hashes) - 1, 0))] + np.uint64(k), np.uint64(0))
         value = mixed(value * GOLDEN + after)
@@ -129,7 +128,7 @@ def signatures(doc: np.ndarray, value: np.ndarray, n_docs: int, together: int =
 FEATURES = "doc_id {}, file long, row long, n long, digest binary, bands array<long>, sig binary"
 
 
-def featured(docs: DataFrame) -> DataFrame:
+def featured(docs: DataFrame, size: int) -> DataFrame:
     """Of each row: size of its set, a digest of it, a key for each band, one byte for each place. Empty sets have no digest."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -137,7 +136,7 @@ def featured(docs: DataFrame) -> DataFrame:
         for batch in batches:
             at = 0
             for some in chunks(texts_of(batch, "text")):
-                doc, value = sets_of(some)
+                doc, value = sets_of(some, size)
                 n = np.bincount(doc, minlength=len(some))
                 sig = signatures(doc, value, len(some))
                 keys = np.zeros((len(some), BANDS), np.uint64)
@@ -248,7 +247,7 @@ def tried(rows: DataFrame, first: bool, factor: int, alike: float, least: int) -
     return keyed.select("key", "i", "j", "id", "comp", "n", "sig", "side").mapInArrow(run, EDGE)
 
 
-def verified(edges: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+def verified(edges: DataFrame, texts: DataFrame, least: int, size: int) -> DataFrame:
     """``edges`` with ``linked``: 100 times the shared shingles of the full sets are at least ``least`` times all.
 
     A class with many edges has its text sent once for each 64 of them.
@@ -265,7 +264,7 @@ def verified(edges: DataFrame, texts: DataFrame, least: int) -> DataFrame:
             out = []
             names = [batch.column(k).to_pylist() for k in range(5)]
             for a, salt, b, ca, cb, text in zip(*names, texts_of(batch, "text"), strict=True):
-                own = shingles(words_of(text))
+                own = shingles(words_of(text), size)
                 if b is None:
                     head, owner = own, (a, salt)
                     continue
@@ -300,7 +299,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def linked(members: DataFrame, sets: DataFrame, texts: DataFrame, alike: float, least: int) -> DataFrame | None:
+def linked(members: DataFrame, sets: DataFrame, texts: DataFrame, alike: float, least: int, size: int) -> DataFrame | None:
     """``id`` and ``comp`` of classes that are connected to others.
 
     ``members``: ``band``, ``key``, ``id`` of classes in shared buckets. ``sets``: ``id``, ``n``, ``sig`` of them.
@@ -322,7 +321,7 @@ def linked(members: DataFrame, sets: DataFrame, texts: DataFrame, alike: float,
             pairs = stored(pairs.groupBy("p.a", "p.b").agg(F.first("p.ca").alias("ca"), F.first("p.cb").alias("cb"), F.max("more").alias("more")), "pairs")
             new = pairs if failed is None else pairs.join(failed, ["a", "b"], "left_anti")
             degree = new.groupBy("a").agg(F.count("*").alias("of_a"))
-            seen = stored(verified(new.drop("more").join(degree, "a"), texts, least), "verified")
+            seen = stored(verified(new.drop("more").join(degree, "a"), texts, least, size), "verified")
             links = seen.where("linked")
             more = bool(pairs.where("more").take(1))
             if links.take(1):
@@ -339,10 +338,10 @@ def linked(members: DataFrame, sets: DataFrame, texts: DataFrame, alike: float,
     return comp
 
 
-def near_duplicates(docs: DataFrame, *, least: int = 85, alike: float = ALIKE) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, size: int = 5, least: int = 80) -> DataFrame:
     """Each row of ``docs`` (``doc_id``, ``text``) with the component it is connected to.
 
-    Rows are linked if their sets share ``least`` hundredths of all their shingles. Returns ``doc_id``,
+    A row's set are its distinct runs of ``size`` words, A-Z lower-cased, or all its words if it has fewer. Rows are linked if their sets share ``least`` hundredths of all their shingles. Returns ``doc_id``,
     ``n_shingles``, ``component_id`` (the smallest ``doc_id`` of the component), ``kept`` (``doc_id`` is
     that), ``file`` and ``row`` that name the row, and ``first`` (it is the component's first row).
 
@@ -351,7 +350,7 @@ def near_duplicates(docs: DataFrame, *, least: int = 85, alike: float = ALIKE) -
     """
     docs = located(docs)
     # the id names a class of equal sets; it is stored with the rows, so that it stays
-    rows = stored(featured(docs).withColumn("id", F.monotonically_increasing_id()), "features")
+    rows = stored(featured(docs, size).withColumn("id", F.monotonically_increasing_id()), "features")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row", "id")
     rep = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(order).alias("rep"))
     classes = stored(rep.select("digest", "rep", F.col("rep.id").alias("id")), "classes")
@@ -365,7 +364,7 @@ def near_duplicates(docs: DataFrame, *, least: int = 85, alike: float = ALIKE) -
     places = needed.select("id", F.col("file").alias("f"), F.col("row").alias("r"))
     texts = docs.select("text", *locator("file", "row")).join(places, (F.col("file") == F.col("f")) & (F.col("row") == F.col("r")))
     texts = stored(texts.select("id", "text"), "texts")
-    comp = linked(members, needed.select("id", "n", "sig"), texts, alike, least)
+    comp = linked(members, needed.select("id", "n", "sig"), texts, least / 100 - MARGIN, least, size)
 
     if comp is None:
         owned = classes.select("digest", F.col("rep").alias("head"))
@@ -379,9 +378,9 @@ def near_duplicates(docs: DataFrame, *, least: int = 85, alike: float = ALIKE) -
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "file", "row", leads.alias("first"))
 
 
-def without_near_copies(docs: DataFrame) -> DataFrame:
+def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     """The first row of each component of ``docs``, with all its columns and no others."""
     docs = located(docs)
-    gone = near_duplicates(docs).where("not first").select(F.col("file").alias("gone_file"), F.col("row").alias("gone_row"))
+    gone = near_duplicates(docs, **options).where("not first").select(F.col("file").alias("gone_file"), F.col("row").alias("gone_row"))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *locator("file", "row"))
     return named.join(gone, (F.col("file") == F.col("gone_file")) & (F.col("row") == F.col("gone_row")), "left_anti").select("doc.*")

@@ -52,7 +52,7 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents")).drop("file", "row", "first")
+    return near_duplicates(table(spark, folder, "documents"), size=3, least=85).drop("file", "row", "first")
 
 
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
