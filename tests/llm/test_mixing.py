@@ -1,0 +1,67 @@
+import math
+
+import pytest
+
+from feedkit.llm.mixing import mix, mixed, seats
+
+
+def sainte_lague(votes, n):
+    won = dict.fromkeys(votes, 0)
+    for _ in range(n):
+        best = max(won, key=lambda k: (votes[k] / (2 * won[k] + 1), -k))
+        won[best] += 1
+    return won
+
+
+@pytest.mark.parametrize("votes", [{0: 5_000_000, 1: 1000, 2: 1, 3: 70_500}, {0: 100_000}, {i: (i * 7919) % 90_001 + 1 for i in range(60)}])
+def test_blocks_go_to_the_highest_quotients(spark, votes):
+    cells = spark.createDataFrame([(0, k, v) for k, v in votes.items()], "shard long, rank long, votes long")
+    got = {r["rank"]: r["seats"] for r in seats(cells, 16).collect()}
+    want = sainte_lague(votes, math.floor(sum(votes.values()) / 16_000 + 0.5))
+    assert {k: got.get(k, 0) for k in votes} == want
+
+
+def test_targets_stop_at_the_cap_and_the_excess_is_reshared(spark, docs, saved):
+    words = {"a": 100, "b": 1000, "c": 4000, None: 50}
+    frame = docs([]).select("*")
+    rows = [(i, " ".join(["w"] * n), "en", s, 0) for i, (s, n) in enumerate(words.items())]
+    frame = saved(spark.createDataFrame(rows, frame.schema))
+    got = {r["source_size"]: r["target"] for r in mix(frame, block_words=1).collect()}
+    # a: capped at 200; None comes last and weighs 5 again: capped at 100; b and c share the rest 2 : 1, b capped at 2000
+    total = 1.5 * sum(words.values())
+    assert got == {100: 200.0, 50: 100.0, 1000: 2000.0, 4000: total - 2300.0}
+    for r in mix(frame, block_words=1).collect():
+        assert abs(r["taken"] - r["target"]) <= 1 and r["taken"] <= 2 * r["size"]
+
+
+def test_taken_words_come_near_the_targets(spark, docs, saved):
+    rows = [(i, " ".join(["w"] * (1 + i * 37 % 300)), "en", ["x", "y", "z"][i * i % 3], 0) for i in range(400)]
+    frame = saved(spark.createDataFrame(rows, docs([]).schema))
+    got = mix(frame, docs_per_shard=50).collect()
+    for size in {r["source_size"] for r in got}:
+        own = [r for r in got if r["source_size"] == size]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 16 * 8
+    assert sorted(map(tuple, mix(frame, docs_per_shard=50).collect())) == sorted(map(tuple, got))
+
+
+def test_mixed_rows_have_the_words_that_were_taken(spark, docs, saved, clashing):
+    rows = [(i, "\n".join(f"w{i}-{k}  x" for k in range(20 + i)), "en", "xyz"[i % 3], 0) for i in range(60)]
+    frame = saved(clashing(spark.createDataFrame(rows, docs([]).schema)))
+    got = mixed(frame).collect()
+    assert mixed(frame).schema.names == frame.schema.names
+    text = {r["doc_id"]: r["text"] for r in frame.collect()}
+    taken = {r["doc_id"]: r["taken"] for r in mix(frame).collect()}
+    for r in got:
+        assert text[r["doc_id"]].startswith(r["text"]) and r["n_chars"] in (0, len(r["text"])) and r["size"] == "own size"
+    for i in text:
+        assert sum(len(r["text"].split()) for r in got if r["doc_id"] == i) == taken[i]
+
+
+def test_edges(edges, empty):
+    got = mix(edges).collect()
+    assert len(got) == edges.count()
+    assert all(r["size"] == 0 and r["taken"] == 0 for r in got if r["doc_id"] in (2, 3, 4))
+    assert mixed(edges).columns == edges.columns
+    assert mix(empty).count() == 0 and mixed(empty).count() == 0
+    nothing = edges.where("doc_id in (2, 3)")
+    assert [(r["target"], r["taken"]) for r in mix(nothing).collect()] == [(0.0, 0)] * 2
