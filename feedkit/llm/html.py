@@ -150,7 +150,11 @@ class Page:
         words(source[at:])
 
     def scores(self, weights: dict[str, float]) -> list[float]:
-        return [n * weights.get(kind, WORD) if kind.startswith("w:") else weights.get(kind, MARK) for kind, n in zip(self.kinds, self.counts, strict=True)]
+        """Of each token; words that are out of any article score nothing."""
+        return [
+            (0.0 if out else n * weights.get(kind, WORD)) if kind.startswith("w:") else weights.get(kind, MARK)
+            for kind, n, out in zip(self.kinds, self.counts, self.out, strict=True)
+        ]
 
     def text(self, weights: dict[str, float]) -> str:
         first, last = best_run(self.scores(weights))

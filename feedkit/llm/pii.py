@@ -206,7 +206,7 @@ def estimated(counts: dict[tuple, int], rounds: int = 60) -> dict[tuple, float]:
     return result
 
 
-def trained(rows: list[tuple[list[int], float]], epochs: int = 40, rate: float = 0.3) -> np.ndarray:
+def trained(rows: list[tuple[list[int], float]], epochs: int = 100, rate: float = 0.3) -> np.ndarray:
     """Logistic weights of the features for the estimated probabilities; the last is the offset."""
     weights, square = np.zeros(FEATURES + 1), np.full(FEATURES + 1, 1e-6)
     if not rows:

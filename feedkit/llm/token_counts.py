@@ -25,27 +25,33 @@ CACHE = "digest binary, tokenizer string, n_tokens long"
 BATCH_BYTES = 1 << 20
 
 
+def library_of(path: str) -> str:
+    """``tokenizers`` for .json, ``sentencepiece`` for .model."""
+    name = {"json": "tokenizers", "model": "sentencepiece"}.get(path.rpartition(".")[2])
+    if name is None:
+        raise ValueError(f"no tokenizer library for {path}")
+    return name
+
+
 @lru_cache(maxsize=2)
 def counter(path: str) -> Callable[[list[str]], list[int]]:
-    """Counts by the library for the file: ``tokenizers`` for .json, ``sentencepiece`` for .model. No special tokens are added."""
-    if path.endswith(".json"):
+    """Counts by the library for the file. No special tokens are added."""
+    if library_of(path) == "tokenizers":
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
         library.no_padding()
         library.no_truncation()
         return lambda texts: [len(e.ids) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-    if path.endswith(".model"):
-        import sentencepiece
+    import sentencepiece
 
-        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1, add_bos=False, add_eos=False)]
-    raise ValueError(f"no tokenizer library for {path}")
+    pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+    return lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1, add_bos=False, add_eos=False)]
 
 
 def tokenizer_digest(path: str) -> str:
     """Names the tokenizer's file and the version of the library that reads it."""
-    library = "tokenizers" if path.endswith(".json") else "sentencepiece"
+    library = library_of(path)
     with open(path, "rb") as file:
         return f"{hashlib.file_digest(file, 'sha256').hexdigest()}:{library}-{version(library)}"
 
