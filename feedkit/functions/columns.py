@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,12 +68,8 @@ def with_function(
 ) -> DataFrame:
     """Add ``name`` = a Python function of one column, for logic Spark has no function for.
 
-    Runs in Arrow batches; nulls do not reach the function. Prefer a ``Column`` function where there
-    is one: it needs no Python worker.
+    Runs in Arrow batches; the function gets each value in its declared type, whatever else its batch
+    holds, and no nulls. Prefer a ``Column`` function where there is one: it needs no Python worker.
     """
-
-    @F.pandas_udf(return_type)
-    def batch(values: pd.Series) -> pd.Series:
-        return values.map(function, na_action="ignore")
-
-    return df.withColumn(name, batch(column(source)))
+    called = F.udf(lambda value: None if value is None else function(value), return_type, useArrow=True)
+    return df.withColumn(name, called(column(source)))

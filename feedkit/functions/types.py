@@ -32,9 +32,13 @@ DATE_DIALECTS = ("warehouse", "spark")
 ERROR_MODES = ("raise", "null")
 
 _TYPE = re.compile(r"\s*([A-Za-z_]+)\s*(?:\(\s*(\d+)\s*\))?\s*")
-_TO_DATE = re.compile(r"\bto_date\s*\(", re.IGNORECASE)
-_DATE_PATTERN = re.compile(r"(,\s*')(?=[^']*mm)(?=[^']*yy)([dmy/., -]+)('\s*\))", re.IGNORECASE)
-_TO_DATE_OR_TIMESTAMP = re.compile(r"\b(to_date|to_timestamp)(?=\s*\()", re.IGNORECASE)
+# Functions whose last argument is the pattern of a date.
+DATE_FUNCTIONS = ("to_date", "try_to_date", "to_timestamp", "try_to_timestamp", "date_format", "unix_timestamp", "to_unix_timestamp")
+
+_LITERAL = re.compile(r"('(?:[^'\\]|\\.|'')*')")
+_CALL = re.compile(r"(\w*)\s*\(|\)|(\S)")
+_DATE_ONLY = re.compile(r"'(?=[^']*mm)(?=[^']*yy)[dmy/., -]+'", re.IGNORECASE)
+_LENIENT = re.compile(r"\b(to_date|to_timestamp|cast)(?=\s*\()", re.IGNORECASE)
 _CURRENT_DATE = re.compile(r"\bcurrent_date\b(\s*\(\s*\))?", re.IGNORECASE)
 
 
@@ -74,16 +78,39 @@ def sql_expression(
 ) -> Column:
     """SQL text of a mapping file as a column.
 
-    ``date_dialect='warehouse'`` reads ``mm`` in the date-only patterns of a text with ``to_date`` as the
-    month; Spark itself reads it as the minute and silently returns January. ``run_date`` stands in
-    for ``current_date()`` so that a load can be repeated.
+    ``date_dialect='warehouse'`` reads ``mm`` in date-only patterns as the month; Spark itself reads it as
+    the minute and silently returns January. ``on_error='null'`` makes casts and date functions give null
+    where they would fail. ``run_date`` stands in for ``current_date()`` so that a load can be repeated.
+    Text in quotes is left as it is, but for the patterns of date functions.
     """
     one_of(date_dialect, DATE_DIALECTS, "date_dialect")
     one_of(on_error, ERROR_MODES, "on_error")
-    if date_dialect == "warehouse" and _TO_DATE.search(text):
-        text = _DATE_PATTERN.sub(lambda m: m[1] + m[2].lower().replace("m", "M") + m[3], text)
-    if on_error == "null":
-        text = _TO_DATE_OR_TIMESTAMP.sub(r"try_\1", text)
-    if run_date is not None:
-        text = _CURRENT_DATE.sub(f"DATE'{run_date}'", text)
-    return F.expr(text)
+    parts = _LITERAL.split(text)  # every second one is a literal
+    if date_dialect == "warehouse":
+        for i in _patterns(parts):
+            if _DATE_ONLY.fullmatch(parts[i]):
+                parts[i] = parts[i].lower().replace("m", "M")
+    for i in range(0, len(parts), 2):
+        if on_error == "null":
+            parts[i] = _LENIENT.sub(r"try_\1", parts[i])
+        if run_date is not None:
+            parts[i] = _CURRENT_DATE.sub(f"DATE'{run_date}'", parts[i])
+    return F.expr("".join(parts))
+
+
+def _patterns(parts: list[str]) -> list[int]:
+    """The literals that end the arguments of a date function."""
+    found, called, last = [], [], None
+    for i, part in enumerate(parts):
+        if i % 2:
+            last = i
+            continue
+        for token in _CALL.finditer(part):
+            if token[0] == ")":
+                name = called.pop() if called else ""
+                if name in DATE_FUNCTIONS and last is not None:
+                    found.append(last)
+            elif token[0].endswith("("):
+                called.append(token[1].lower())
+            last = None
+    return found

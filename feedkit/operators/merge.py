@@ -19,8 +19,9 @@ def merge_upsert(
     """The target with ``changes`` merged in, as a new frame.
 
     A changed row takes the place of the target rows with its key and start date; the other target
-    rows stay. ``changes`` holds a key and start date at most once. When it is small enough for a
-    broadcast, which Spark decides by size, the target is not shuffled.
+    rows stay. ``changes`` must hold a key and start date at most once, which is checked first, by a job
+    over the changes alone. When they are small enough for a broadcast, which Spark decides by size, the
+    target is not shuffled.
     """
     different = name_difference(target.columns, changes.columns)
     if different:
@@ -29,6 +30,11 @@ def merge_upsert(
     aligned = changes.select(
         *[column(n).cast(f.dataType).alias(f.name) for n, f in zip(names, target.schema.fields)]
     )
+    by = [column(k) for k in resolve(keys, target.columns, "target")]
+    if start_col:
+        by.append(F.coalesce(column(resolve([start_col], target.columns, "target")[0]), F.expr(NO_START)).alias("start"))
+    if aligned.groupBy(*by).count().where("`count` > 1").take(1):
+        raise ValueError(f"several changes of one row: {', '.join(keys)} and the start date occur more than once")
     on = _matches(target, keys, start_col)
     return target.alias("t").join(aligned.alias("c"), on, "left_anti").unionByName(aligned)
 

@@ -57,17 +57,25 @@ def overwrite_table(
 def append_by_name(
     df: DataFrame, table: str, *, source: str | None = None, options: Mapping[str, str] | None = None
 ) -> None:
-    """Add rows, matching columns by name and not by position. In the catalog both must have the same names."""
+    """Add rows, matching columns by name and not by position; both must have the same names.
+
+    A table of another system is read for its columns first, so that rows arrive in its order also
+    where the system matches by position.
+    """
     if source is not None:
-        df.write.format(source).options(**(options or {})).option("dbtable", table).mode("append").save()
-        return
-    target = df.sparkSession.table(table)
+        target = df.sparkSession.read.format(source).options(**(options or {})).option("dbtable", table).load()
+    else:
+        target = df.sparkSession.table(table)
     different = name_difference(df.columns, target.columns)
     if different:
         raise ValueError(f"columns found in only one of frame and table {table}: {' '.join(different)}")
     names = resolve(target.columns, df.columns, "frame")
     aligned = [column(n).cast(f.dataType).alias(f.name) for n, f in zip(names, target.schema.fields)]
-    df.select(*aligned).write.insertInto(table)
+    rows = df.select(*aligned)
+    if source is None:
+        rows.write.insertInto(table)
+    else:
+        rows.write.format(source).options(**(options or {})).option("dbtable", table).mode("append").save()
 
 
 def load_positional(df: DataFrame, table: str) -> None:

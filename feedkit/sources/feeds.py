@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,16 @@ from feedkit.functions.names import reject_duplicates
 from feedkit.functions.positions import spans
 from feedkit.functions.types import cast_as, one_of
 from feedkit.sources.config import load_json
-from feedkit.sources.options import after_read, csv_options
+from feedkit.sources.options import (
+    after_read,
+    checked_line,
+    csv_options,
+    fixed_field,
+    fixed_width_settings,
+    header_lines,
+    settings_of,
+    text_options,
+)
 
 MISMATCHES = ("fail", "permit")
 
@@ -38,10 +49,11 @@ def read_feed(
     """
     document = load_json(spark, schema)
     properties = document["properties"]
+    one_of(on_mismatch, MISMATCHES, "on_mismatch")
     if document.get("isFixedWidth"):
-        df = read_fixed_width(spark, path, properties, positions, header=bool(document.get("header")))
+        header = bool(document.get("header"))
+        df = read_fixed_width(spark, path, properties, positions, header=header, file_format=file_format)
     else:
-        one_of(on_mismatch, MISMATCHES, "on_mismatch")
         names = [p["name"] for p in properties]
         reject_duplicates(names, "feed schema")
         settings = {
@@ -49,10 +61,9 @@ def read_feed(
             "error_on_column_count_mismatch": on_mismatch == "fail",
             **(file_format or {}),
         }
-        options = csv_options(settings)
-        if "header" in document:
-            options["header"] = str(bool(document["header"])).lower()
-        df = after_read(spark.read.options(**options).schema(_strings(names)).csv(path), settings)
+        if "header" in document and header_lines(settings_of(settings)) < 2:
+            settings["skip_header"] = int(bool(document["header"]))
+        df = _delimited(spark, path, names, settings)
     return df if partitions is None else df.repartition(partitions)
 
 
@@ -78,8 +89,7 @@ def read_positional(
     if not ordinals or min(ordinals) < 1 or max(ordinals) > width:
         raise ValueError(f"ordinals are 1 to {width}")
     names = [f"_c{i}" for i in range(width)]
-    df = spark.read.options(**csv_options(file_format)).schema(_strings(names)).csv(path)
-    return after_read(df, file_format).select(*[names[i - 1] for i in ordinals])
+    return _delimited(spark, path, names, file_format).select(*[names[i - 1] for i in ordinals])
 
 
 def read_fixed_width(
@@ -89,16 +99,19 @@ def read_fixed_width(
     positions: str = "start_length",
     *,
     header: bool = False,
+    file_format: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Fixed-width lines cut by position, every field a string with its padding.
 
     Lines are read as text, so no character can split a row; blank lines are dropped. A field beyond
-    the end of a short line is empty. ``header=True`` drops the line of column names at the top of
-    each file.
+    the end of a short line is empty. ``header=True`` drops the first line of each file, whatever it
+    holds; ``file_format`` may name more lines, and what else means something without delimiters.
     """
     reject_duplicates([p["name"] for p in properties], "fixed-width layout")
     fields = {name: F.substring("value", start, length) for name, start, length in spans(properties, positions)}
-    return _lines(spark, path, fields if header else None).select(*[cut.alias(n) for n, cut in fields.items()])
+    settings = fixed_width_settings(file_format)
+    lines = _lines(spark, path, max(header_lines(settings), int(header)), settings)
+    return lines.select(*[fixed_field(cut, settings, file_format).alias(n) for n, cut in fields.items()])
 
 
 def read_widths(
@@ -114,8 +127,8 @@ def read_widths(
     """Fixed-width lines cut into consecutive ``widths`` (``"10,5,10"``).
 
     With a ``schema`` such as ``"col1 STRING(10), col2 INT"`` the fields are trimmed and cast, without
-    one they are the strings ``col0``, ``col1``, ... as cut. ``header=True`` drops the line that holds
-    the column names at the top of each file.
+    one they are the strings ``col0``, ``col1``, ... as cut. ``header=True`` drops the first line of
+    each file, whatever it holds.
     """
     numbers = [int(w) for w in (widths.split(",") if isinstance(widths, str) else widths)]
     fields = parse_schema(schema) if schema else [(f"col{i}", None) for i in range(len(numbers))]
@@ -124,7 +137,7 @@ def read_widths(
     reject_duplicates([name for name, _ in fields], "fixed-width layout")
     layout = spans([{"name": n, "position": w} for (n, _), w in zip(fields, numbers)], "widths")
     cuts = {name: F.substring("value", start, length) for name, start, length in layout}
-    return _lines(spark, path, cuts if header else None).select(
+    return _lines(spark, path, int(header), settings_of(None)).select(
         *[
             cuts[name].alias(name)
             if type_name is None
@@ -157,14 +170,44 @@ def _strings(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _lines(
-    spark: SparkSession, path: str | Sequence[str], header: Mapping[str, Column] | None = None
+def _delimited(
+    spark: SparkSession, path: str | Sequence[str], names: Sequence[str], file_format: Mapping[str, object] | None
 ) -> DataFrame:
-    """Lines that are not blank; without those at the start of a file whose ``header`` fields hold their own names."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    if header is None:
-        return lines
-    names_line = F.col("_metadata.file_block_start") == 0
-    for name, cut in header.items():
-        names_line &= F.lower(F.trim(cut)) == name.lower()
-    return lines.where(~names_line)
+    settings, options, schema = settings_of(file_format), csv_options(file_format), _strings(names)
+    skip = header_lines(settings)
+    if skip < 2:
+        return after_read(spark.read.options(**options).schema(schema).csv(path), file_format)
+    parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    lines = _lines(spark, path, skip, settings)
+    return after_read(lines.select(parsed.alias("row")).select("row.*"), file_format)
+
+
+def _lines(spark: SparkSession, path: str | Sequence[str], skip: int, settings: Mapping[str, object]) -> DataFrame:
+    """Lines that are not blank, without the first ``skip`` of each file."""
+    lines = spark.read.options(**text_options(settings)).text(path)
+    if skip:
+        lines = _without_first(lines, skip)
+    return lines.where(F.trim("value") != "").select(checked_line(settings).alias("value"))
+
+
+def _without_first(lines: DataFrame, skip: int) -> DataFrame:
+    """Lines by their place in the file, not by what they hold. The first ones lie in the file's first split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0  # the split of the line before, and its lines so far
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            file, start = (batch.column(i).to_numpy() for i in (1, 2))
+            new = np.ones(n, bool)
+            new[1:] = (file[1:] != file[:-1]) | (start[1:] != start[:-1])
+            index = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            if last == (file[0], start[0]):
+                others = np.flatnonzero(new[1:])
+                index[: int(others[0]) + 1 if len(others) else n] += seen
+            last, seen = (file[-1], start[-1]), int(index[-1]) + 1
+            yield batch.filter(pa.array((start != 0) | (index >= skip))).select(["value"])
+
+    placed = lines.select("value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    return placed.mapInArrow(run, "value string")

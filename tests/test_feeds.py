@@ -200,7 +200,7 @@ def test_options_given():
 @pytest.mark.parametrize(
     "settings",
     [
-        {"skip_header": 2}, {"no_such_option": 1}, {"type": "JSON"}, {"compression": "BROTLI"}, {"trim_space": "maybe"},
+        {"skip_blank_lines": "FALSE"}, {"skip_byte_order_mark": False}, {"no_such_option": 1}, {"type": "JSON"}, {"compression": "BROTLI"}, {"trim_space": "maybe"},
         {"binary_format": "BASE64"}, {"time_format": "HH"}, {"escape": "a", "escape_unenclosed_field": "b"},
     ],
 )
@@ -223,3 +223,72 @@ def test_options_at_work(spark, file, rows):
     assert read(",y\n", empty_field_as_null="FALSE") == [("", "y")]
     assert read("x,y;z,NULL;", record_delimiter=";", null_if="NULL") == [("x", "y"), ("z", None)]
     assert read("﻿x,y\n") == [("x", "y")]
+
+
+# ---------------------------------------------------------------- lines at the top of a file
+
+
+@pytest.mark.parametrize("size", ["128m", "1k"])
+def test_the_first_line_goes_by_its_place(spark, file, rows, size):
+    """A row that reads like the names stays, and a header that does not read like them goes."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        lines = ["customer_idNAME"] + [f"{i:05}x{i % 7}" for i in range(400)] + ["customer_idNAME", "col1 col2"]
+        path = file("\n".join(lines) + "\n", f"top{size}.txt")
+        untyped = read_widths(spark, path, [5, 5], header=True)
+        assert untyped.count() == 402 and rows(untyped)[-1] == ("custo", "mer_i")
+        typed = read_widths(spark, path, [5, 5], "customer_id STRING, NAME STRING", header=True)
+        assert typed.count() == 402
+        layout = [{"name": "customer_id", "position": "1,5"}]
+        assert read_fixed_width(spark, path, layout, header=True).count() == 402
+        assert read_fixed_width(spark, path, layout).count() == 403
+        assert read_fixed_width(spark, path, layout, file_format={"skip_header": 3}).count() == 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_each_file_has_its_own_first_line(spark, file, rows, tmp_path):
+    (tmp_path / "many").mkdir()
+    for i in range(5):
+        file(f"HEAD\nrow{i}\n\nHEAD\n" if i else "HEAD\n", f"many/{i}.txt")
+    found = read_widths(spark, str(tmp_path / "many"), [4], header=True)
+    assert rows(found) == [("HEAD",)] * 4 + [(f"row{i}",) for i in range(1, 5)]
+
+
+def test_several_lines_above_a_delimited_feed(spark, file, rows):
+    path = file('made today\na,b\n1,"x,y"\n2,NULL\n', "above.csv")
+    schema = {"properties": [{"name": "a"}, {"name": "b"}]}
+    settings = {"skip_header": 2, "field_optionally_enclosed_by": '"', "null_if": ["NULL"]}
+    assert rows(read_feed(spark, path, schema, file_format=settings)) == [("1", "x,y"), ("2", None)]
+    with pytest.raises((PySparkException, Py4JError)):
+        read_feed(spark, file("x\ny\n1,2,3\n", "wide.csv"), schema, file_format={"skip_header": 2}).collect()
+
+
+# ---------------------------------------------------------------- formats of fixed-width feeds
+
+
+def test_fixed_width_under_a_format(spark, file, rows):
+    layout = {"isFixedWidth": True, "properties": [{"name": "a", "position": "1,4"}, {"name": "b", "position": "5,4"}]}
+    path = file("x   NULL\n-   y   \n", "format.txt")
+    assert rows(read_feed(spark, path, layout, file_format={"null_if": ["NULL", "-"]})) == [("x   ", None), (None, "y   ")]
+    assert rows(read_feed(spark, path, layout, file_format={"trim_space": True})) == [("-", "y"), ("x", "NULL")]
+    short = file("ab\n", "short.txt")
+    assert rows(read_feed(spark, short, layout)) == [("ab", "")]
+    assert rows(read_feed(spark, short, layout, file_format={"empty_field_as_null": True})) == [("ab", None)]
+    for wrong in ({"no_such": 1}, {"field_delimiter": "|"}, {"escape": "x"}):
+        with pytest.raises(ValueError):
+            read_feed(spark, path, layout, file_format=wrong)
+    with pytest.raises(ValueError, match="on_mismatch"):
+        read_feed(spark, path, layout, on_mismatch="maybe")
+
+
+def test_bytes_that_are_no_text_fail_unless_replaced(spark, tmp_path, rows):
+    (tmp_path / "bad.csv").write_bytes(b"a\xff,b\n")
+    schema = {"properties": [{"name": "a"}, {"name": "b"}]}
+    fixed = {"isFixedWidth": True, "properties": [{"name": "a", "position": "1,2"}]}
+    for document in (schema, fixed):
+        with pytest.raises((PySparkException, Py4JError), match="invalid characters"):
+            read_feed(spark, str(tmp_path / "bad.csv"), document).collect()
+        found = read_feed(spark, str(tmp_path / "bad.csv"), document, file_format={"replace_invalid_characters": True})
+        assert rows(found, "a") == [("a\ufffd",)]

@@ -251,3 +251,35 @@ def test_row_hash_tells_rows_apart(spark):
     df = spark.createDataFrame(values, "x string, y string, z string")
     assert df.select(row_hash(["x", "y", "z"]).alias("h")).distinct().count() == len(values)
     assert df.select((row_hash(["z", "x", "y"]) == row_hash(["x", "y", "z"])).alias("e")).distinct().first()[0]
+
+
+# ---------------------------------------------------------------- expressions
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("try_to_date('13/10/2023', 'dd/mm/yyyy')", "2023-10-13"),
+        ("TO_TIMESTAMP( '13/10/2023' , 'dd/mm/yyyy' )", "2023-10-13 00:00:00"),
+        ("to_date(concat('13/10/', '2023'), 'dd/mm/yyyy')", "2023-10-13"),
+        ("date_format(to_date('2023-10-13'), 'dd/mm/yyyy')", "13/10/2023"),
+        ("concat('to_date(x, ', 'dd/mm/yyyy')", "to_date(x, dd/mm/yyyy"),
+        ("to_timestamp('2023-10-13 07:45', 'yyyy-MM-dd HH:mm')", "2023-10-13 07:45:00"),
+        ("'it''s current_date() in dd/mm/yyyy'", "it's current_date() in dd/mm/yyyy"),
+    ],
+)
+def test_patterns_of_date_functions(spark, text, expected):
+    assert str(spark.range(1).select(sql_expression(text, run_date="2020-01-01")).first()[0]) == expected
+
+
+def test_lenient_expressions_give_null(spark):
+    rows = spark.createDataFrame([("1",), ("x",)], "s string")
+    for text in ("cast(s as int) + 1", "CAST (s AS date)", "to_date(s, 'dd/mm/yyyy')", "upper(cast(s as int))"):
+        assert rows.where("s = 'x'").select(sql_expression(text, on_error="null")).first()[0] is None
+    assert rows.select(sql_expression("concat('cast(', s)", on_error="null")).first()[0] == "cast(1"
+
+
+def test_function_gets_the_declared_type(spark, rows):
+    frame = spark.createDataFrame([(1,), (None,), (7,)], "n int").coalesce(1)
+    assert rows(with_function(frame, "text", "n", str), "text") == [("1",), ("7",), (None,)]
+    assert rows(with_function(frame, "next", "n", lambda n: n + 1, "bigint"), "next") == [(2,), (8,), (None,)]

@@ -82,3 +82,24 @@ def test_shared_folder(spark, rows):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert rows(written(spark.range(2), "w")) == [(0,), (1,)]
+
+
+def test_several_changes_of_one_row_are_refused(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(ValueError, match="several changes"):
+        merge_upsert(target, twice, ["K"])
+
+
+def test_append_to_an_external_table_goes_by_name(spark, tmp_path, rows, monkeypatch):
+    """CSV files match by position; as the source they stand for a system that does."""
+    from pyspark.sql import DataFrameReader, DataFrameWriter
+
+    path = str(tmp_path / "external")
+    spark.createDataFrame([(1, "x")], "a int, b string").write.csv(path)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, *_: self.schema("a int, b string").csv(path))
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *_: self.csv(path))
+    append_by_name(spark.createDataFrame([("y", 2)], "B string, A int"), "t", source="csv")
+    assert rows(spark.read.schema("a int, b string").csv(path)) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError, match="only one"):
+        append_by_name(spark.createDataFrame([(2,)], "a int"), "t", source="csv")
