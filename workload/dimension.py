@@ -324,6 +324,76 @@ def dq_report_passed(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(feed(spark, folder), dimension(spark, folder), load_of())
 
 
+def dq_report_failed_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names that one of the tables lacks, and more keys than allowed."""
+    load = Load.of(["o_custkey", "c_custkey", "nobody"], "c_since", "c_until", "c_active", run_date=RUN_DATE)
+    return quality.report(table(spark, folder, "orders"), table(spark, folder, "customer"), load, max_keys=2)
+
+
+def dq_report_failed_arguments(spark: SparkSession, folder: str) -> DataFrame:
+    """Nothing given, for tables whose columns differ."""
+    load = Load.of([], "", " ", "", run_date=RUN_DATE)
+    return quality.report(table(spark, folder, "nation"), table(spark, folder, "region"), load, max_keys=5)
+
+
+def names_sql(source: str, target: str, keys: list[str], start: str, end: str, flag: str, most: int) -> str:
+    """The checks of names and arguments, from the tables' own columns. Names are compared in lower case."""
+    listed = ", ".join(f"'{k}'" for k in keys)
+    return f"""
+WITH s AS (SELECT column_name AS c, row_number() OVER () AS i FROM (DESCRIBE {source})),
+t AS (SELECT column_name AS c, row_number() OVER () AS i FROM (DESCRIBE {target})),
+k AS (SELECT unnest([{listed}]::VARCHAR[]) AS c, generate_subscripts([{listed}]::VARCHAR[], 1) AS i),
+compared AS (SELECT c FROM t WHERE lower(c) NOT IN ('{start}', '{end}', '{flag}')),
+different AS (
+    SELECT c FROM s WHERE lower(c) NOT IN (SELECT lower(c) FROM compared)
+    UNION ALL SELECT c FROM compared WHERE lower(c) NOT IN (SELECT lower(c) FROM s)),
+checks AS (
+    SELECT 'source_has_columns' AS "check", EXISTS (FROM s) AS passed, 'the source has no columns' AS message
+    UNION ALL SELECT 'target_has_columns', EXISTS (FROM t), 'the target has no columns'
+    UNION ALL SELECT 'start_column_given', '{start}' <> '', 'no start date column given'
+    UNION ALL SELECT 'end_column_given', '{end}' <> '', 'no end date column given'
+    UNION ALL SELECT 'flag_column_given', '{flag}' <> '', 'no active flag column given'
+    UNION ALL SELECT 'start_column_in_target', '{start}' IN (SELECT c FROM t), 'the target has no column {start}'
+    UNION ALL SELECT 'end_column_in_target', '{end}' IN (SELECT c FROM t), 'the target has no column {end}'
+    UNION ALL SELECT 'flag_column_in_target', '{flag}' IN (SELECT c FROM t), 'the target has no column {flag}'
+    UNION ALL SELECT 'keys_given', EXISTS (FROM k), 'no key column given'
+    UNION ALL SELECT 'keys_at_most', (SELECT count(*) FROM k) <= {most}, 'more than {most} key columns: ' || coalesce((SELECT string_agg(c, ' ' ORDER BY i) FROM k), '')
+    UNION ALL SELECT 'keys_in_target', NOT EXISTS (SELECT 1 FROM k WHERE c NOT IN (SELECT c FROM t)),
+        'key columns not in the target: ' || coalesce((SELECT string_agg(c, ' ' ORDER BY i) FROM k WHERE c NOT IN (SELECT c FROM t)), '')
+    UNION ALL SELECT 'keys_in_source', NOT EXISTS (SELECT 1 FROM k WHERE c NOT IN (SELECT c FROM s)),
+        'key columns not in the source: ' || coalesce((SELECT string_agg(c, ' ' ORDER BY i) FROM k WHERE c NOT IN (SELECT c FROM s)), '')
+    UNION ALL SELECT 'same_columns', NOT EXISTS (FROM different),
+        'columns found in one table but not in the other: ' || coalesce((SELECT string_agg(lower(c), ' ' ORDER BY lower(c)) FROM different), ''))
+SELECT "check", passed, CASE WHEN passed THEN '' ELSE message END AS message FROM checks"""
+
+
+def dq_report_failed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys that repeat on both sides, and an active end date before the latest end date."""
+    load = load_of(keys=["priority"], active_end_date="1995-12-31")
+    return quality.report(feed(spark, folder), dimension(spark, folder), load)
+
+
+FAILED_ROWS_SQL = on_tables(
+    "act AS (SELECT * FROM dim WHERE end_date IS NULL OR end_date = DATE '1995-12-31')",
+    select=f"""
+SELECT "check", passed, CASE WHEN passed THEN '' ELSE message END AS message FROM (
+    SELECT unnest({{checks}}) AS "check", TRUE AS passed, '' AS message
+    UNION ALL
+    SELECT 'run_date_not_before_start', max(start_date) <= DATE '{RUN_DATE}', '' FROM dim
+    UNION ALL
+    SELECT 'active_end_not_before_end', max(end_date) <= DATE '1995-12-31',
+           'active end date 1995-12-31 is before the latest end date ' || max(end_date) FROM dim
+    UNION ALL
+    SELECT 'target_keys_unique', count(*) = 0, 'keys with more than one active row in the target: ' || count(*)
+    FROM (SELECT priority FROM act GROUP BY priority HAVING count(*) > 1)
+    UNION ALL
+    SELECT 'source_keys_unique', count(*) = 0, 'keys that occur more than once in the source: ' || count(*)
+    FROM (SELECT priority FROM feed GROUP BY priority HAVING count(*) > 1)
+    UNION ALL
+    SELECT 'source_keys_not_null', count(*) = 0, 'source rows with a null in the key: ' || count(*) FROM feed WHERE priority IS NULL)
+""",
+)
+
 CHECKS = [
     "source_has_columns", "target_has_columns", "start_column_given", "end_column_given", "flag_column_given",
     "start_column_in_target", "end_column_in_target", "flag_column_in_target", "keys_given", "keys_at_most",
@@ -436,5 +506,10 @@ WHERE {DIFFERENT} AND a.start_date <> DATE '{RUN_DATE}'""",
             "SELECT nullif(o_custkey, 1) AS cust_id, o_orderpriority AS priority FROM orders", "1998-01-01"
         ),
     ),
+    "dq_report_failed_names": Query(
+        dq_report_failed_names, names_sql("orders", "customer", ["o_custkey", "c_custkey", "nobody"], "c_since", "c_until", "c_active", 2)
+    ),
+    "dq_report_failed_arguments": Query(dq_report_failed_arguments, names_sql("nation", "region", [], "", "", "", 5)),
+    "dq_report_failed_rows": Query(dq_report_failed_rows, FAILED_ROWS_SQL.format(checks=CHECKS)),
     "dq_report_passed": Query(dq_report_passed, report_sql("SELECT * FROM feed", RUN_DATE)),
 }

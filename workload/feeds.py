@@ -174,6 +174,76 @@ FROM lineitem
 """
 
 
+HEADER_LINE = "order_id    part_id     lineamount    f"
+
+
+def lineitem_lines_with_header(spark: SparkSession, folder: str) -> str:
+    """The fixed-width line items with a line of names on top of each file, and once more among the rows."""
+    path = new_folder(spark, "fixed-header")
+    rows = spark.read.text(lineitem_lines(spark, folder))
+    again = spark.createDataFrame([(HEADER_LINE,)], "value string")
+    # the CSV writer puts the column's name on top of each file; no line has its separator
+    rows.unionByName(again).toDF(HEADER_LINE).write.options(header=True, sep="\u0001", quote="").csv(path)
+    return path
+
+
+def fixed_widths_header(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "order_id INT, part_id INT, line INT, amount DOUBLE, flag STRING(1)"
+    path = lineitem_lines_with_header(spark, folder)
+    return read_widths(spark, path, "12,12,4,10,1", schema, header=True, on_error="null")
+
+
+WIDTHS_HEADER_SQL = """
+SELECT CAST(l_orderkey AS INTEGER) AS order_id, CAST(l_partkey AS INTEGER) AS part_id, l_linenumber AS line,
+       l_quantity AS amount, l_returnflag AS flag
+FROM lineitem
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'f'
+"""
+
+
+def fixed_generated_names_header(spark: SparkSession, folder: str) -> DataFrame:
+    return read_widths(spark, lineitem_lines_with_header(spark, folder), [12, 12, 15], header=True)
+
+
+GENERATED_HEADER_SQL = GENERATED_SQL + f"""
+UNION ALL SELECT '{HEADER_LINE[:12]}', '{HEADER_LINE[12:24]}', '{HEADER_LINE[24:]}'
+"""
+
+
+def fixed_null_if(spark: SparkSession, folder: str) -> DataFrame:
+    """A fixed-width feed under a named file format: padding trimmed, tokens read as null."""
+    settings = {"trim_space": True, "null_if": ["N", "1"]}
+    return read_feed(spark, lineitem_lines(spark, folder), START_LENGTH, file_format=settings)
+
+
+FIXED_NULL_SQL = """
+SELECT lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS "ORDER_ID", nullif(CAST(l_linenumber AS VARCHAR), '1') AS "LINE",
+       CAST(CAST(l_quantity AS DECIMAL(8,2)) AS VARCHAR) AS "QUANTITY", nullif(l_returnflag, 'N') AS "FLAG"
+FROM lineitem
+"""
+
+
+def feed_options(spark: SparkSession, folder: str) -> DataFrame:
+    """A delimited feed with a title above its line of names, quoted and padded fields, and null tokens."""
+    path = new_folder(spark, "options")
+    fields = F.concat_ws(
+        ";", F.col("c_custkey").cast("string"), F.concat(F.lit(' "'), "c_name", F.lit(';x" ')), F.col("c_nationkey").cast("string"), F.lit("-"),
+        F.coalesce("c_mktsegment", F.lit("?")),
+    )
+    lines = customers(spark, folder).select(fields.alias("customers of the day"))
+    lines = spark.createDataFrame([("CUST_ID;NAME;NATION;BALANCE;SEGMENT",)], "`customers of the day` string").unionByName(lines)
+    lines.coalesce(1).write.options(header=True, sep="\u0001", quote="").csv(path)
+    settings = {"skip_header": 2, "field_delimiter": ";", "field_optionally_enclosed_by": '"', "trim_space": True, "null_if": ["-", "?"]}
+    return read_feed(spark, path, {"properties": CUSTOMER_SCHEMA["properties"]}, file_format=settings)
+
+
+FEED_OPTIONS_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS "CUST_ID", c_name || ';x' AS "NAME", CAST(c_nationkey AS VARCHAR) AS "NATION",
+       CAST(NULL AS VARCHAR) AS "BALANCE", nullif(c_mktsegment, 'BUILDING') AS "SEGMENT"
+FROM customer
+"""
+
+
 def stage_files(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder, "*.parquet")
 
@@ -187,5 +257,9 @@ QUERIES = {
     "fixed_start_end": Query(fixed_start_end, START_END_SQL),
     "fixed_widths": Query(fixed_widths, WIDTHS_SQL),
     "fixed_generated_names": Query(fixed_generated_names, GENERATED_SQL),
+    "fixed_widths_header": Query(fixed_widths_header, WIDTHS_HEADER_SQL),
+    "fixed_generated_names_header": Query(fixed_generated_names_header, GENERATED_HEADER_SQL),
+    "fixed_null_if": Query(fixed_null_if, FIXED_NULL_SQL),
+    "feed_options": Query(feed_options, FEED_OPTIONS_SQL),
     "list_files": Query(stage_files),
 }

@@ -302,6 +302,62 @@ def udf_short_name(spark: SparkSession, folder: str) -> DataFrame:
 UDF_SQL = "SELECT p_partkey, p_name, substring(p_name, 1, 2) AS short_name FROM part"
 
 
+def udf_nullable_int(spark: SparkSession, folder: str) -> DataFrame:
+    """A function of whole numbers some of which are null: checksums, which Spark has no function for in this form."""
+    customers = table(spark, folder, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(3)).cast("int").alias("nation"))
+    return with_function(customers, "digits", "nation", lambda nation: "-".join(str(nation)))
+
+
+UDF_INT_SQL = """
+SELECT c_custkey, CAST(nullif(c_nationkey, 3) AS INTEGER) AS nation,
+       array_to_string(string_split(CAST(nullif(c_nationkey, 3) AS VARCHAR), ''), '-') AS digits
+FROM customer
+"""
+
+
+def map_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Patterns of every date function, next to texts that only look like them."""
+    day = "date_format(o_orderdate, 'dd/MM/yyyy')"
+    mapping = {
+        "mappings": [
+            to("o_orderkey", "ORDER_ID", "BIGINT"),
+            to("", "TRIED", expression=f"try_to_date({day}, 'dd/mm/yyyy')"),
+            to("", "STAMP", expression=f"to_timestamp({day}, 'dd/mm/yyyy')"),
+            to("", "SHOWN", expression="date_format(o_orderdate, 'dd.mm.yyyy')"),
+            to("", "QUOTED", expression="concat('to_date(x, ''dd/mm/yyyy'') on current_date() for ', o_orderkey)"),
+        ]
+    }
+    return apply_mapping(table(spark, folder, "orders"), mapping, run_date=RUN_DATE)
+
+
+DATES_SQL = """
+SELECT o_orderkey AS "ORDER_ID", CAST(o_orderdate AS DATE) AS "TRIED",
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS "STAMP", strftime(o_orderdate, '%d.%m.%Y') AS "SHOWN",
+       'to_date(x, ''dd/mm/yyyy'') on current_date() for ' || o_orderkey AS "QUOTED"
+FROM orders
+"""
+
+
+def map_lenient_cast(spark: SparkSession, folder: str) -> DataFrame:
+    """Casts inside expressions give null where they would fail."""
+    mapping = {
+        "mappings": [
+            to("o_orderkey", "ORDER_ID", "BIGINT"),
+            to("o_orderpriority", "RANK", expression="cast(substr(o_orderpriority, 1, 1) as int) + 1"),
+            to("o_orderpriority", "NUMBER", expression="coalesce(CAST(o_orderpriority AS INT), -1)"),
+            to("o_orderstatus", "DAY", expression="to_date(concat(o_orderstatus, '1/01/2000'), 'dd/mm/yyyy')"),
+        ]
+    }
+    return apply_mapping(table(spark, folder, "orders"), mapping, on_error="null")
+
+
+LENIENT_CAST_SQL = """
+SELECT o_orderkey AS "ORDER_ID", TRY_CAST(substring(o_orderpriority, 1, 1) AS INTEGER) + 1 AS "RANK",
+       coalesce(TRY_CAST(o_orderpriority AS INTEGER), -1) AS "NUMBER", CAST(NULL AS DATE) AS "DAY"
+FROM orders
+"""
+
+
 def customer_hash(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
     return customers.select("c_custkey", row_hash(["c_name", "c_nationkey", "c_mktsegment"]).alias("row_hash"))
@@ -335,5 +391,8 @@ QUERIES = {
     "cols_substring_keep": Query(cols_substring_keep, COLS_SUBSTRING_KEEP_SQL),
     "cols_by_name_only": Query(cols_by_name_only, COLS_ONLY_SQL),
     "udf_short_name": Query(udf_short_name, UDF_SQL),
+    "udf_nullable_int": Query(udf_nullable_int, UDF_INT_SQL),
+    "map_dates": Query(map_dates, DATES_SQL),
+    "map_lenient_cast": Query(map_lenient_cast, LENIENT_CAST_SQL),
     "row_hash": Query(customer_hash, HASH_SQL),
 }
