@@ -11,7 +11,8 @@ a text that a third of all rows have costs each task one row. Texts are shuffled
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +20,32 @@ from pyspark.sql import functions as F
 from feedkit.llm.common import ascii_lower, located, locator, stored
 from feedkit.workdir import new_folder
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk, and no disk set aside for what small state stores don't fill.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
+@contextmanager
+def state_settings(spark) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 class Deduplicator:
     """Feeds of rows against the state in ``folder``; a later feed meets what earlier ones left there.
 
@@ -42,25 +61,20 @@ class Deduplicator:
         text = ascii_lower(F.col("text"))
         rows = docs.select(self.digest(text).alias("digest"), "doc_id", *locator("file", "row"))
         rows.write.mode("append").parquet(f"{self.folder}/feed")
-        before = self.spark.conf.get(PROVIDER, None)
-        self.spark.conf.set(PROVIDER, ROCKSDB)
-        try:
+        with state_settings(self.spark):
             stream = self.spark.readStream.schema(rows.schema).parquet(f"{self.folder}/feed")
             state = stream.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("n"))
             query = state.writeStream.format("noop").outputMode("update").option("checkpointLocation", f"{self.folder}/state")
             query.trigger(availableNow=True).start().awaitTermination()
-        finally:
-            if before is None:
-                self.spark.conf.unset(PROVIDER)
-            else:
-                self.spark.conf.set(PROVIDER, before)
         return self.spark.read.schema(rows.schema).parquet(f"{self.folder}/feed")
 
     def state(self) -> DataFrame:
-        """``digest``, ``n`` and ``keep`` (``doc_id``, ``file``, ``row``) as the state holds them."""
+        """``digest``, ``n`` and ``keep`` (``doc_id``, ``file``, ``row``) as the state holds them now."""
         held = self.spark.read.format("statestore").load(f"{self.folder}/state")
         keep, n = held.schema["value"].dataType.names
-        return held.select(F.col("key.digest").alias("digest"), F.col(f"value.`{keep}`").alias("keep"), F.col(f"value.`{n}`").alias("n"))
+        groups = held.select(F.col("key.digest").alias("digest"), F.col(f"value.`{keep}`").alias("keep"), F.col(f"value.`{n}`").alias("n"))
+        with state_settings(self.spark):
+            return stored(groups, "groups")
 
 
 def deduplicate(docs: DataFrame, folder: str | None = None, digest: Callable[[Column], Column] = sha256) -> DataFrame:
@@ -74,7 +88,7 @@ def deduplicate(docs: DataFrame, folder: str | None = None, digest: Callable[[Co
     docs = located(docs)
     dedup = Deduplicator(docs.sparkSession, folder, digest)
     feed = dedup.feed(docs)
-    groups = stored(dedup.state(), "groups")
+    groups = dedup.state()
 
     text = ascii_lower(F.col("text"))
     texts = docs.select(digest(text).alias("digest"), text.alias("text"), "doc_id", *locator("file", "row"))
