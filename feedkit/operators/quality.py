@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from feedkit.functions.names import column, find, name_difference, ref
 from feedkit.operators.dimension import Load
 
-MAX_KEYS = 5
 REPORT_SCHEMA = "check string, passed boolean, message string"
 
 Check = tuple[str, bool, str]
@@ -36,8 +35,14 @@ def max_dates(target: DataFrame, load: Load) -> DataFrame:
     )
 
 
+def impossible_intervals(target: DataFrame, load: Load) -> DataFrame:
+    """Rows that end before the day before they begin, which loads never leave. Reads both date columns."""
+    start, end = ref(find(load.start, target.columns)), ref(find(load.end, target.columns))
+    return target.where(f"{end} < date_sub(CAST({start} AS DATE), 1)")
+
+
 def structure_checks(
-    source_columns: Sequence[str], target_columns: Sequence[str], load: Load, max_keys: int = MAX_KEYS
+    source_columns: Sequence[str], target_columns: Sequence[str], load: Load, max_keys: int | None = None
 ) -> list[Check]:
     """Checks on names and arguments alone."""
 
@@ -60,7 +65,7 @@ def structure_checks(
     for name, value in (("start", load.start), ("end", load.end), ("flag", load.flag)):
         check(f"{name}_column_in_target", not absent([value], target_columns), f"the target has no column {value}")
     check("keys_given", bool(load.keys), "no key column given")
-    check("keys_at_most", len(load.keys) <= max_keys, f"more than {max_keys} key columns: {keys}")
+    check("keys_at_most", max_keys is None or len(load.keys) <= max_keys, f"more than {max_keys} key columns: {keys}")
     missing = absent(load.keys, target_columns)
     check("keys_in_target", not missing, f"key columns not in the target: {' '.join(missing)}")
     missing = absent(load.keys, source_columns)
@@ -71,7 +76,9 @@ def structure_checks(
 
 def data_checks(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     """Checks that read the tables, as one report; run them once the structure checks have passed."""
-    late_start = _latest_after(target, load.start, load.run)
+    # A row that begins after the run date ends on that date or later: the scan skips older partitions.
+    end = ref(find(load.end, target.columns))
+    late_start = _latest_after(target.where(f"{end} IS NULL OR {end} >= {load.run}"), load.start, load.run)
     reports = [
         _rows(
             late_start,
@@ -124,7 +131,7 @@ def data_checks(source: DataFrame, target: DataFrame, load: Load) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def report(source: DataFrame, target: DataFrame, load: Load, max_keys: int = MAX_KEYS) -> DataFrame:
+def report(source: DataFrame, target: DataFrame, load: Load, max_keys: int | None = None) -> DataFrame:
     """All checks. Data is only read if names and arguments are in order."""
     structure = structure_checks(source.columns, target.columns, load, max_keys)
     result = source.sparkSession.createDataFrame(structure, REPORT_SCHEMA)

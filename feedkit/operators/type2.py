@@ -166,8 +166,9 @@ def next_snapshot(
 
 
 def has_same_day_history(target: DataFrame, load: Load) -> bool:
-    """Whether a closed row began on the run date."""
-    return not target.where(f"NOT {load.active} AND {_began_today(load)}").select(F.lit(1)).isEmpty()
+    """Whether a closed row began on the run date. Such a row ends no earlier than the day before."""
+    recent = f"{ref(load.end)} >= {load.day_before}"
+    return not target.where(f"NOT {load.active} AND {recent} AND {_began_today(load)}").select(F.lit(1)).isEmpty()
 
 
 def with_history(outputs: DataFrame, target: DataFrame, load: Load, same_day: bool) -> DataFrame:

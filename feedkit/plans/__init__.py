@@ -1,4 +1,4 @@
-from feedkit.plans.dimension_load import LoadRejected, LoadResult, create_snapshot, load_dimension
+from feedkit.plans.dimension_load import LoadRejected, LoadResult, create_dimension, create_snapshot, load_dimension
 from feedkit.plans.stage_load import stage_load
 
-__all__ = ["LoadRejected", "LoadResult", "create_snapshot", "load_dimension", "stage_load"]
+__all__ = ["LoadRejected", "LoadResult", "create_dimension", "create_snapshot", "load_dimension", "stage_load"]

@@ -1,34 +1,42 @@
 """Load a Type-2 dimension table: check, work out the change, commit.
 
-Three ways to commit:
-
-* A table partitioned by its end date is updated in place. A load writes the partition of the active
-  rows and the one of the rows it closed; all other history is neither read nor written, so a load
-  costs what the active rows cost, however long the history grows.
-* A view over a snapshot table is switched to a newly written snapshot. The whole dimension is
-  rewritten, in exchange the switch is a single catalog change.
-* A table without partitions is rewritten under another name, and the names are exchanged.
+Every commit writes new files beside the old ones and then changes the catalog, so that a load which is cut
+short leaves no row out, and is completed by running it again with the same source and run date:
+
+* A table partitioned by its end date gets new locations for the partitions that a load changes: that of
+  the rows it closed first, that of the active rows last. All other history is neither read nor written.
+  With the key's bucket as a second partition column (``create_dimension``) only the active partitions of
+  buckets with a change are replaced, and only those of the source's keys are read in a delta load.
+* A view over a snapshot table is switched to a newly written snapshot, and a table without partitions
+  gets a new location. The whole dimension is rewritten; the switch is a single catalog change.
+* A table whose catalog takes row-level changes gets them by ``MERGE``, with ``row_level=True``.
+
+A row of the history is taken to end no earlier than the day before it began, as loads leave it;
+``quality.impossible_intervals`` shows rows of other origin that don't.
 """
 
 from __future__ import annotations
 
 import datetime
+import time
 import uuid
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.functions.names import column, ref
-from feedkit.functions.size import fits_broadcast
 from feedkit.operators.dimension import Load
-from feedkit.operators.quality import MAX_KEYS, data_checks, structure_checks
-from feedkit.operators.type2 import current_rows, has_same_day_history, with_history, without_replaced
-from feedkit.workdir import written
+from feedkit.operators.merge import merge_into
+from feedkit.operators.quality import data_checks, structure_checks
+from feedkit.operators.type2 import change_set, current_rows, has_same_day_history, stats, with_history, without_replaced
+from feedkit.sinks.tables import create_table
+from feedkit.workdir import written_at
 
 ACTIONS = ("insert", "same", "version", "inplace", "missing", "blank")
+#: Table property with the number of key buckets, and the name of the column that holds a row's.
+KEY_BUCKETS, BUCKET_COLUMN = "feedkit.key_buckets", "key_bucket"
 
 
 class LoadRejected(ValueError):
@@ -41,6 +49,18 @@ class LoadResult:
     keys: dict[str, int]
 
 
+def create_dimension(
+    spark: SparkSession, table: str, columns: Mapping[str, str], end_col: str, key_buckets: int, *, replace: bool = False
+) -> None:
+    """Create a dimension table that is partitioned by end date and by the bucket of the key.
+
+    A delta load of few keys then rewrites the buckets of those keys only. ``key_buckets`` trades files
+    against rewriting; loads fill the bucket's column themselves.
+    """
+    create_table(spark, table, {**columns, BUCKET_COLUMN: "INT"}, replace=replace, partitioned_by=[end_col, BUCKET_COLUMN])
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{KEY_BUCKETS}' = '{key_buckets}')")
+
+
 def load_dimension(
     source: DataFrame,
     table: str,
@@ -52,33 +72,45 @@ def load_dimension(
     run_date: str | datetime.date | None = None,
     active_end_date: str | datetime.date | None = "9999-12-31",
     *,
-    max_keys: int = MAX_KEYS,
+    max_keys: int | None = None,
     close_blank: bool = False,
     stage_source: bool = True,
+    small_source: bool = False,
+    row_level: bool = False,
 ) -> LoadResult:
     """Load ``source`` into the dimension ``table`` and say how many keys took which action.
 
-    The source is read once and kept in the shared folder for the checks and the load; that is not
-    needed, ``stage_source=False``, if it is a stored table already. A load that was cut short is
-    completed by running it again with the same source and run date.
+    The run date is the session's current date if none is given. The source is read once and kept in the
+    shared folder for the checks and the load; that is not needed, ``stage_source=False``, if it is a
+    stored table already. ``small_source=True`` chooses the form in which Spark can broadcast the source
+    and leave the target in place; rows are the same in both forms. A delta load into a table with key
+    buckets counts missing keys only in the buckets of the source's keys.
     """
     spark = source.sparkSession
+    run_date = run_date or spark.sql("SELECT current_date()").first()[0]
     load = Load.of(keys, start_col, end_col, flag_col, refresh_type, run_date, active_end_date)
+    partitions = _partition_columns(spark, table)
     target = spark.table(table)
-    _reject(structure_checks(source.columns, target.columns, load, max_keys))
-    load, source = load.resolved(source, target)
+    bucketed = partitions[1:] == [BUCKET_COLUMN]
+    rows = target.drop(BUCKET_COLUMN) if bucketed else target
+    _reject(structure_checks(source.columns, rows.columns, load, max_keys))
+    load, source = load.resolved(source, rows)
+    staged = None
     if stage_source:
-        source = written(source, "source")
-    _reject(data_checks(source, target, load).collect())
-    partitions = _partition_columns(spark, table)
-    if partitions == [load.end]:
-        counts = _write_partitions(source, target, table, load, close_blank)
+        source, staged = written_at(source, "source")
+    _reject(data_checks(source, rows, load).collect())
+    if row_level:
+        counts = _merge(source, rows, table, load, close_blank, small_source)
+    elif partitions[:1] == [load.end] and (bucketed or len(partitions) == 1):
+        counts = _write_partitions(source, target, table, load, close_blank, small_source, bucketed)
     elif partitions:
-        raise ValueError(f"{table} is partitioned by {', '.join(partitions)}; only {load.end} by itself can be loaded")
+        raise ValueError(f"{table} is partitioned by {', '.join(partitions)}; only {load.end}, or it and {BUCKET_COLUMN}, can be loaded")
     else:
         is_view = bool(spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Type' AND data_type = 'VIEW'").take(1))
-        commit = create_snapshot if is_view else _replace_table
-        counts = _write_snapshot(source, target, table, load, close_blank, commit)
+        commit = create_snapshot if is_view else _replace_rows
+        counts = _write_snapshot(source, target, table, load, close_blank, small_source, commit)
+    if staged:
+        _delete(spark, [staged])
     return LoadResult(load.run_date, counts)
 
 
@@ -88,20 +120,56 @@ def _reject(checks: Iterable[tuple[str, bool, str]]) -> None:
         raise LoadRejected("; ".join(failed))
 
 
-def create_snapshot(rows: DataFrame, view: str) -> None:
-    """Write ``rows`` as a new table and let ``view`` show it. Earlier snapshots stay until dropped."""
-    snapshot = f"{view}__{uuid.uuid4().hex}"
+def _counters() -> list[Column]:
+    return [F.expr(f"count_if(action = '{a}')").alias(a) for a in ACTIONS]
+
+
+def _counts(seen: Observation) -> dict[str, int]:
+    """Keys per action, out of the rows counted while they were written. A new version has two rows."""
+    rows = seen.get
+    return {a: rows[a] // 2 if a == "version" else rows[a] for a in ACTIONS}
+
+
+# ---------------------------------------------------------------- row-level changes
+
+
+def _merge(source: DataFrame, target: DataFrame, table: str, load: Load, close_blank: bool, small_source: bool) -> dict[str, int]:
+    counts = {r["action"]: r["n"] for r in stats(source, target, load, close_blank, small_source).collect()}
+    changes, folder = written_at(change_set(source, target, load, close_blank, small_source), "changes")
+    merge_into(changes, table, load.keys, load.start)
+    _delete(source.sparkSession, [folder])
+    return {a: counts.get(a, 0) for a in ACTIONS}
+
+
+# ---------------------------------------------------------------- whole tables
+
+
+def create_snapshot(rows: DataFrame, view: str, keep: int = 1) -> None:
+    """Write ``rows`` as a new table and let ``view`` show it. Of earlier snapshots the last ``keep`` stay, for readers under way."""
+    spark = rows.sparkSession
+    database, _, name = view.rpartition(".")
+    snapshot = f"{view}__{time.time_ns():020}_{uuid.uuid4().hex}"
     rows.write.saveAsTable(snapshot)
-    rows.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {snapshot}")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {snapshot}")
+    listed = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{name.lower()}__*'").collect()
+    snapshots = sorted(r["tableName"] for r in listed if r["tableName"].startswith(f"{name.lower()}__"))
+    for old in snapshots[: -1 - keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {f'{database}.' if database else ''}{old}")
 
 
-def _replace_table(rows: DataFrame, table: str) -> None:
-    """Write ``rows`` beside ``table``, then let them take its name. At no moment is there less than one whole copy."""
-    spark, suffix = rows.sparkSession, uuid.uuid4().hex
-    rows.write.saveAsTable(f"{table}__new_{suffix}")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old_{suffix}")
-    spark.sql(f"ALTER TABLE {table}__new_{suffix} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {table}__old_{suffix}")
+def _replace_rows(rows: DataFrame, table: str) -> None:
+    """Write ``rows`` as files of ``table``'s own kind and make them its files, by one change of its location.
+
+    Format, buckets, comments and properties are the table's and stay.
+    """
+    spark, before = rows.sparkSession, _location(rows.sparkSession, table)
+    folder = f"{before.rstrip('/')}__{uuid.uuid4().hex}"
+    beside = _beside(spark, table, folder)
+    rows.write.insertInto(beside)
+    spark.sql(f"DROP TABLE {beside}")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    _delete(spark, [before])
 
 
 def _write_snapshot(
@@ -110,102 +178,155 @@ def _write_snapshot(
     name: str,
     load: Load,
     close_blank: bool,
+    small_source: bool,
     commit: Callable[[DataFrame, str], None],
 ) -> dict[str, int]:
-    seen, same_day = Observation(), has_same_day_history(target, load)
-    outputs = current_rows(source, target, load, close_blank, fits_broadcast(source)).observe(seen, *_counters())
+    seen, same_day, folder = Observation(), has_same_day_history(target, load), None
+    outputs = current_rows(source, target, load, close_blank, small_source).observe(seen, *_counters())
     if same_day:
-        outputs = written(outputs, "outputs")
+        outputs, folder = written_at(outputs, "outputs")
     commit(with_history(outputs.drop("action"), target, load, same_day), name)
+    if folder:
+        _delete(source.sparkSession, [folder])
     return _counts(seen)
 
 
-def _counters() -> list[Column]:
-    return [F.expr(f"count_if(action = '{a}')").alias(a) for a in ACTIONS]
-
-
-def _counts(seen: Observation) -> dict[str, int]:
-    """Keys per action, out of the rows counted while they were written. A new version has two rows."""
-    rows = seen.get
-    return {a: rows[a] // 2 if a == "version" else rows[a] for a in ACTIONS}
+# ---------------------------------------------------------------- partitions
 
 
 def _write_partitions(
-    source: DataFrame, target: DataFrame, table: str, load: Load, close_blank: bool
+    source: DataFrame, target: DataFrame, table: str, load: Load, close_blank: bool, small_source: bool, bucketed: bool
 ) -> dict[str, int]:
     spark = source.sparkSession
     end, start = ref(load.end), ref(load.start)
-    # A load changes active rows, the rows closed on the day before the run, and rows that began on
-    # the run date. Which partitions these are in is a list of dates, not of rows. The first filter
-    # is on the partition column alone, the second on a date few files can hold.
-    by_end = target.where(f"{load.active} OR {end} = {load.day_before}")
-    began_today = target.where(f"NOT {load.active} AND {start} = {load.run}")
-    ends = {r[0] for f in (by_end, began_today) for r in f.selectExpr(end).distinct().collect()}
-    history_ends = sorted(e for e in ends if e is not None and e != load.active_end_date)
-
-    outputs = current_rows(source, target, load, close_blank, fits_broadcast(source))
-    history = None
-    if history_ends:
-        # Used twice below, so it is computed once and kept where lost executors cannot take it.
-        outputs = written(outputs, "outputs")
-        touched = target.where(f"NOT {load.active}").where(column(load.end).isin(history_ends))
-        history = without_replaced(touched, outputs, load)
-
+    names = target.columns
+    bucket = None
+    if bucketed:
+        n = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{KEY_BUCKETS}')").first()["value"])
+        bucket = F.pmod(F.xxhash64(*[column(k) for k in load.keys]), F.lit(n)).cast("int")
+    reach = target
+    if bucketed and load.refresh_type == "delta" and not close_blank:
+        # at most as many numbers as there are buckets
+        own = [r[0] for r in source.select(bucket.alias("b")).distinct().collect()]
+        reach = target.where(F.col(BUCKET_COLUMN).isin(own))
+    rows = reach.drop(BUCKET_COLUMN) if bucketed else reach
+
+    def placed(df: DataFrame) -> DataFrame:
+        return (df.withColumn(BUCKET_COLUMN, bucket) if bucketed else df).select(*[column(c) for c in names])
+
+    # 1. what the load makes, written beside the table
     seen = Observation()
-    observed_ends = F.expr(f"collect_set(coalesce(CAST({end} AS STRING), ''))").alias("ends")
-    rows, buckets = outputs, _buckets(spark, table)
-    if history is not None:
-        rows = rows.unionByName(history.withColumn("action", F.lit(None).cast("string")))
-        if buckets:
-            # The join by key leaves a bucket in one task; rows read back are spread anew.
-            rows = rows.repartition(buckets, *[column(k) for k in _bucket_columns(spark, table)])
-    rows = rows.observe(seen, *_counters(), observed_ends)
-    with _dynamic_overwrite(spark):
-        rows.select(*[column(c) for c in target.columns]).write.insertInto(table, overwrite=True)
-    for gone in sorted({"" if e is None else str(e) for e in ends} - set(seen.get["ends"])):
-        value = f"DATE'{gone}'" if gone else "NULL"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{load.end}` = {value})")
-    if not buckets:
-        _compact(spark, table, load)
+    changed = ["insert", "version", "inplace", "blank", *(["missing"] if load.refresh_type == "full" else [])]
+    touched = F.when(F.col("action").isin(changed), bucket if bucketed else F.lit(0))
+    outputs = current_rows(source, rows, load, close_blank, small_source).observe(seen, *_counters(), F.collect_set(touched).alias("touched"))
+    root = _location(spark, table).rstrip("/")
+    folder = f"{root}/_load-{uuid.uuid4().hex}"
+    made = _beside(spark, table, folder)
+    placed(outputs).write.insertInto(made)
+    touched = set(seen.get["touched"])
+
+    # 2. rows of the history that share a partition with closed rows, or that a new row replaces
+    history = target.where(f"NOT {load.active} AND {end} >= {load.day_before}")  # a row that began today ends no earlier
+    began = [r[0] for r in history.where(f"{start} = {load.run}").select(column(load.end)).distinct().collect()]
+    ends = sorted({*began, load.run_date - datetime.timedelta(days=1)})
+    there = {p for e in ends for p in _partitions(spark, table, load, e)}
+    if bucketed:
+        there = {p for p in there if p[1] in touched}
+    closed = {p for p in _partitions(spark, made, load) if not _is_active(p, load)} | (there if touched else set())
+    ends = sorted({p[0] for p in closed})
+    if closed and there:
+        kept = history.where(column(load.end).isin(ends))
+        kept = kept.where(F.col(BUCKET_COLUMN).isin(sorted({p[1] for p in there}))) if bucketed else kept
+        kept = without_replaced(kept, spark.table(made), load)
+        merged = spark.table(made).where(column(load.end).isin(ends)).unionByName(kept)
+    else:
+        merged = spark.table(made).where(column(load.end).isin(ends)) if closed else None
+    last = None
+    if merged is not None:
+        # every task of the load left its few closed rows in a file of its own
+        last_folder = f"{root}/_load-{uuid.uuid4().hex}"
+        last = _beside(spark, table, last_folder)
+        spread = merged if _clustered(spark, table) else merged.hint("rebalance", *[column(c) for c in _partition_columns(spark, table)])
+        spread.select(*[column(c) for c in names]).write.insertInto(last)
+
+    # 3. the catalog: closed rows first, so that no moment lacks a version; then the active ones
+    before = {p: _location(spark, table, _spec(p, load)) for p in _all(spark, table, load, closed, touched, bucketed)}
+    done = set()
+    for new, own in ((last, closed), (made, {p for p in _partitions(spark, made, load) if _is_active(p, load) and (not bucketed or p[1] in touched)})):
+        for p in sorted(own & set(_partitions(spark, new, load)) if new else own, key=str):
+            if not touched:
+                continue
+            _point(spark, table, _spec(p, load), _location(spark, new, _spec(p, load)), p in before)
+            done.add(p)
+    for p in before.keys() - done:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(p, load)})")
+    spark.catalog.refreshTable(table)
+    for beside in filter(None, (made, last)):
+        spark.sql(f"DROP TABLE {beside}")
+    _delete(spark, before.values() if touched else [])
     return _counts(seen)
 
 
-def _compact(spark: SparkSession, table: str, load: Load) -> None:
-    """Every task of the load wrote its few closed rows to a file of its own; make that few files."""
-    closed = spark.table(table).where(f"{ref(load.end)} = {load.day_before}")
-    if len(closed.inputFiles()) > 1:
-        with _dynamic_overwrite(spark):
-            closed.hint("rebalance").write.insertInto(table, overwrite=True)
+def _all(spark: SparkSession, table: str, load: Load, closed: set, touched: set, bucketed: bool) -> list[tuple]:
+    """Partitions of ``table`` that the load replaces or empties."""
+    if not touched:
+        return []
+    own = [p for e in {p[0] for p in closed} for p in _partitions(spark, table, load, e) if p in closed]
+    for e in {None, load.active_end_date}:
+        own += [p for p in _partitions(spark, table, load, e) if not bucketed or p[1] in touched]
+    return own
 
 
-def _buckets(spark: SparkSession, table: str) -> int:
-    found = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
-    return int(found["data_type"]) if found else 0
+def _is_active(p: tuple, load: Load) -> bool:
+    return p[0] is None or p[0] == load.active_end_date
 
 
-def _bucket_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
+def _spec(p: tuple, load: Load) -> str:
+    day = "NULL" if p[0] is None else f"DATE'{p[0]}'"
+    return f"`{load.end}` = {day}" + (f", {BUCKET_COLUMN} = {p[1]}" if len(p) > 1 else "")
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+def _partitions(spark: SparkSession, table: str, load: Load, end: object = ...) -> list[tuple]:
+    """(end date, bucket) or (end date,) of the table's partitions, or of those of one end date; no file is read."""
+    only = "" if end is ... else f" PARTITION (`{load.end}` = {'NULL' if end is None else f"DATE'{end}'"})"
+    out = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}{only}").collect():
+        values = [part.partition("=")[2] for part in row[0].split("/")]
+        day = None if values[0] in ("__HIVE_DEFAULT_PARTITION__", "null") else datetime.date.fromisoformat(values[0])
+        if end is ... or day == end:
+            out.append((day, *map(int, values[1:])))
+    return out
+
+
+def _point(spark: SparkSession, table: str, spec: str, location: str, there: bool) -> None:
+    if there:
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
+
+
+def _beside(spark: SparkSession, table: str, folder: str) -> str:
+    """A table of the same kind whose files lie in ``folder`` and stay when its name is dropped."""
+    name = f"{table}__beside_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} LIKE {table} LOCATION '{folder}'")
+    return name
+
+
+def _location(spark: SparkSession, table: str, spec: str | None = None) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}" + (f" PARTITION ({spec})" if spec else "")).collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
 
-# Settings of a write to a few partitions: overwrite only those that get rows, and keep a file open
-# for each instead of sorting the rows by partition first.
-WRITE_SETTINGS = {
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.maxConcurrentOutputFileWriters": "8",
-}
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    before = {name: spark.conf.get(name) for name in WRITE_SETTINGS}
-    for name, value in WRITE_SETTINGS.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete folders that nothing names any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clustered(spark: SparkSession, table: str) -> bool:
+    return any(c.isBucket for c in spark.catalog.listColumns(table))
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]

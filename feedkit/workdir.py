@@ -29,12 +29,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as a Parquet table in the shared folder; the table read back, and where it is."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     For a result that is used more than once or that starts a new lineage. Unlike executor-local
     storage it survives the loss of executors, and readers still get column pruning and pushdown.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_at(df, name)[0]

@@ -15,7 +15,7 @@ from feedkit.operators import apply_mapping, merge_upsert, quality
 from feedkit.operators import type2 as steps
 from feedkit.operators.dimension import Load
 from feedkit.operators.type2 import scd2
-from feedkit.plans import load_dimension
+from feedkit.plans import create_dimension, load_dimension
 from feedkit.sinks import create_table
 from feedkit.sources import read_feed
 from feedkit.workdir import new_folder, written
@@ -247,6 +247,17 @@ def scd2_load_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def scd2_delta_touched(spark: SparkSession, folder: str) -> DataFrame:
+    """A delta load into a table whose active rows are kept by bucket of the key; buckets without a change stay."""
+    name = f"{new_database(spark)}.profiles"
+    create_dimension(spark, name, {c: t for c, t in COLUMNS.items() if c != "end_date"} | {"end_date": "DATE"}, "end_date", 32)
+    bucket = F.pmod(F.xxhash64(*KEYS), F.lit(32)).cast("int").alias("key_bucket")
+    rows = dimension(spark, folder).select(*[c for c in COLUMNS if c != "end_date"], "end_date", bucket)
+    rows.hint("rebalance", "end_date", "key_bucket").write.insertInto(name)
+    load_dimension(feed(spark, folder), name, **CALL)
+    return spark.table(name).drop("key_bucket")
+
+
 FEED_SCHEMA = {
     "field_delimiter": "|",
     "header": False,
@@ -479,6 +490,9 @@ WHERE {DIFFERENT} AND a.start_date <> DATE '{RUN_DATE}'""",
     "scd2_load_table": Query(
         scd2_load_table, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
     ),
+    "scd2_delta_touched": Query(
+        scd2_delta_touched, on_tables(load_sql("dim", "feed", "loaded"), select="SELECT * FROM loaded")
+    ),
     "feed_to_dimension": Query(
         feed_to_dimension, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
     ),
