@@ -120,4 +120,4 @@ def without_copies(docs: DataFrame) -> DataFrame:
     docs = located(docs)
     gone = deduplicate(docs).where("not kept").select(F.col("file").alias("gone_file"), F.col("row").alias("gone_row"))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *locator("file", "row"))
-    return named.join(gone, (F.col("file") == F.col("gone_file")) & (F.col("row") == F.col("gone_row")), "left_anti").select("doc.*")
+    return named.join(gone.hint("merge"), (F.col("file") == F.col("gone_file")) & (F.col("row") == F.col("gone_row")), "left_anti").select("doc.*")

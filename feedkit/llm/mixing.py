@@ -150,7 +150,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     took = mix(docs, keys=locator(file, row), **options).where("taken > 0").select(file, row, "size", F.explode(F.array("first", "second")).alias("words"))
     took = took.where("words > 0").select(F.col(file).alias("f"), F.col(row).alias("r"), (F.col("words") < F.col("size")).alias("cut"), "words")
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *locator(file, row))
-    joined = named.join(took, (F.col(file) == F.col("f")) & (F.col(row) == F.col("r")))
+    joined = named.join(took.hint("merge"), (F.col(file) == F.col("f")) & (F.col(row) == F.col("r")))
     text = F.when(F.col("cut"), first_words(F.col("doc.text"), F.col("words"))).otherwise(F.col("doc.text"))
     joined = joined.withColumn("mixed_text", text)
     now = {"text": F.col("mixed_text"), "n_chars": F.when(F.col("cut"), F.length("mixed_text")).otherwise(F.col("doc.n_chars")) if "n_chars" in docs.columns else None}
