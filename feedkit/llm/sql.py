@@ -58,26 +58,28 @@ QUALITY = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs),
 windows AS (
-  SELECT doc_id, i, len(w) AS n, hash(w[i:i+2]) AS three, hash(w[i:i+9]) AS ten, CASE WHEN i + 100 <= len(w) THEN hash(w[i:i+100]) END AS over
+  SELECT doc_id, i, len(w) AS n, w[i] || ' ' || w[i+1] || ' ' || w[i+2] AS three, array_to_string(w[i:i+9], ' ') AS ten
   FROM places),
 twice AS (
   SELECT doc_id, i, i + 2 <= n AND count(*) OVER (PARTITION BY doc_id, three, i + 2 <= n) > 1 AS three,
-         i + 9 <= n AND count(*) OVER (PARTITION BY doc_id, ten, i + 9 <= n) > 1 AS ten,
-         over IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, over) > 1 AS over
+         i + 9 <= n AND count(*) OVER (PARTITION BY doc_id, ten, i + 9 <= n) > 1 AS ten
   FROM windows),
 near AS (
   SELECT doc_id, bool_or(three) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS three,
-         bool_or(ten) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS ten, over
+         bool_or(ten) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS ten
   FROM twice),
+-- a run of 101 words that occurs again begins with ten that do
+overs AS (
+  SELECT doc_id FROM twice JOIN docs USING (doc_id) WHERE ten AND i + 100 <= len(w) GROUP BY doc_id, array_to_string(w[i:i+100], ' ') HAVING count(*) > 1),
 counts AS (
-  SELECT doc_id, count(*) FILTER (three) AS n_repeat_words, count(*) FILTER (ten) AS covered_words, bool_or(over) AS over FROM near GROUP BY doc_id),
+  SELECT doc_id, count(*) FILTER (three) AS n_repeat_words, count(*) FILTER (ten) AS covered_words FROM near GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 base AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-         coalesce(covered_words, 0)::BIGINT AS covered_words, coalesce(over, false) AS over
+         coalesce(covered_words, 0)::BIGINT AS covered_words, d.doc_id IN (SELECT doc_id FROM overs) AS over
   FROM docs d LEFT JOIN counts USING (doc_id) LEFT JOIN dups USING (doc_id)),
 failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed,
