@@ -6,15 +6,14 @@ make their next draw, until every place of a document is taken, so large sets st
 ranks of one shingle are correlated, which gives the estimate a lower variance than independent ones.
 
 Documents with equal sets are one class from the start. Classes that agree in a band of places share a
-bucket; in a bucket, pairs whose signatures are alike are tried, on their full sets. A pair is only tried
-if its classes are not connected yet: first the most central class with all others, then, best first and
-more with each round, what is left, until no pair is.
+bucket; in a bucket, pairs whose signatures are alike and whose classes are not connected yet are tried on
+their full sets: first the most central class with all others; then, with the links of that, all that is left.
 
 At scale: texts are read twice and shuffled once. What is shuffled in between are signatures of classes in
-shared buckets and texts of pairs that are tried. A large bucket is split into blocks that meet pairwise in
-tasks of their own. In a large group of copies the first rounds connect all, so its other pairs and
-its other buckets never come up. The exact way for groups of different texts that are all alike, yet
-below the threshold, is to try them all.
+shared buckets, and texts of classes that are tried. In a large group of copies the first pairs connect nearly
+all; what is left is compared with the group through an index of shingles, a block of classes at a time. A
+large bucket is dealt to blocks, those of its largest component and the others apart; blocks meet pairwise in
+tasks of their own, but not two of the largest component. No pairs are listed but links that connect.
 """
 
 from __future__ import annotations
@@ -40,7 +39,7 @@ MARGIN = 0.2
 #: Bands that are tried one after the other.
 PHASES = ((0, 3), (3, BANDS))
 #: Classes in a block of a bucket.
-BLOCK = 1024
+BLOCK = 512
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 UPPER = bytes(range(65, 91))
 LOWERED = bytes.maketrans(UPPER, UPPER.lower())
@@ -174,16 +173,14 @@ def groups_of(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.
         yield held
 
 
-def tries(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray, cross: np.ndarray, first: bool, most: int, alike: float, least: int) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of a block to try, as indices, and whether there are more.
+def alike_pairs(comp: np.ndarray, n: np.ndarray, sig: np.ndarray, cross: np.ndarray, alike: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block, as two rows of indices, of different components with alike signatures, and their equal places.
 
-    ``cross`` tells the two blocks apart when two meet. ``first``: the most central class with all that are
-    like it, then the most central of the others with what is like that, and so on, one pair for each class
-    at most. Otherwise the ``most`` pairs with the most equal places.
+    ``cross`` tells the two blocks apart when two meet.
     """
-    found, score = [], []
+    found, score = [np.empty((2, 0), np.int64)], [np.empty(0, np.int64)]
     two = bool(cross.any()) and not bool(cross.all())
-    for i in range(len(ids) - 1):
+    for i in range(len(comp) - 1):
         near = (comp[i + 1 :] != comp[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= least * np.maximum(n[i + 1 :], n[i]))
         if two:
             near &= cross[i + 1 :] != cross[i]
@@ -191,60 +188,116 @@ def tries(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray, cro
         if len(j):
             same = (sig[j] == sig[i]).sum(axis=1)
             good = same >= alike * PLACES
-            j, same = j[good], same[good]
-            found.append(np.stack([np.full(len(j), i), j]))
-            score.append(same)
-    if not found or not sum(map(len, score)):
-        return [], False
-    pairs, score = np.concatenate(found, axis=1), np.concatenate(score)
-    if not first:
-        order = np.argsort(-score, kind="stable")
-        return [tuple(p) for p in pairs[:, order[:most]].T.tolist()], len(order) > most
-    central = np.bincount(pairs[0], score, len(ids)) + np.bincount(pairs[1], score, len(ids))
-    rank = np.empty(len(ids), int)
-    rank[np.argsort(-central, kind="stable")] = np.arange(len(ids))
-    hub = np.where(rank[pairs[0]] < rank[pairs[1]], pairs[0], pairs[1])
-    other = pairs.sum(axis=0) - hub
-    order = np.lexsort((-score, rank[hub]))
-    parent = {c: c for c in set(comp.tolist())}
+            found.append(np.stack([np.full(int(good.sum()), i), j[good]]))
+            score.append(same[good])
+    return np.concatenate(found, axis=1), np.concatenate(score)
+
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
+class Union:
+    """Components of some names, which are joined pair by pair."""
+
+    def __init__(self, names):
+        self.parent = {name: name for name in names}
+
+    def root(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
         return x
 
-    chosen = []
-    for h, o in zip(hub[order].tolist(), other[order].tolist(), strict=True):
-        a, b = root(comp[h]), root(comp[o])
-        if a != b:
-            parent[b] = a
-            chosen.append((h, o))
-    return chosen, len(chosen) < len(order)
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(a), self.root(b)
+        self.parent[b] = a
+        return a != b
 
 
-EDGE = "a long, b long, ca long, cb long, more boolean"
+def central_pairs(comp: np.ndarray, pairs: np.ndarray, score: np.ndarray) -> list[tuple[int, int]]:
+    """The most central class with all that are like it, then the most central of the others, and so on; no pair closes a circle."""
+    central = np.bincount(pairs[0], score, len(comp)) + np.bincount(pairs[1], score, len(comp))
+    rank = np.empty(len(comp), int)
+    rank[np.argsort(-central, kind="stable")] = np.arange(len(comp))
+    hub = np.where(rank[pairs[0]] < rank[pairs[1]], pairs[0], pairs[1])
+    other = pairs.sum(axis=0) - hub
+    order = np.lexsort((-score, rank[hub]))
+    union = Union(set(comp.tolist()))
+    return [(h, o) for h, o in zip(hub[order].tolist(), other[order].tolist(), strict=True) if union.join(int(comp[h]), int(comp[o]))]
+
 
+KEY = ["key", "i", "j"]
+EDGE = "a long, b long, ca long, cb long"
 
-def tried(rows: DataFrame, first: bool, factor: int, alike: float, least: int) -> DataFrame:
-    """Pairs to try of all blocks (``key``, ``i``, ``j``; rows ``id``, ``comp``, ``n``, ``sig``, ``side``); ``more``: the block has others."""
+
+def in_blocks(rows: DataFrame, columns: list[str], kinds: str, found) -> DataFrame:
+    """``found`` of each block of ``rows``: a function of the block's table that gives rows of ``kinds``."""
+    names = [k.split()[0] for k in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups_of(batches, ["key", "i", "j"]):
-            key, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
-            ids, comp, n, side = (table.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, PLACES)
+        for table in groups_of(batches, KEY):
+            key, i, j = (table.column(c).to_numpy() for c in KEY)
             new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             out = []
             for s, e in zip([0, *new.tolist()], [*new.tolist(), len(key)], strict=True):
-                pairs, more = tries(ids[s:e], comp[s:e], n[s:e], sig[s:e], side[s:e], first, factor * (e - s), alike, least)
-                out += [(ids[s + x], ids[s + y], comp[s + x], comp[s + y], more) for x, y in pairs]
+                out += found(table.slice(s, e - s))
             if out:
-                columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.bool_())], names=["a", "b", "ca", "cb", "more"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
+
+    keyed = rows.repartition(*KEY).sortWithinPartitions(*KEY, "id")
+    return keyed.select(*KEY, *columns).mapInArrow(run, kinds)
+
+
+def alike_of(block: pa.Table, alike: float, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    ids, comp, n, side = (block.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
+    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint8).reshape(-1, PLACES)
+    return ids, comp, *alike_pairs(comp, n, sig, side, alike, least)
 
-    keyed = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    return keyed.select("key", "i", "j", "id", "comp", "n", "sig", "side").mapInArrow(run, EDGE)
+
+def tried_first(rows: DataFrame, alike: float, least: int) -> DataFrame:
+    """Of each block, a pair at most for each class, from the most central classes outwards."""
+
+    def found(block: pa.Table) -> list[tuple]:
+        ids, comp, pairs, score = alike_of(block, alike, least)
+        return [(ids[x], ids[y], comp[x], comp[y]) for x, y in central_pairs(comp, pairs, score)]
+
+    return in_blocks(rows, ["id", "comp", "n", "sig", "side"], EDGE, found)
+
+
+def left_over(rows: DataFrame, alike: float, least: int) -> DataFrame:
+    """``key``, ``i``, ``j``, ``id`` of the classes that are like one of another component in their block."""
+
+    def found(block: pa.Table) -> list[tuple]:
+        ids, _, pairs, _ = alike_of(block, alike, least)
+        key, i, j = (block.column(c)[0].as_py() for c in KEY)
+        return [(key, i, j, ids[x]) for x in np.unique(pairs).tolist()]
+
+    return in_blocks(rows, ["id", "comp", "n", "sig", "side"], "key long, i long, j long, id long", found)
+
+
+def all_links(rows: DataFrame, least: int, size: int) -> DataFrame:
+    """Links of each block (rows with ``text``) between different components, as far as they connect; by full sets.
+
+    The sets of all but the largest component are looked up in an index of all sets of the block.
+    """
+
+    def found(block: pa.Table) -> list[tuple]:
+        ids, comp = (block.column(c).to_numpy() for c in ("id", "comp"))
+        number = defaultdict(count().__next__)
+        sets = [np.fromiter((number[x] for x in shingles(words_of(t), size)), np.int64) for t in texts_of(block, "text")]
+        n = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), n)
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        owner, begin = owner[order], np.searchsorted(flat[order], np.arange(len(number) + 1))
+        names, sizes = np.unique(comp, return_counts=True)
+        main = names[np.argmax(sizes)]
+        union, links = Union(names.tolist()), []
+        for u in np.flatnonzero(comp != main).tolist():
+            both = np.bincount(np.concatenate([owner[begin[x] : begin[x + 1]] for x in sets[u].tolist()]), minlength=len(sets))
+            linked = (100 * both >= least * (n + n[u] - both)) & (comp != comp[u])
+            links += [(ids[u], ids[v], comp[u], comp[v]) for v in np.flatnonzero(linked).tolist() if union.join(int(comp[u]), int(comp[v]))]
+        return links
+
+    return in_blocks(rows, ["id", "comp", "text"], EDGE, found)
 
 
 def verified(edges: DataFrame, texts: DataFrame, least: int, size: int) -> DataFrame:
@@ -299,6 +352,39 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def in_apart_buckets(members: DataFrame, sets: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Classes of buckets with several components, dealt to blocks that meet: ``key``, ``i``, ``j``, ``side`` and what ``sets`` has."""
+    now = members.withColumn("comp", F.col("id")) if comp is None else members.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+    counts = now.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    apart = counts.groupBy("key").agg(F.sum("m").alias("size"), F.count("*").alias("comps"), F.max(F.struct("m", "comp")).alias("main")).where("comps > 1")
+    whole = F.col("size") <= BLOCK
+    apart = apart.select(
+        "key", F.col("main.comp").alias("main"),
+        F.when(whole, 0).otherwise(F.ceil(F.col("main.m") / BLOCK)).alias("mains"),  # blocks of the largest component
+        F.when(whole, 1).otherwise(F.ceil((F.col("size") - F.col("main.m")) / BLOCK)).alias("others"),
+    )
+    rows = now.join(apart, "key").join(sets, "id")
+    mark, in_main = F.xxhash64("id"), (F.col("mains") > 0) & (F.col("comp") == F.col("main"))
+    rows = rows.withColumn("at", F.when(in_main, F.pmod(mark, F.col("mains"))).otherwise(F.col("mains") + F.pmod(mark, F.col("others"))))
+    first = F.when(in_main, F.col("mains")).otherwise(F.lit(0).cast("long"))
+    meets = F.transform(
+        F.sequence(first, F.col("mains") + F.col("others") - 1),
+        lambda o: F.struct(F.least("at", o).alias("i"), F.greatest("at", o).alias("j"), (F.col("at") > o).alias("side")),
+    )
+    return rows.withColumn("meet", F.explode(meets)).select("key", "meet.i", "meet.j", "meet.side", "id", "comp", *[c for c in sets.columns if c != "id"])
+
+
+def joined(comp: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """``comp`` (``id``, ``comp`` of classes that have been linked) after ``links``."""
+    if not links.take(1):
+        return comp
+    roots = components(links.select(F.col("ca").alias("x"), F.col("cb").alias("y")))
+    ends = F.array(F.struct(F.col("a").alias("id"), F.col("ca").alias("comp")), F.struct(F.col("b").alias("id"), F.col("cb").alias("comp")))
+    known = links.select(F.explode(ends).alias("end")).select("end.*").distinct()
+    known = known if comp is None else comp.unionByName(known).distinct()
+    return stored(known.join(roots, known["comp"] == roots["node"], "left").select("id", F.coalesce("root", "comp").alias("comp")), "comp")
+
+
 def linked(members: DataFrame, sets: DataFrame, texts: DataFrame, alike: float, least: int, size: int) -> DataFrame | None:
     """``id`` and ``comp`` of classes that are connected to others.
 
@@ -306,36 +392,23 @@ def linked(members: DataFrame, sets: DataFrame, texts: DataFrame, alike: float,
     """
     comp = None
     for low, high in PHASES:
-        failed, factor, first = None, 1, True
         here = members.where((F.col("band") >= low) & (F.col("band") < high)).select("key", "id")
-        while True:
-            now = here.withColumn("comp", F.col("id")) if comp is None else here.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-            apart = now.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-            apart = apart.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-            rows = now.join(apart, "key").join(sets, "id").withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("at", o).alias("i"), F.greatest("at", o).alias("j"), (F.col("at") > o).alias("side")))
-            rows = rows.withColumn("meet", F.explode(meets)).select("key", "id", "comp", "n", "sig", "meet.i", "meet.j", "meet.side")
-            pairs = tried(rows, first, factor, alike, least)
-            # of edges that several buckets have, one; all ends of a pair in one order
-            pairs = pairs.select(F.when(F.col("a") < F.col("b"), F.struct("a", "b", "ca", "cb")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("cb").alias("ca"), F.col("ca").alias("cb"))).alias("p"), "more")
-            pairs = stored(pairs.groupBy("p.a", "p.b").agg(F.first("p.ca").alias("ca"), F.first("p.cb").alias("cb"), F.max("more").alias("more")), "pairs")
-            new = pairs if failed is None else pairs.join(failed, ["a", "b"], "left_anti")
-            degree = new.groupBy("a").agg(F.count("*").alias("of_a"))
-            seen = stored(verified(new.drop("more").join(degree, "a"), texts, least, size), "verified")
-            links = seen.where("linked")
-            more = bool(pairs.where("more").take(1))
-            if links.take(1):
-                roots = components(links.select(F.col("ca").alias("x"), F.col("cb").alias("y")))
-                # a class that is not in comp yet has itself as its component
-                touched = links.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("ca").alias("comp")), F.struct(F.col("b").alias("id"), F.col("cb").alias("comp")))).alias("t")).select("t.*").distinct()
-                known = touched if comp is None else comp.unionByName(touched).distinct()
-                comp = stored(known.join(roots, known["comp"] == roots["node"], "left").select("id", F.coalesce("root", "comp").alias("comp")), "comp")
-            if not more:
-                break
-            lost = seen.where("not linked").select("a", "b")
-            failed = stored(lost if failed is None else failed.unionByName(lost), "failed")
-            factor, first = factor * 4, False
-    return comp
+        pairs = tried_first(in_apart_buckets(here, sets, comp), alike, least)
+        # of pairs that several buckets have, one; the ends of all in one order
+        turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("cb").alias("ca"), F.col("ca").alias("cb"))
+        pairs = pairs.select(F.when(F.col("a") < F.col("b"), F.struct("a", "b", "ca", "cb")).otherwise(turned).alias("p")).select("p.*")
+        pairs = stored(pairs.distinct(), "pairs")
+        degree = pairs.groupBy("a").agg(F.count("*").alias("of_a"))
+        comp = joined(comp, stored(verified(pairs.join(degree, "a"), texts, least, size), "verified").where("linked"))
+
+    blocks = in_apart_buckets(members.select("key", "id"), sets, comp)
+    rest = stored(left_over(blocks, alike, least), "rest")
+    # of blocks with the same classes, one
+    own = rest.groupBy(*KEY).agg(F.xxhash64(F.sort_array(F.collect_list("id"))).alias("same"), F.count("*").alias("m"))
+    one = own.groupBy("same", "m").agg(F.min(F.struct(*KEY)).alias("k")).select("k.*")
+    rest = rest.join(one, KEY, "left_semi").join(texts, "id")
+    rest = rest.withColumn("comp", F.col("id")) if comp is None else rest.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    return joined(comp, stored(all_links(rest, least, size), "links"))
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, least: int = 80) -> DataFrame:
@@ -362,7 +435,7 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, least: int = 80) -> DataF
     ids = stored(members.select("id").distinct(), "ids")
     needed = stored(reps.join(ids, "id", "left_semi").select("id", "n", "sig", "file", "row"), "needed")
     places = needed.select("id", F.col("file").alias("f"), F.col("row").alias("r"))
-    texts = docs.select("text", *locator("file", "row")).join(places, (F.col("file") == F.col("f")) & (F.col("row") == F.col("r")))
+    texts = docs.select("text", *locator("file", "row")).join(places.hint("merge"), (F.col("file") == F.col("f")) & (F.col("row") == F.col("r")))
     texts = stored(texts.select("id", "text"), "texts")
     comp = linked(members, needed.select("id", "n", "sig"), texts, least / 100 - MARGIN, least, size)
 
@@ -383,4 +456,4 @@ def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     docs = located(docs)
     gone = near_duplicates(docs, **options).where("not first").select(F.col("file").alias("gone_file"), F.col("row").alias("gone_row"))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *locator("file", "row"))
-    return named.join(gone, (F.col("file") == F.col("gone_file")) & (F.col("row") == F.col("gone_row")), "left_anti").select("doc.*")
+    return named.join(gone.hint("merge"), (F.col("file") == F.col("gone_file")) & (F.col("row") == F.col("gone_row")), "left_anti").select("doc.*")
