@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +26,21 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """``name``, or a variant of it that is not a column of ``df``."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def parted(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored part by part: what one task wrote is a ``part``, and one bucket of a table.
+
+    Steps that need the rows of a part together, grouped or cogrouped by ``part``, read them where they are,
+    without a shuffle of them. ``row`` numbers the rows.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), *df.columns)
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = rows.write.format("parquet").option("path", new_folder(spark, name)).option("compression", "zstd")
+    writer.bucketBy(buckets, "part").saveAsTable(table)
+    kept = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # of an external table only the name goes
+    return kept
 
 
 def ascii_lower(text: Column) -> Column:
