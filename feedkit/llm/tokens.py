@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
@@ -9,17 +10,21 @@ from itertools import islice
 
 import numpy as np
 
-#: A word of Latin letters without marks to compose, then ASCII signs: two pieces to the tokenizer, each alone.
-SIMPLE = re.compile(r'([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)')
-WORDS_KEPT, PIECES_KEPT = 300_000, 500_000
+#: How the tokenizer cuts lower-cased text into pieces, each encoded alone (fixed value, from its file).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for text of ASCII and Latin letters without marks to compose, and anything else.
+PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+ODD = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
+PIECES_KEPT = 800_000
 
 
 class WordEncoder:
-    """Ids of a tokenizer for which white space only separates: the ids of a text are those of its words.
+    """Ids of a tokenizer that lower-cases, drops white space and encodes pieces alone, whose last ids are marked (``</w>``).
 
-    That holds for a tokenizer that drops white space, looks at no piece across it and marks the last id of
-    each piece (``</w>``). Words that come again are looked up; new ones are encoded by the library, and
-    anything but plain words is handed to it as it stands. The lookup is emptied when it is full.
+    The ids of a text are then those of its pieces in a row. Pieces that come again are looked up; new ones
+    are encoded by the library, many at once. Words with other signs, or with the tokenizer's special strings,
+    are handed to the library as they stand, and so are whole texts if its file says that it works otherwise.
+    The lookup is emptied when it is full.
     """
 
     def __init__(self, path: str):
@@ -34,48 +39,44 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.last = np.zeros(size, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
+        about = json.loads(self.library.to_str())
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in about["added_tokens"]) or r"(?!)")
+        self.by_piece = _cut(about) == PATTERN and about["model"].get("end_of_word_suffix") == "</w>"
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """For each text its ids, little-endian, as ``dtype``."""
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
+        if not self.by_piece:
+            return [x.tobytes() for x in self._ids([t.decode() for t in texts])]
         if len(self.pieces) > PIECES_KEPT:
             self.pieces.clear()
-        split = [text.split() for text in texts]
-        known = self.words
-        new = {word for words in split for word in words if word not in known}
-        if new:
-            self._learn(new)
-        return [b"".join([known[word] for word in words]) for words in split]
-
-    def _learn(self, new: set[bytes]) -> None:
-        plain, odd, pieces = [], [], set()
-        for word in new:
-            text = word.decode()
-            match = SIMPLE.fullmatch(text)
-            if match:
-                core, signs = match[1].lower(), match[2]
-                plain.append((word, core, signs))
-                if core and core not in self.pieces:
-                    pieces.add(core)
-                if signs and signs not in self.pieces:
-                    pieces.add(signs)
-            else:
-                odd.append((word, text))
-        self._learn_pieces(iter(pieces))
+        odd: dict[str, bytes] = {}
+        split = [self._split(text, odd) for text in texts]
         known = self.pieces
-        known[""] = b""
-        for word, core, signs in plain:
-            self.words[word] = known[core] + known[signs]
-        for word, ids in zip(odd, self._ids([text for _, text in odd]), strict=True):
-            self.words[word[0]] = ids.tobytes()
+        self._learn(iter(set().union(*split).difference(known, odd)))
+        if odd:
+            odd = dict(zip(odd, (x.tobytes() for x in self._ids([word[1:] for word in odd])), strict=True))
+            return [b"".join([odd[p] if p in odd else known[p] for p in pieces]) for pieces in split]
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+
+    def _split(self, text: bytes, odd: dict[str, bytes]) -> list[str]:
+        """The pieces of a text; words for the library have a space before them and are noted in ``odd``."""
+        plain = text.decode()
+        if not ODD.search(plain) and not self.special.search(plain):
+            return PIECE.findall(plain.lower())
+        out: list[str] = []
+        for word in map(bytes.decode, text.split()):
+            if ODD.search(word) or self.special.search(word):
+                odd[f" {word}"] = b""
+                out.append(f" {word}")
+            else:
+                out += PIECE.findall(word.lower())
+        return out
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pieces(self, pieces) -> None:
+    def _learn(self, pieces) -> None:
         while some := list(islice(pieces, 20_000)):
             runs = [some[i : i + 500] for i in range(0, len(some), 500)]
             for run, ids in zip(runs, self._ids([" ".join(run) for run in runs]), strict=True):
@@ -89,6 +90,13 @@ class WordEncoder:
                     start = stop
 
 
+def _cut(about: dict) -> str | None:
+    """The pattern that a tokenizer's file gives for its pieces, if lower-casing comes before it."""
+    steps = (about.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    normal = [step.get("type") for step in (about.get("normalizer") or {}).get("normalizers") or []]
+    return steps[0].get("pattern", {}).get("Regex") if normal == ["NFC", "Replace", "Lowercase"] else None
+
+
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     """One for each Python worker, kept between its tasks."""
