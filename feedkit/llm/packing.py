@@ -5,7 +5,7 @@ in proportion to their tokens; what a queue is owed is its deficit, carried to t
 corpus is cut into runs of ``run_sequences`` full sequences, packed side by side: how far each queue is
 read when a run begins follows from the proportions alone, and so does the deficit that is carried in.
 
-At scale: texts are encoded once, ids are stored and shuffled once, to their run. A run's ids have a fixed
+At scale: texts are encoded once; ids are stored part by part and shuffled once, to their run. A run's ids have a fixed
 size. A queue's positions are sums over shards of its documents, so a source with a third of all rows
 is no single window. Sources owed less than one sequence a run share a queue, so there are at most
 ``run_sequences`` + 1 queues.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedkit.llm.common import stored
+from feedkit.llm.common import parted
 from feedkit.llm.quality import chunks, texts_of
 from feedkit.llm.tokens import word_encoder
 
@@ -126,8 +126,7 @@ def pack(
     id alone. Null source: a source of its own. Repeated rows are packed each. Other columns are ignored.
     No rows give none.
     """
-    row = F.monotonically_increasing_id().alias("row")  # stored at once, so that it stays
-    rows = stored(encoded(docs, tokenizer, end).select("*", row), "tokens")
+    rows = parted(encoded(docs, tokenizer, end), "tokens")
     kind = docs.schema["doc_id"].dataType.simpleString()
     count, all_tokens = rows.agg(F.count("*"), F.sum("tokens")).first()
     if not count:
@@ -151,14 +150,13 @@ def pack(
     placed = placed.withColumn("queue", F.coalesce("large", F.lit(0)))
     placed = placed.withColumn("queue_tokens", F.coalesce("large_tokens", F.lit(rest))).withColumn("until", F.coalesce("large_until", F.lit(rest)))
     placed = placed.withColumn("mark", marks).withColumn("shard", F.conv(F.substring("mark", 1, 8), 16, 10).cast("long") % shards)
-    narrow = placed.select("queue", "shard", "mark", "row", "tokens")
+    narrow = placed.select("queue", "queue_tokens", "until", "shard", "mark", "part", "row", "tokens")
     cells = narrow.groupBy("queue", "shard").agg(F.sum("tokens").alias("cell"))
     at = F.coalesce(F.sum("cell").over(Window.partitionBy("queue").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cells = cells.select("queue", "shard", at.alias("cell_at"))
     within = F.sum("tokens").over(Window.partitionBy("queue", "shard").orderBy("mark", "row").rowsBetween(Window.unboundedPreceding, -1))
-    places = narrow.withColumn("within", F.coalesce(within, F.lit(0))).join(cells, ["queue", "shard"])
-    places = places.select(F.col("row").alias("of_row"), (F.col("cell_at") + F.col("within")).alias("a"))
-    placed = placed.drop("mark", "shard", "of").join(places, F.col("row") == F.col("of_row"))
+    placed = narrow.withColumn("within", F.coalesce(within, F.lit(0))).join(cells, ["queue", "shard"])
+    placed = placed.withColumn("a", F.col("cell_at") + F.col("within"))
 
     def read(r: Column) -> Column:
         """How far the queue is read when run ``r`` begins. All queues together: ``r * span``."""
@@ -182,12 +180,24 @@ def pack(
         ),
     )
     cut = placed.withColumn("cut", F.explode(F.filter(cuts, lambda x: x["lo"] < x["hi"])))
-    size = F.length("ids") / F.col("tokens")
     begin = F.col("cut.lo") - F.col("a")
-    pieces = cut.select(
-        F.col("cut.run").alias("run"), "queue", "doc_id", "source", "tokens", "row", F.col("cut.lo").alias("lo"), begin.alias("start"),
-        F.substring("ids", (begin * size + 1).cast("int"), ((F.col("cut.hi") - F.col("cut.lo")) * size).cast("int")).alias("ids"),
-    )
+    cut = cut.select(F.col("part").alias("of_part"), F.col("row").alias("of_row"), "queue", F.col("cut.run").alias("run"), F.col("cut.lo").alias("lo"), begin.alias("start"), (F.col("cut.hi") - F.col("cut.lo")).alias("n"))
+
+    def sliced(key, texts, cuts):
+        """Of each cut of a part its ids, and what the piece needs of its document."""
+        order = np.argsort(texts.column("row").to_numpy())
+        at = order[np.searchsorted(texts.column("row").to_numpy()[order], cuts.column("of_row").to_numpy())]
+        data, lengths = texts.column("ids").to_pylist(), texts.column("tokens").to_numpy()
+        ids = []
+        for i, start, n in zip(at.tolist(), cuts.column("start").to_pylist(), cuts.column("n").to_pylist(), strict=True):
+            size = len(data[i]) // int(lengths[i])
+            ids.append(data[i][start * size : (start + n) * size])
+        of = texts.select(["doc_id", "source", "tokens"]).take(pa.array(at))
+        arrays = {k: cuts.column(k) for k in ("run", "queue", "lo", "start")}
+        return pa.table(arrays | {k: of.column(k) for k in of.column_names} | {"ids": pa.array(ids, pa.binary())})
+
+    shape = f"run long, queue int, lo long, start long, doc_id {kind}, source string, tokens long, ids binary"
+    pieces = rows.groupBy("part").cogroup(cut.groupBy("of_part")).applyInArrow(sliced, shape)
 
     shares = [n / all_tokens for n in sizes]
     schema = PIECE.format(kind)
