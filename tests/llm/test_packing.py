@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from feedkit.llm import tokens
 from feedkit.llm.packing import pack, served, split_last
 from feedkit.llm.tokens import WordEncoder
 
@@ -34,6 +35,17 @@ def test_encoder_gives_the_librarys_ids(library):
         assert [np.frombuffer(g, encoder.dtype).tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_encoder_cuts_long_texts_and_forgets(library, monkeypatch):
+    monkeypatch.setattr(tokens, "SEGMENT", 64)
+    monkeypatch.setattr(tokens, "PIECES_KEPT", 40)
+    rng, encoder = random.Random(4), WordEncoder(PATH)
+    words = ["the", "The,", "éa", "ÉTÉ", "12", "3.4", "##", "a", "b\n", "x" * 300, "word" * 20, "don't", "日", "<|endoftext|>", "\t", "  ", "ÿÀ", "ß."]
+    for _ in range(400):
+        texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(rng.randint(1, 6))]
+        got = encoder.encode([t.encode() for t in texts])
+        assert [np.frombuffer(g, encoder.dtype).tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_encoder_leaves_other_tokenizers_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, library = WordEncoder(path), Tokenizer.from_file(path)
