@@ -4,7 +4,8 @@ A page is a row of words and tags. Words score positive and tags negative; how m
 whose markup names the article: a word by the tag it stands in, a tag by its name and what its class says
 it is. A linear scan finds the run with the largest sum; if one
 ``article`` holds it, all of that is taken. Of its blocks, those in elements that are never
-part of an article (menus, adverts, forms, comments, ...) are left out.
+part of an article (menus, adverts, forms, comments, ...) are left out. Such an element does not take out
+the article that it is wrapped around, nor, if its name may be that of a layout, most of the page's words.
 
 At scale: two passes over the pages without a shuffle of them. The counts for the weights cover all pages
 and are summed per kind of word and tag, of which there are a few hundred at most.
@@ -45,6 +46,9 @@ BESIDE = frozenset(
 #: What marks an article as one beside the article, and class names that only speak of something beside.
 BESIDE_ARTICLES = frozenset("ad ads advert comment comments promo related replies reply sponsored".split())
 ABOUT = ("has-", "no-", "with-", "without-")
+#: Elements that are also put around whole pages, and names of what may well have more words than the article.
+WRAPPERS = frozenset("head form".split())
+LONGER = frozenset("comment comments disqus related replies reply respond".split())
 PARTS = re.compile(r"[a-z]+")
 #: Scores without labelled pages, and bounds on learned ones.
 WORD, MARK, LEAST, MOST = 1.0, -3.25, 0.05, 6.0
@@ -53,7 +57,7 @@ WORD, MARK, LEAST, MOST = 1.0, -3.25, 0.05, 6.0
 def named(attributes: str) -> set[str]:
     """The parts of the names that class, id and role give."""
     names = (found[2] or found[3] or found[4] or "" for found in NAMED.finditer(attributes))
-    return {part for name in names for word in name.lower().split() if not word.startswith(ABOUT) for part in PARTS.findall(word)}
+    return {part for name in names for word in name.lower().split() if not word.startswith(ABOUT) and not word.endswith("-free") for part in PARTS.findall(word)}
 
 
 def takes_out(name: str, attributes: str, in_article: bool) -> bool:
@@ -75,6 +79,11 @@ class Page:
     ``block`` numbers the block a run of words is in, ``out`` tells whether an element takes it out of
     any article, ``inside`` whether it stands in an ``article``, ``holder`` in which outermost one of those
     (or else of ``main``), 0 for none.
+
+    Which elements take their text out is settled at the end of the page. Until then ``around`` numbers the
+    list of such elements around a token, of which each is ``takers``' (list outside of it, token, whether it
+    may be a wrapper, whether it is hidden), or, in place of an element, an article or main, whose text the
+    list outside may not take out.
     """
 
     def __init__(self, source: str):
@@ -82,11 +91,13 @@ class Page:
         self.counts: list[int] = []
         self.texts: list[str] = []
         self.block: list[int] = []
-        self.out: list[bool] = []
         self.inside: list[bool] = []
         self.holder: list[int] = []
+        self.around: list[int] = []
+        self.takers: list[tuple[int, int, bool, bool] | None] = [None]
+        self.held_at: set[int] = set()  # the lists that end in an article or main
         self.articles = held = mains = main = 0
-        opened: list[tuple[str, bool]] = []  # name, and whether it takes its text out
+        opened: list[tuple[str, int]] = []  # name, and the list outside of it
         outs = blocks = within = at = 0
 
         def add(kind: str, words: int, text: str) -> None:
@@ -94,7 +105,7 @@ class Page:
             self.counts.append(words)
             self.texts.append(text)
             self.block.append(blocks)
-            self.out.append(outs > 0)
+            self.around.append(outs)
             self.inside.append(within > 0)
             self.holder.append(held if within else -main)
 
@@ -106,8 +117,8 @@ class Page:
 
         def close(k: int) -> None:
             nonlocal outs, within, main
-            for name, takes in opened[k:]:
-                outs -= takes
+            outs = opened[k][1]
+            for name, _ in opened[k:]:
                 within -= name == "article"
                 main = 0 if name == "main" else main
             del opened[k:]
@@ -135,6 +146,7 @@ class Page:
                 add(name, 0, "")
                 continue
             marked = takes_out(name, attributes, within > 0)
+            outermost = not marked and not within and (name == "article" or name == "main" and not main)
             if name == "article":
                 self.articles += 1
                 held = held if within else held + 1
@@ -144,10 +156,75 @@ class Page:
                 main = mains
             add(name + "!" * marked, 0, "")
             if name not in VOID:
-                takes = marked or name in OUTSIDE or (name == "header" and not within)
-                opened.append((name, takes))
-                outs += takes
+                opened.append((name, outs))
+                hidden = bool(marked and HIDDEN.search(attributes))
+                if marked or name in OUTSIDE or (name == "header" and not within):
+                    wrapper = not hidden and (name in WRAPPERS or name not in OUTSIDE and name not in ("article", "header")) and LONGER.isdisjoint(named(attributes))
+                    self.takers.append((outs, len(self.kinds) - 1, wrapper, hidden))
+                    outs = len(self.takers) - 1
+                elif outermost:
+                    self.takers.append((outs, len(self.kinds) - 1, False, False))
+                    outs = len(self.takers) - 1
+                    self.held_at.add(outs)
         words(source[at:])
+        self.out = self._settled()
+
+    def _settled(self) -> list[bool]:
+        """Whether each token is out.
+
+        A wrapper counts as a plain tag if it holds more than half of the words that are neither links nor in
+        elements that cannot be wrappers, and no article or main stands free beside it. An article or main
+        is not taken out by what is around it, unless that is hidden, or the page has one with as many words
+        that stands free, or another that is taken out with over twice as many.
+        """
+        takers, holders = self.takers, self.held_at
+        if len(takers) == 1:
+            return [False] * len(self.around)
+        n = range(1, len(takers))
+        words, plain_words, clear = [0] * len(takers), [0] * len(takers), [0] * len(takers)
+        firm = [False] * len(takers)  # whether anything that cannot be a wrapper is in the list
+        for i in n:
+            outside, _, wrapper, _ = takers[i]
+            firm[i] = firm[outside] or not (wrapper or i in holders)
+        for at, kind, count in zip(self.around, self.kinds, self.counts, strict=True):
+            if count:
+                words[at] += count
+                if not firm[at] and kind != "w:a":
+                    plain_words[at] += count
+        own = words[:]
+        for i in reversed(n):  # a list's number is above that of the list outside
+            words[takers[i][0]] += words[i]
+            plain_words[takers[i][0]] += plain_words[i]
+        has_holder = [i in holders for i in range(len(takers))]
+        for i in reversed(n):
+            has_holder[takers[i][0]] |= has_holder[i]
+        in_holder = [False] * len(takers)
+        free = [True] * len(takers)  # whether no element of the list takes out
+        for i in n:
+            outside = takers[i][0]
+            in_holder[i] = in_holder[outside] or i in holders
+            free[i] = free[outside] and i in holders
+        some_free = any(free[i] for i in holders)
+        out, hidden = [False] * len(takers), [False] * len(takers)
+        plain = set()
+        for i in n:
+            outside, token, wrapper, hides = takers[i]
+            hidden[i] = hidden[outside] or hides
+            if wrapper and plain_words[i] * 2 > plain_words[0] and (has_holder[i] or in_holder[i] or not some_free):
+                plain.add(i)
+                self.kinds[token] = self.kinds[token].rstrip("!")
+            out[i] = out[outside] or not (i in plain or i in holders)
+        for i in reversed(n):
+            clear[i] += 0 if out[i] else own[i]
+            clear[takers[i][0]] += clear[i]
+        most_free = max((clear[i] for i in holders if not out[i]), default=0)
+        most = max((words[i] for i in holders if out[i] and not hidden[i]), default=0)
+        for i in n:
+            if i in holders:
+                out[i] = out[takers[i][0]] and (hidden[i] or words[i] <= most_free or words[i] * 2 < most)
+            else:
+                out[i] = out[takers[i][0]] or i not in plain
+        return [out[i] for i in self.around]
 
     def scores(self, weights: dict[str, float]) -> list[float]:
         """Of each token; words that are out of any article score nothing."""

@@ -70,3 +70,35 @@ def test_rows(spark, saved, clashing):
         [(0, "", 0), (1, TEXT[:40], len(TEXT)), (2, "", 0), (3, TEXT[:40], len(TEXT)), (3, TEXT[:40], len(TEXT)), (4, ("w x\n" * 10), 4 * 50_000 - 1)]
     )
     assert extract(frame.where("page_id > 90")).count() == 0
+
+
+TITLE = "A title of as many words as a heading seldom has but here"
+BODY = f"<h1>{TITLE}</h1>" + "".join(f"<p>{'word ' * 20}{i}</p>" for i in range(3))
+BODY_TEXT = f"{TITLE}\n" + "\n".join(f"{'word ' * 20}{i}" for i in range(3))
+WRAPPERS = ["<form id=aspnetForm>{}</form>", "<div class='site-content right-sidebar'>{}</div>", "<div id=page class=layout-sidebar>{}</div>", "<div class='content ad-free'>{}</div>"]
+
+
+@pytest.mark.parametrize("wrapper", [*WRAPPERS, "<form><div class=layout-sidebar>{}</div></form>", "<head>{}"])
+def test_wrappers_do_not_take_out_what_they_hold(wrapper):
+    beside = "<nav>Home News</nav><div class=sidebar><p>Beside it</p></div><footer>rights</footer>"
+    for inner in ("<article>{}</article>", "<main>{}</main>", "<div>{}</div>"):
+        page = "<html><body>" + wrapper.format(beside + inner.format(BODY) + beside) + "</body></html>"
+        for weights in ({}, learned([page]), learned([PAGE])):
+            assert Page(page).text(weights) == BODY_TEXT, page
+    assert Page("<body><article>" + wrapper.format(BODY) + "</article>").text({}) == BODY_TEXT
+
+
+def test_an_article_with_few_of_the_words_is_not_taken_out():
+    page = f"<aside><p>{'menu ' * 200}</p><article>{BODY}</article></aside>"
+    assert Page(page).text({}) == BODY_TEXT
+    assert Page(f"<main><p>Few words</p>{page}</main>").text({}).endswith(BODY_TEXT)
+    equal = "<div class=widget><article><p>First of two</p></article></div><div class=widget><article><p>Second of two</p></article></div>"
+    assert not any(o for o, n in zip(Page(equal).out, Page(equal).counts, strict=True) if n)
+
+
+def test_articles_and_talk_beside_the_article_stay_out():
+    page = f"<article>{BODY}</article>"
+    for beside in ("<div class=related><article><p>other</p></article></div>", f"<div class=consent><p>{'law ' * 300}</p></div>", f"<div hidden><article><p>{'x ' * 300}</p></article></div>"):
+        assert Page(page + beside).text({}) == BODY_TEXT
+    assert Page(f"<div>{BODY}</div><div id=comments><p>{'talk ' * 300}</p></div>").text({}) == BODY_TEXT
+    assert Page(f"<div class=menu>{'<a href=x>many links</a>' * 200}</div><div>{BODY}</div>").text({}) == BODY_TEXT
