@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from feedkit.llm.quality import texts_of
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|iframe|title)\b[^>]*+(?:>.*?(?:</\1\s*+>|\Z)|\Z)"
+    r"""<!--.*?(?:-->|\Z)|<svg\b(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+(?<=/)>"""  # an empty svg
+    r"|<(script|style|noscript|template|svg|textarea|iframe|title)\b[^>]*+(?:>.*?(?:</\1\s*+>|\Z)|\Z)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)>|<[/!?a-zA-Z][^>]*+(?:>|\Z)""",
     re.DOTALL | re.IGNORECASE,
 )

@@ -102,3 +102,10 @@ def test_articles_and_talk_beside_the_article_stay_out():
         assert Page(page + beside).text({}) == BODY_TEXT
     assert Page(f"<div>{BODY}</div><div id=comments><p>{'talk ' * 300}</p></div>").text({}) == BODY_TEXT
     assert Page(f"<div class=menu>{'<a href=x>many links</a>' * 200}</div><div>{BODY}</div>").text({}) == BODY_TEXT
+
+
+@pytest.mark.parametrize("icon", ["<svg/>", "<svg class='icon' />", '<SVG data-x="a > b" width=1 />', "<svg><path d=''/></svg>"])
+def test_text_after_an_empty_svg_is_kept(icon):
+    for end in ("", "<p>end <svg><title>out</title><text>of it</text></svg></p>"):
+        page = f"<article>{icon}<p>First words {icon} here</p><p>more of them</p>{end}</article>"
+        assert Page(page).text({}) == "First words here\nmore of them" + ("\nend" if end else "")
