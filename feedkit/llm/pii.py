@@ -7,7 +7,8 @@ Expectation-maximisation over the counts of all vote patterns estimates how reli
 and the proposals' probabilities then train a span classifier on what stands in and before the span.
 
 At scale: texts are read once and not shuffled. The votes are counted per pattern, of which there are
-3^labelers a kind at most, and only those counts and a bounded sample of proposals reach the driver.
+3^labelers a kind at most, and only those counts and a bounded sample of the distinct proposals reach the
+driver, with some of each kind and vote pattern. Each kind has the same weight in training.
 """
 
 from __future__ import annotations
@@ -206,8 +207,8 @@ def estimated(counts: dict[tuple, int], rounds: int = 60) -> dict[tuple, float]:
     return result
 
 
-def trained(rows: list[tuple[list[int], float]], epochs: int = 100, rate: float = 0.3) -> np.ndarray:
-    """Logistic weights of the features for the estimated probabilities; the last is the offset."""
+def trained(rows: list[tuple[list[int], float]], epochs: int = 100, rate: float = 0.3, counts: list[float] | None = None) -> np.ndarray:
+    """Logistic weights of the features for the estimated probabilities; the last is the offset. A row counts as often as ``counts`` says."""
     weights, square = np.zeros(FEATURES + 1), np.full(FEATURES + 1, 1e-6)
     if not rows:
         weights[-1] = -30.0
@@ -215,9 +216,10 @@ def trained(rows: list[tuple[list[int], float]], epochs: int = 100, rate: float
     index = np.concatenate([[*f, FEATURES] for f, _ in rows]).astype(int)
     of = np.repeat(np.arange(len(rows)), [len(f) + 1 for f, _ in rows])
     truth = np.array([p for _, p in rows])
+    share = np.full(len(rows), 1 / len(rows)) if counts is None else np.array(counts) / np.sum(counts)
     for _ in range(epochs):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(of, weights[index]), -30, 30)))
-        slope = np.bincount(index, ((p - truth) / len(rows))[of], FEATURES + 1) + 1e-5 * weights
+        slope = np.bincount(index, ((p - truth) * share)[of], FEATURES + 1) + 1e-5 * weights
         square += slope**2
         weights -= rate * slope / np.sqrt(square)
     return weights
@@ -227,6 +229,33 @@ def probability(weights: np.ndarray, found: list[int]) -> float:
     return float(1 / (1 + np.exp(-np.clip(weights[found].sum() + weights[-1], -30, 30))))
 
 
+def bound_of(counts: list[int], sample: int) -> float:
+    """How many of each pattern's proposals to take, all of a smaller one, so that they are ``sample`` at most."""
+    left = sample
+    for i, n in enumerate(sorted(counts)):
+        if n * (len(counts) - i) > left:
+            return left / (len(counts) - i)
+        left -= n
+    return max(counts, default=0)
+
+
+def sampled(each: DataFrame, counts: dict[tuple, int], sample: int) -> list[tuple[int, str, list[int], float]]:
+    """Distinct proposals as (kind, votes, features, how many they stand for), of each kind and votes about as many as their share of ``sample``.
+
+    One that ``n`` rows have is taken with a probability in proportion to ``n``, by a hash of it, so copies
+    are one row here and the frequent ones are surely in.
+    """
+    bound = bound_of(list(counts.values()), sample)
+    if not counts or bound <= 0:
+        return []
+    step = {(k, "".join("-0+"[x + 1] for x in v)): max(1.0, n / bound) for (k, v), n in counts.items()}
+    by_name = F.create_map(*[F.lit(x) for (k, v), n in sorted(step.items()) for x in (f"{k}{v}", n)])
+    groups = each.groupBy("k", "v", "f").agg(F.count("*").alias("n"))
+    place = F.pmod(F.xxhash64("k", "v", "f"), F.lit(1 << 40)) / F.lit(1 << 40)
+    rows = groups.where(place * by_name[F.concat(F.col("k").cast("string"), "v")] < F.col("n")).collect()
+    return sorted((r["k"], r["v"], r["f"], max(float(r["n"]), step[r["k"], r["v"]])) for r in rows)
+
+
 def written_out(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
@@ -260,8 +289,9 @@ def find(docs: DataFrame, *, sample: int = 20_000, least: float = 0.5) -> DataFr
 
     Returns ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone`` (base spans), ``base_sha256``,
     ``spans`` (base spans and the proposals that the classifier gives ``least`` or more, as
-    ``kind:start:end`` in code points) and ``n_added``. The classifier learns from at most ``sample``
-    proposals, the first in the order of a hash of their features.
+    ``kind:start:end`` in code points) and ``n_added``. The classifier learns from about ``sample`` distinct
+    proposals at most, shared out evenly among the kinds and vote patterns; of a kind that has none there,
+    the estimated probabilities decide.
 
     Null or empty text has no spans. Repeated rows get a row each. Other columns are ignored. No rows give none.
     """
@@ -270,9 +300,15 @@ def find(docs: DataFrame, *, sample: int = 20_000, least: float = 0.5) -> DataFr
     each = rows.select(F.explode("more").alias("p")).select("p.k", "p.v", "p.f")
     counts = {(r["k"], tuple("-0+".index(c) - 1 for c in r["v"])): r["n"] for r in each.groupBy("k", "v").agg(F.count("*").alias("n")).collect()}
     truth = estimated(counts)
-    mark = F.md5(F.concat_ws(",", F.col("k"), F.col("v"), F.concat_ws(".", F.col("f").cast("array<string>"))))
-    some = each.withColumn("mark", mark).orderBy("mark").limit(sample).collect()
-    weights = trained([(r["f"], truth[r["k"], tuple("-0+".index(c) - 1 for c in r["v"])]) for r in some])
+    truth = {(k, "".join("-0+"[x + 1] for x in v)): p for (k, v), p in truth.items()}
+    some = sampled(each, counts, sample)
+    total: dict[int, float] = {}
+    for k, _, _, n in some:
+        total[k] = total.get(k, 0) + n
+    weights = trained([(f, truth[k, v]) for k, v, f, _ in some], counts=[n / total[k] for k, _, _, n in some])
+
+    def likely(x: dict) -> float:
+        return probability(weights, x["f"]) if x["k"] in total else truth[x["k"], x["v"]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,7 +316,7 @@ def find(docs: DataFrame, *, sample: int = 20_000, least: float = 0.5) -> DataFr
             sha, spans, added = [], [], []
             for base, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 held = [(int(s), KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in base.split(",") if x)]
-                new = [(x["s"], x["k"], x["e"]) for x in more if probability(weights, x["f"]) >= least]
+                new = [(x["s"], x["k"], x["e"]) for x in more if likely(x) >= least]
                 for k, counts in enumerate(n):
                     counts.append(sum(x[1] == k for x in held))
                 sha.append(hashlib.sha256(base.encode()).hexdigest())

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from feedkit.llm.pii import KINDS, base_spans, estimated, find, luhn, proposals, trained, probability, votes
+from feedkit.llm.pii import KINDS, base_spans, bound_of, estimated, find, luhn, probability, proposals, sampled, trained, votes
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -83,3 +83,38 @@ def test_edges(edges, empty):
     assert len(rows) == edges.count()
     assert all(r["spans"] == "" and r["n_email"] == 0 for r in rows if r["doc_id"] in (2, 3, 4, 6))
     assert find(empty).count() == 0
+
+
+def test_rare_kinds_are_learned_beside_frequent_ones(spark, saved):
+    """One account number among many telephone-like numbers, of which a hot template has most; none may decide for the other."""
+    rng = random.Random(4)
+    texts = ["their account GB82WEST12345698765432 is given"] * 2
+    texts += [f"order number {rng.randint(100, 999)} {rng.randint(1000, 9999)} {rng.randint(100, 999)} {rng.randint(100, 999)} of {i}" for i in range(150)]
+    texts += ["page no 111 2222 333 444 of all"] * 300
+    frame = saved(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for sample in (20, 20_000):
+        rows = {r["doc_id"]: r["spans"] for r in find(frame, sample=sample).collect()}
+        assert rows[0] == rows[1] == "iban:14:36", sample
+        assert not any(rows[i] for i in range(2, len(texts))), sample
+
+
+def test_without_training_rows_the_estimate_decides(spark, saved):
+    texts = ["their account GB82WEST12345698765432 is given"] * 20
+    rows = find(saved(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), sample=0).collect()
+    assert [r["spans"] for r in rows] == ["iban:14:36"] * 20
+
+
+def test_sample_is_shared_out_and_stands_for_all():
+    assert bound_of([], 5) == 0 and bound_of([1, 2, 3], 6) == 3 and bound_of([1, 2, 3], 100) == 3
+    assert bound_of([1, 100, 1000], 21) == 10 and bound_of([1000] * 4, 100) == 25
+
+
+def test_proposals_of_all_kinds_are_sampled(spark):
+    rows = [(3, "+00+0", [i]) for i in range(3000)] + [(3, "+00+0", [9999])] * 3000 + [(5, "+0+00", [1])] + [(7, "-000-", [i]) for i in range(40)]
+    each = spark.createDataFrame(rows, "k int, v string, f array<int>")
+    counts = {(3, (1, 0, 0, 1, 0)): 6000, (5, (1, 0, 1, 0, 0)): 1, (7, (-1, 0, 0, 0, -1)): 40}
+    found = sampled(each, counts, 341)
+    of = {k: [(f, n) for j, _, f, n in found if j == k] for k in (3, 5, 7)}
+    assert of[5] == [([1], 1.0)] and of[7] == [([i], 1.0) for i in range(40)]
+    assert 100 < len(of[3]) < 200 and ([9999], 3000.0) in of[3]  # 300 of 6000, of which the copies are 150
+    assert abs(sum(n for _, n in of[3]) - 6000) < 1000
