@@ -118,3 +118,13 @@ def test_proposals_of_all_kinds_are_sampled(spark):
     assert of[5] == [([1], 1.0)] and of[7] == [([i], 1.0) for i in range(40)]
     assert 100 < len(of[3]) < 200 and ([9999], 3000.0) in of[3]  # 300 of 6000, of which the copies are 150
     assert abs(sum(n for _, n in of[3]) - 6000) < 1000
+
+
+def test_long_tokens_and_padded_addresses_are_whole():
+    key = "aB3-" * 5000
+    assert proposals(f"key {key} end", []) == [(4, KINDS.index("secret"), 4 + len(key))]
+    zeros = "0" * 6000
+    for text in (f"{zeros}10.0.{zeros}.255", "1.2.3.0004"):
+        assert base_spans(f"ip {text} end") == [(3, 1, 3 + len(text))]
+    assert base_spans(f"ip {zeros}256.0.0.1") == base_spans("ip 1.2.3.1000") == []
+    proposals("a1" * 500_000 + "é" + "a" * 500_000 + "1", [])
