@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import bpe, sql
+from feedkit.llm import bpe, spelling, sql
 from feedkit.llm.classifier import classify
 from feedkit.llm.common import table
 from feedkit.llm.exact import deduplicate
@@ -67,5 +67,14 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(counted, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op4_repeated_passages, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup, op11_byte_bpe)}
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    runs = spelling.runs(table(spark, folder, "documents"), 7)
+    mark = F.crc32(F.encode(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "run"), "utf-8"))
+    at = (mark % F.char_length("run")).cast("int")
+    damaged = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    words = runs.select(F.when(mark % 31 == 0, damaged).otherwise(F.col("run")).alias("word"))
+    return spelling.variants(spelling.counted(words, 7, 2), 7)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op4_repeated_passages, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup, op11_byte_bpe, op13_spelling_variants)}
 ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
