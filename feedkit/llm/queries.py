@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import bpe, spelling, sql
+from feedkit.llm import bpe, spelling, sql, turns
 from feedkit.llm.classifier import classify
 from feedkit.llm.common import table
 from feedkit.llm.exact import deduplicate
@@ -67,6 +67,17 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(counted, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    harm = F.crc32(F.encode(F.concat_ws(":", *named), "utf-8")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    text = F.when(harm == 1, "").when(harm == 2, F.translate(text, ".!?", "")).otherwise(text)
+    damaged = given.select("conv_id", "turn", F.when(harm == 4, "user").otherwise(role).alias("role"), text.alias("text"), harm.alias("harm"))
+    twice = F.explode(F.array_repeat(F.lit(1), F.when(F.col("harm") == 3, 2).otherwise(1)))
+    return turns.reports(damaged.withColumn("copy", twice), stays=F.col("harm") != 0)
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     runs = spelling.runs(table(spark, folder, "documents"), 7)
     mark = F.crc32(F.encode(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "run"), "utf-8"))
@@ -76,5 +87,5 @@ def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.counted(words, 7, 2), 7)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op4_repeated_passages, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup, op11_byte_bpe, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op4_repeated_passages, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup, op11_byte_bpe, op12_conversation_repair, op13_spelling_variants)}
 ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
