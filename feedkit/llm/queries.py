@@ -88,4 +88,4 @@ def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_quality_classifier, op4_repeated_passages, op5_pack, op6_quality_rules, op7_pii, op8_html_extraction, op9_near_duplicates, op10_exact_dedup, op11_byte_bpe, op12_conversation_repair, op13_spelling_variants)}
-ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT}
+ORACLE = {"op2_mix_sources": sql.MIX, "op6_quality_rules": sql.QUALITY, "op10_exact_dedup": sql.EXACT, "op12_conversation_repair": sql.REPAIR, "op13_spelling_variants": sql.SPELLING}

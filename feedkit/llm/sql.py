@@ -86,3 +86,95 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, cove
        NOT base_failed AND covered_words <= 0.3::DOUBLE * n_words AND NOT over AS kept
 FROM failed
 """
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes: each byte is taken in, then eight bits shifted out."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT"
+    steps = f"flatten(list_transform(range(0, strlen({text})), lambda k: [{byte}, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {step}), 4294967295)"
+
+
+# Turn by turn, for each role that the repaired turns so far can end with ('' none, s, u, a): least cost, then least audit.
+# Before each turn and at the end up to two turns are inserted; a third would lead back to where one does.
+REPAIR = rf"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+harmed AS (SELECT *, {_crc32("key")} % 20 AS harm FROM marked),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(0, CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM harmed WHERE harm <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS repeated,
+         rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS said FROM damaged),
+rows AS (
+  SELECT conv_id, turn, i, role, text, substr(role, 1, 1) AS initial,
+         CASE WHEN said = '' THEN 'blank' WHEN repeated THEN 'duplicate' WHEN said[-1] IN ('.', '!', '?') THEN 'none' ELSE 'truncated' END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+counts AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id),
+inserts(start, audit, ending, made) AS (VALUES
+  ('', '', '', []::VARCHAR[]), ('s', '', 's', []), ('u', '', 'u', []), ('a', '', 'a', []),
+  ('', 'I', 'u', ['user:']), ('s', 'I', 'u', ['user:']), ('u', 'I', 'a', ['assistant:']), ('a', 'I', 'u', ['user:']),
+  ('', 'II', 'a', ['user:', 'assistant:']), ('s', 'II', 'a', ['user:', 'assistant:']), ('u', 'II', 'u', ['assistant:', 'user:']),
+  ('a', 'II', 'a', ['user:', 'assistant:'])),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, '' AS ending, {{'cost': 0::BIGINT, 'audit': '', 'made': []::VARCHAR[]}} AS best FROM counts
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, e.ending,
+         min({{'cost': w.best.cost + 5 * length(s.audit) + e.cost, 'audit': w.best.audit || s.audit || e.edit, 'made': w.best.made || s.made || e.made}})
+  FROM walk w JOIN inserts s ON s.start = w.ending JOIN rows r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1,
+  LATERAL (
+    SELECT s.ending AS ending, 'D' AS edit, 2 AS cost, []::VARCHAR[] AS made
+    UNION ALL SELECT t.sign, CASE WHEN r.initial = t.sign THEN 'K' ELSE 'R' END,
+                     CASE WHEN r.initial = t.sign THEN 0 ELSE 1 END + CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END,
+                     [CASE WHEN r.initial = t.sign THEN r.role WHEN t.sign = 'u' THEN 'user' ELSE 'assistant' END || ':' || r.text]
+              FROM (VALUES (CASE WHEN s.ending = 'u' THEN 'a' ELSE 'u' END)) AS t(sign) WHERE r.fault NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT 's', 'K', CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END, [r.role || ':' || r.text]
+              WHERE s.ending = '' AND r.initial = 's' AND r.fault NOT IN ('blank', 'duplicate')) e
+  GROUP BY w.conv_id, w.i, e.ending),
+finished AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + 5 * length(s.audit), 'audit': w.best.audit || s.audit, 'made': w.best.made || s.made}}) AS best
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i JOIN inserts s ON s.start = w.ending
+  WHERE s.ending IN ('', 'a') GROUP BY w.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(f.best.cost, 0) AS cost, coalesce(f.best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(f.best.made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+# Two words are near if one without a letter is the other, or both without the letter at one place are equal.
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS times, coalesce(doc_id::VARCHAR, '') || ':' || run AS key FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+marked AS (SELECT run, times, {_crc32("key")} AS mark FROM counted),
+harmed AS (
+  SELECT CASE WHEN mark % 31 = 0 THEN substr(run, 1, mark % length(run)) || substr(run, mark % length(run) + 2) ELSE run END AS word, times FROM marked),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM harmed WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+without AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n FROM without a JOIN words b ON a.rest = b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN without b ON b.rest = a.word
+  UNION SELECT a.word, b.word, b.n FROM without a JOIN without b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word),
+best AS (SELECT word, count(*) AS n_near, min({{'n': -n, 'word': other}}) AS best FROM pairs GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -b.best.n >= 10 * w.n THEN b.best.word END AS form, CASE WHEN -b.best.n >= 10 * w.n THEN -b.best.n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)),
+chain AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM formed f JOIN roots r USING (word)
+"""
