@@ -1,16 +1,19 @@
 from feedkit.sources.config import load_json
 from feedkit.sources.feeds import (
+    SplitFeed,
     list_files,
     read_feed,
     read_fixed_width,
     read_positional,
     read_widths,
     read_with_header,
+    split_feed,
 )
 from feedkit.sources.options import csv_options
 from feedkit.sources.tables import list_tables, preview, read_table
 
 __all__ = [
+    "SplitFeed",
     "csv_options",
     "list_files",
     "list_tables",
@@ -22,4 +25,5 @@ __all__ = [
     "read_table",
     "read_widths",
     "read_with_header",
+    "split_feed",
 ]

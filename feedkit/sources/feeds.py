@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.functions.names import reject_duplicates
+from feedkit.functions.names import column, quoted, reject_duplicates
 from feedkit.functions.positions import spans
 from feedkit.functions.types import cast_as, one_of
 from feedkit.sources.config import load_json
@@ -25,8 +24,11 @@ from feedkit.sources.options import (
     settings_of,
     text_options,
 )
+from feedkit.workdir import new_folder, written
 
 MISMATCHES = ("fail", "permit")
+#: Column of a line that cannot be read as its schema says.
+LINE = "__line"
 
 
 def read_feed(
@@ -56,17 +58,62 @@ def read_feed(
     else:
         names = [p["name"] for p in properties]
         reject_duplicates(names, "feed schema")
-        settings = {
-            "field_delimiter": document.get("field_delimiter", ","),
-            "error_on_column_count_mismatch": on_mismatch == "fail",
-            **(file_format or {}),
-        }
-        if "header" in document and header_lines(settings_of(settings)) < 2:
-            settings["skip_header"] = int(bool(document["header"]))
-        df = _delimited(spark, path, names, settings)
+        df = _delimited(spark, path, names, _settings(document, file_format, on_mismatch == "fail"))
     return df if partitions is None else df.repartition(partitions)
 
 
+@dataclass(frozen=True)
+class SplitFeed:
+    """A feed's ``rows``, and its ``rejects``: ``file``, ``block`` (where the split begins), ``line`` and ``reason``."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def split_feed(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: str | dict,
+    *,
+    file_format: Mapping[str, object] | None = None,
+    positions: str = "start_length",
+) -> SplitFeed:
+    """Rows of a feed as :func:`read_feed` gives them and, apart from them, the lines that are none.
+
+    A line goes with the reason ``field_count`` if it has too few or too many fields, ``characters`` if it holds bytes
+    that are no text, unless they are to be replaced; its bytes then show as U+FFFD. Fixed width knows only the second:
+    a short line has empty fields. The feed is read once, and both results stored apart in the shared folder.
+    """
+    document = load_json(spark, schema)
+    settings = _settings(document, file_format, mismatch_fails=True)
+    replaces = str(settings_of(settings)["replace_invalid_characters"]).strip().upper() == "TRUE"
+    if document.get("isFixedWidth"):
+        fixed_width_settings(file_format)
+        names = ["value"]
+        skip = max(header_lines(settings_of(file_format)), int(bool(document.get("header"))))
+        read = _placed_lines(spark, path, skip, settings_of(file_format))
+        wrong = F.lit(not replaces) & ~F.is_valid_utf8("value")
+        judged = read.select("value", "file", "block", F.when(wrong, F.make_valid_utf8("value")).alias("line"), F.when(wrong, "characters").alias("reason"))
+    else:
+        names = [p["name"] for p in document["properties"]]
+        reject_duplicates([*names, LINE, "file", "block", "line", "reason", "rejected"], "feed schema")
+        read = _delimited_with_place(spark, path, names, settings)
+        whole = F.concat_ws(settings_of(settings)["field_delimiter"], *[column(n) for n in names])
+        wrong = F.lit(not replaces) & whole.contains("\ufffd")
+        reason = F.when(F.col(LINE).isNotNull(), "field_count").when(wrong, "characters")
+        judged = read.select(*[column(n) for n in names], "file", "block", F.coalesce(LINE, F.when(wrong, whole)).alias("line"), reason.alias("reason"))
+    stored, kept = new_folder(spark, "feed"), [column(n) for n in names]
+    judged.withColumn("rejected", F.col("reason").isNotNull()).write.partitionBy("rejected").parquet(stored)
+    fields = ", ".join([_ddl(names), "file string, block long, line string, reason string, rejected boolean"])
+    both = spark.read.schema(fields).parquet(stored)
+    rows = both.where("NOT rejected").select(*kept)
+    if document.get("isFixedWidth"):
+        rows = _cut(rows.select(F.make_valid_utf8("value").alias("value")), document["properties"], positions, fixed_width_settings(file_format), file_format)
+    else:
+        rows = after_read(rows, settings)
+    return SplitFeed(rows, both.where("rejected").select("file", "block", "line", "reason"))
+
+
 def read_with_header(
     spark: SparkSession, path: str | Sequence[str], delimiter: str = ",", infer_types: bool = True
 ) -> DataFrame:
@@ -107,11 +154,9 @@ def read_fixed_width(
     the end of a short line is empty. ``header=True`` drops the first line of each file, whatever it
     holds; ``file_format`` may name more lines, and what else means something without delimiters.
     """
-    reject_duplicates([p["name"] for p in properties], "fixed-width layout")
-    fields = {name: F.substring("value", start, length) for name, start, length in spans(properties, positions)}
     settings = fixed_width_settings(file_format)
     lines = _lines(spark, path, max(header_lines(settings), int(header)), settings)
-    return lines.select(*[fixed_field(cut, settings, file_format).alias(n) for n, cut in fields.items()])
+    return _cut(lines, properties, positions, settings, file_format)
 
 
 def read_widths(
@@ -166,6 +211,22 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     return reader.load(path).select("path", "length", "modificationTime")
 
 
+def _settings(document: dict, file_format: Mapping[str, object] | None, mismatch_fails: bool) -> dict[str, object]:
+    """What the schema document and the file format say of a delimited feed."""
+    settings = {"field_delimiter": document.get("field_delimiter", ","), "error_on_column_count_mismatch": mismatch_fails, **(file_format or {})}
+    if "header" in document and header_lines(settings_of(settings)) < 2:
+        settings["skip_header"] = int(bool(document["header"]))
+    return settings
+
+
+def _cut(
+    lines: DataFrame, properties: Sequence[dict], positions: str, settings: Mapping[str, object], file_format: Mapping[str, object] | None
+) -> DataFrame:
+    reject_duplicates([p["name"] for p in properties], "fixed-width layout")
+    fields = {name: F.substring("value", start, length) for name, start, length in spans(properties, positions)}
+    return lines.select(*[fixed_field(cut, settings, file_format).alias(n) for n, cut in fields.items()])
+
+
 def _strings(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
@@ -173,41 +234,62 @@ def _strings(names: Sequence[str]) -> T.StructType:
 def _delimited(
     spark: SparkSession, path: str | Sequence[str], names: Sequence[str], file_format: Mapping[str, object] | None
 ) -> DataFrame:
-    settings, options, schema = settings_of(file_format), csv_options(file_format), _strings(names)
+    settings, options = settings_of(file_format), csv_options(file_format)
     skip = header_lines(settings)
     if skip < 2:
-        return after_read(spark.read.options(**options).schema(schema).csv(path), file_format)
-    parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
-    lines = _lines(spark, path, skip, settings)
-    return after_read(lines.select(parsed.alias("row")).select("row.*"), file_format)
+        return after_read(spark.read.options(**options).schema(_strings(names)).csv(path), file_format)
+    parsed = F.from_csv("value", _ddl(names), options)
+    rows = _lines(spark, path, skip, settings).select(parsed.alias("row"))
+    # the condition holds for every row; without it a row of which no field is used would not be parsed, nor its fields counted
+    return after_read(rows.where("row IS NOT NULL").select("row.*"), file_format)
+
+
+def _delimited_with_place(
+    spark: SparkSession, path: str | Sequence[str], names: Sequence[str], file_format: Mapping[str, object]
+) -> DataFrame:
+    """The fields as read, ``LINE`` where their number is wrong, and file and block."""
+    settings, skip = settings_of(file_format), header_lines(settings_of(file_format))
+    options = {**csv_options(file_format), "mode": "PERMISSIVE", "columnPruning": "false", "columnNameOfCorruptRecord": LINE}
+    if skip < 2:
+        read = spark.read.options(**options).schema(_strings([*names, LINE])).csv(path)
+        return read.select("*", *_place())
+    parsed = F.from_csv("value", _ddl([*names, LINE]), options)
+    return _placed_lines(spark, path, skip, settings).select(parsed.alias("row"), "file", "block").select("row.*", "file", "block")
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str], skip: int, settings: Mapping[str, object]) -> DataFrame:
     """Lines that are not blank, without the first ``skip`` of each file."""
-    lines = spark.read.options(**text_options(settings)).text(path)
-    if skip:
-        lines = _without_first(lines, skip)
-    return lines.where(F.trim("value") != "").select(checked_line(settings).alias("value"))
+    return _placed_lines(spark, path, skip, settings).select(checked_line(settings).alias("value"))
+
+
+def _placed_lines(spark: SparkSession, path: str | Sequence[str], skip: int, settings: Mapping[str, object]) -> DataFrame:
+    lines = spark.read.options(**text_options(settings)).text(path).select("value", *_place())
+    return (_without_first(lines, skip) if skip else lines).where(F.trim("value") != "")
+
+
+def _place() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
 
 
 def _without_first(lines: DataFrame, skip: int) -> DataFrame:
-    """Lines by their place in the file, not by what they hold. The first ones lie in the file's first split."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, seen = None, 0  # the split of the line before, and its lines so far
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            file, start = (batch.column(i).to_numpy() for i in (1, 2))
-            new = np.ones(n, bool)
-            new[1:] = (file[1:] != file[:-1]) | (start[1:] != start[:-1])
-            index = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
-            if last == (file[0], start[0]):
-                others = np.flatnonzero(new[1:])
-                index[: int(others[0]) + 1 if len(others) else n] += seen
-            last, seen = (file[-1], start[-1]), int(index[-1]) + 1
-            yield batch.filter(pa.array((start != 0) | (index >= skip))).select(["value"])
-
-    placed = lines.select("value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    return placed.mapInArrow(run, "value string")
+    """Lines by their place in the file, not by what they hold, and whichever splits the first ones lie in.
+
+    A pass over the lines counts those of each split; running totals by where the splits begin tell which lines come
+    first. Lines are known by a number that Spark gives them as it reads, the same in both passes: the files, and
+    how they are split, are those of one relation. Neither pass leaves the JVM. The numbers of the first lines,
+    ``skip`` a file, are written to the shared folder, so that Spark sees whether they can be broadcast.
+    """
+    placed = lines.withColumn("number", F.monotonically_increasing_id())
+    splits = placed.groupBy("file", "block").agg(F.min("number").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    tops = splits.withColumn("left", skip - before).where("left > 0 AND n > 0")
+    numbers = tops.select(F.explode(F.expr("sequence(first, first + least(n, left) - 1)")).alias("number"))
+    first = written(numbers, "first-lines").withColumn("goes", F.lit(True))
+    # null, not an anti join: a condition on the value alone would be moved below that, and a check of fields meet the first lines
+    value = F.when(F.col("goes").isNull(), F.col("value")).alias("value")
+    return placed.join(first, "number", "left").select(value, "file", "block")
+
+
+def _ddl(names: Sequence[str]) -> str:
+    return ", ".join(f"{quoted(n)} string" for n in names)

@@ -14,6 +14,7 @@ from feedkit.sources import (
     read_positional,
     read_widths,
     read_with_header,
+    split_feed,
 )
 from feedkit.sources.feeds import parse_schema
 
@@ -248,6 +249,47 @@ def test_the_first_line_goes_by_its_place(spark, file, rows, size):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.fixture
+def split_size(spark):
+    """Sets how large splits of files are."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("size", ["128m", "1k", "300"])
+def test_first_lines_longer_than_a_split(spark, file, rows, tmp_path, split_size, size):
+    split_size(size)
+    (tmp_path / "long").mkdir()
+    top = "h" * 3000
+    for i in range(3):
+        data = [f"{i}{k:04},x" for k in range(500)] + ["h" * 3000 + ",x"]
+        file("\n".join([top, "", top + "2", *data]) + "\n", f"long/{i}.csv")
+    file(f"{top}\n{top}", "long/short.csv")  # fewer lines than are to go
+    schema = {"properties": [{"name": "a"}, {"name": "b"}]}
+    path = str(tmp_path / "long")
+    read = read_feed(spark, path, schema, file_format={"skip_header": 3})
+    assert read.count() == 1503
+    assert rows(read)[0] == ("00000", "x")
+    layout = [{"name": "a", "position": "1,5"}]
+    assert read_fixed_width(spark, path, layout, file_format={"skip_header": 3}).count() == 1503
+    assert read_fixed_width(spark, path, layout, file_format={"skip_header": 2}).count() == 1506
+    assert read_fixed_width(spark, path, layout, header=True).count() == 1507
+    plan = read._jdf.queryExecution().toString()
+    assert "Arrow" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("skip", [0, 1, 2, 3])
+def test_wrong_numbers_of_fields_fail_whatever_is_skipped(spark, file, skip):
+    path = file("top\n" * skip + "1,a\n2\n3,a,b\n", f"uneven{skip}.csv")
+    schema = {"properties": [{"name": "a"}, {"name": "b"}]}
+    for use in (lambda d: d.count(), lambda d: d.select("a").collect(), lambda d: d.selectExpr("count(b)").collect()):
+        with pytest.raises((PySparkException, Py4JError)):
+            use(read_feed(spark, path, schema, file_format={"skip_header": skip}))
+    assert read_feed(spark, path, schema, file_format={"skip_header": skip}, on_mismatch="permit").count() == 3
+
+
 def test_each_file_has_its_own_first_line(spark, file, rows, tmp_path):
     (tmp_path / "many").mkdir()
     for i in range(5):
@@ -292,3 +334,37 @@ def test_bytes_that_are_no_text_fail_unless_replaced(spark, tmp_path, rows):
             read_feed(spark, str(tmp_path / "bad.csv"), document).collect()
         found = read_feed(spark, str(tmp_path / "bad.csv"), document, file_format={"replace_invalid_characters": True})
         assert rows(found, "a") == [("a\ufffd",)]
+
+
+# ---------------------------------------------------------------- lines that are no rows
+
+
+@pytest.mark.parametrize("skip", [0, 1, 2])
+@pytest.mark.parametrize("size", ["128m", "64"])
+def test_rejects_have_a_place_and_a_reason(spark, tmp_path, rows, split_size, skip, size):
+    split_size(size)
+    (tmp_path / "two").mkdir()
+    good = "".join(f"{k},v{k},w\n" for k in range(20))
+    top = "top,of,file\n" * skip
+    (tmp_path / "two" / "a.csv").write_bytes((top + good + "1,2\n").encode())
+    (tmp_path / "two" / "b.csv").write_bytes((top + "a,b,c,d\n" + good + "\n").encode() + b"x,y\xff,z\n,NULL,\n")
+    schema = {"properties": [{"name": n} for n in "abc"]}
+    feed = split_feed(spark, str(tmp_path / "two"), schema, file_format={"skip_header": skip, "null_if": ["NULL", "-"]})
+    found = {(r["file"].rpartition("/")[2], r["line"], r["reason"]) for r in feed.rejects.collect()}
+    assert found == {("a.csv", "1,2", "field_count"), ("b.csv", "a,b,c,d", "field_count"), ("b.csv", "x,y\ufffd,z", "characters")}
+    assert (feed.rows.count(), feed.rejects.count()) == (41, 3)
+    assert rows(feed.rows).count((None, None, None)) == 1
+    assert all(r["block"] >= 0 for r in feed.rejects.collect())
+    kept = split_feed(spark, str(tmp_path / "two"), schema, file_format={"skip_header": skip, "replace_invalid_characters": True})
+    assert (kept.rows.count(), kept.rejects.count()) == (42, 2)
+
+
+def test_rejects_of_fixed_width_and_of_nothing(spark, tmp_path, file, rows):
+    (tmp_path / "f.txt").write_bytes(b"TOP\nab12\nc\n\xff\xfe34\n")
+    layout = {"isFixedWidth": True, "header": True, "properties": [{"name": "a", "position": "1,2"}, {"name": "b", "position": "3,2"}]}
+    feed = split_feed(spark, str(tmp_path / "f.txt"), layout)
+    assert rows(feed.rows) == [("ab", "12"), ("c", "")]
+    assert rows(feed.rejects, "line", "reason") == [("\ufffd\ufffd34", "characters")]
+    assert feed.rows.columns == ["a", "b"]
+    nothing = split_feed(spark, file("", "empty.csv"), {"properties": [{"name": "a"}]})
+    assert (nothing.rows.count(), nothing.rejects.count()) == (0, 0)

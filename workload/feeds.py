@@ -13,7 +13,9 @@ from feedkit.sources import (
     read_positional,
     read_widths,
     read_with_header,
+    split_feed,
 )
+from feedkit.sources.feeds import SplitFeed
 from feedkit.workdir import new_folder
 from workload.common import Query, new_database, table
 
@@ -224,15 +226,18 @@ FROM lineitem
 
 
 def feed_options(spark: SparkSession, folder: str) -> DataFrame:
-    """A delimited feed with a title above its line of names, quoted and padded fields, and null tokens."""
+    """A delimited feed of many files, each with a title above its line of names; quoted and padded fields, null tokens."""
     path = new_folder(spark, "options")
     fields = F.concat_ws(
         ";", F.col("c_custkey").cast("string"), F.concat(F.lit(' "'), "c_name", F.lit(';x" ')), F.col("c_nationkey").cast("string"), F.lit("-"),
         F.coalesce("c_mktsegment", F.lit("?")),
     )
-    lines = customers(spark, folder).select(fields.alias("customers of the day"))
-    lines = spark.createDataFrame([("CUST_ID;NAME;NATION;BALANCE;SEGMENT",)], "`customers of the day` string").unionByName(lines)
-    lines.coalesce(1).write.options(header=True, sep="\u0001", quote="").csv(path)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = customers(spark, folder).select(F.pmod(F.xxhash64("c_custkey"), F.lit(files)).alias("part"), F.lit(2).alias("line"), fields.alias("value"))
+    above = ["customers of the day", "CUST_ID;NAME;NATION;BALANCE;SEGMENT"]
+    tops = lines.select("part").distinct().select("part", F.posexplode(F.array(*map(F.lit, above))).alias("line", "value"))
+    parts = lines.unionByName(tops).repartition("part").sortWithinPartitions("part", "line")
+    parts.drop("line").write.partitionBy("part").text(path)
     settings = {"skip_header": 2, "field_delimiter": ";", "field_optionally_enclosed_by": '"', "trim_space": True, "null_if": ["-", "?"]}
     return read_feed(spark, path, {"properties": CUSTOMER_SCHEMA["properties"]}, file_format=settings)
 
@@ -244,6 +249,51 @@ FROM customer
 """
 
 
+def uneven_customers(spark: SparkSession, folder: str) -> tuple[SplitFeed, str]:
+    """Customers as a feed in which some lines have a field too many and some two too few, and where it is."""
+    path, key = new_folder(spark, "uneven"), F.col("c_custkey")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")]
+    line = F.when(key % 7 == 0, F.concat_ws("|", *fields, F.lit("extra"))).when(key % 5 == 1, F.concat_ws("|", *fields[:3]))
+    lines = customers(spark, folder).select(F.coalesce(line, F.concat_ws("|", *fields)).alias("value"))
+    lines.write.text(path)
+    return split_feed(spark, path, CUSTOMER_SCHEMA), path
+
+
+def feed_split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return uneven_customers(spark, folder)[0].rows
+
+
+SPLIT_ROWS_SQL = CUSTOMER_SQL + "WHERE c_custkey % 7 <> 0 AND c_custkey % 5 <> 1"
+
+
+def feed_split_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    feed, path = uneven_customers(spark, folder)
+    inside = F.col("file").contains(path.rpartition("/")[2]) & (F.col("block") >= 0)
+    return feed.rejects.select("line", "reason", inside.alias("has_place"))
+
+
+SPLIT_REJECTS_SQL = """
+SELECT CASE WHEN c_custkey % 7 = 0 THEN concat_ws('|', c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)),
+                                                  CASE c_mktsegment WHEN 'BUILDING' THEN '' ELSE c_mktsegment END, 'extra')
+            ELSE concat_ws('|', c_custkey, c_name, c_nationkey) END AS line,
+       'field_count' AS reason, true AS has_place
+FROM customer WHERE c_custkey % 7 = 0 OR c_custkey % 5 = 1
+"""
+
+
+def feed_split_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many lines of the feed are rows and how many are not, without a look at any field."""
+    feed, _ = uneven_customers(spark, folder)
+    kept, refused = feed.rows.agg(F.count("*").alias("kept")), feed.rejects.agg(F.count("*").alias("refused"))
+    return kept.join(refused)
+
+
+SPLIT_COUNTS_SQL = """
+SELECT count(*) FILTER (c_custkey % 7 <> 0 AND c_custkey % 5 <> 1) AS kept, count(*) FILTER (c_custkey % 7 = 0 OR c_custkey % 5 = 1) AS refused
+FROM customer
+"""
+
+
 def stage_files(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder, "*.parquet")
 
@@ -261,5 +311,8 @@ QUERIES = {
     "fixed_generated_names_header": Query(fixed_generated_names_header, GENERATED_HEADER_SQL),
     "fixed_null_if": Query(fixed_null_if, FIXED_NULL_SQL),
     "feed_options": Query(feed_options, FEED_OPTIONS_SQL),
+    "feed_split_rows": Query(feed_split_rows, SPLIT_ROWS_SQL),
+    "feed_split_rejects": Query(feed_split_rejects, SPLIT_REJECTS_SQL),
+    "feed_split_counts": Query(feed_split_counts, SPLIT_COUNTS_SQL),
     "list_files": Query(stage_files),
 }
