@@ -1,4 +1,16 @@
+from feedkit.plans.change_log import create_logged, first_rows, fold, load_logged
 from feedkit.plans.dimension_load import LoadRejected, LoadResult, create_dimension, create_snapshot, load_dimension
 from feedkit.plans.stage_load import stage_load
 
-__all__ = ["LoadRejected", "LoadResult", "create_dimension", "create_snapshot", "load_dimension", "stage_load"]
+__all__ = [
+    "LoadRejected",
+    "LoadResult",
+    "create_dimension",
+    "create_logged",
+    "create_snapshot",
+    "first_rows",
+    "fold",
+    "load_dimension",
+    "load_logged",
+    "stage_load",
+]

@@ -31,6 +31,7 @@ from feedkit.operators.dimension import Load
 from feedkit.operators.merge import merge_into
 from feedkit.operators.quality import data_checks, structure_checks
 from feedkit.operators.type2 import change_set, current_rows, has_same_day_history, stats, with_history, without_replaced
+from feedkit.sinks.files import delete, location_of
 from feedkit.sinks.tables import create_table
 from feedkit.workdir import written_at
 
@@ -93,12 +94,12 @@ def load_dimension(
     target = spark.table(table)
     bucketed = partitions[1:] == [BUCKET_COLUMN]
     rows = target.drop(BUCKET_COLUMN) if bucketed else target
-    _reject(structure_checks(source.columns, rows.columns, load, max_keys))
+    reject(structure_checks(source.columns, rows.columns, load, max_keys))
     load, source = load.resolved(source, rows)
     staged = None
     if stage_source:
         source, staged = written_at(source, "source")
-    _reject(data_checks(source, rows, load).collect())
+    reject(data_checks(source, rows, load).collect())
     if row_level:
         counts = _merge(source, rows, table, load, close_blank, small_source)
     elif partitions[:1] == [load.end] and (bucketed or len(partitions) == 1):
@@ -110,11 +111,12 @@ def load_dimension(
         commit = create_snapshot if is_view else _replace_rows
         counts = _write_snapshot(source, target, table, load, close_blank, small_source, commit)
     if staged:
-        _delete(spark, [staged])
+        delete(spark, [staged])
     return LoadResult(load.run_date, counts)
 
 
-def _reject(checks: Iterable[tuple[str, bool, str]]) -> None:
+def reject(checks: Iterable[tuple[str, bool, str]]) -> None:
+    """Refuse the load if a check failed."""
     failed = [message for _, passed, message in checks if not passed]
     if failed:
         raise LoadRejected("; ".join(failed))
@@ -137,7 +139,7 @@ def _merge(source: DataFrame, target: DataFrame, table: str, load: Load, close_b
     counts = {r["action"]: r["n"] for r in stats(source, target, load, close_blank, small_source).collect()}
     changes, folder = written_at(change_set(source, target, load, close_blank, small_source), "changes")
     merge_into(changes, table, load.keys, load.start)
-    _delete(source.sparkSession, [folder])
+    delete(source.sparkSession, [folder])
     return {a: counts.get(a, 0) for a in ACTIONS}
 
 
@@ -162,14 +164,14 @@ def _replace_rows(rows: DataFrame, table: str) -> None:
 
     Format, buckets, comments and properties are the table's and stay.
     """
-    spark, before = rows.sparkSession, _location(rows.sparkSession, table)
+    spark, before = rows.sparkSession, location_of(rows.sparkSession, table)
     folder = f"{before.rstrip('/')}__{uuid.uuid4().hex}"
     beside = _beside(spark, table, folder)
     rows.write.insertInto(beside)
     spark.sql(f"DROP TABLE {beside}")
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
-    _delete(spark, [before])
+    delete(spark, [before])
 
 
 def _write_snapshot(
@@ -187,7 +189,7 @@ def _write_snapshot(
         outputs, folder = written_at(outputs, "outputs")
     commit(with_history(outputs.drop("action"), target, load, same_day), name)
     if folder:
-        _delete(source.sparkSession, [folder])
+        delete(source.sparkSession, [folder])
     return _counts(seen)
 
 
@@ -219,7 +221,7 @@ def _write_partitions(
     changed = ["insert", "version", "inplace", "blank", *(["missing"] if load.refresh_type == "full" else [])]
     touched = F.when(F.col("action").isin(changed), bucket if bucketed else F.lit(0))
     outputs = current_rows(source, rows, load, close_blank, small_source).observe(seen, *_counters(), F.collect_set(touched).alias("touched"))
-    root = _location(spark, table).rstrip("/")
+    root = location_of(spark, table).rstrip("/")
     folder = f"{root}/_load-{uuid.uuid4().hex}"
     made = _beside(spark, table, folder)
     placed(outputs).write.insertInto(made)
@@ -250,20 +252,20 @@ def _write_partitions(
         spread.select(*[column(c) for c in names]).write.insertInto(last)
 
     # 3. the catalog: closed rows first, so that no moment lacks a version; then the active ones
-    before = {p: _location(spark, table, _spec(p, load)) for p in _all(spark, table, load, closed, touched, bucketed)}
+    before = {p: location_of(spark, table, _spec(p, load)) for p in _all(spark, table, load, closed, touched, bucketed)}
     done = set()
     for new, own in ((last, closed), (made, {p for p in _partitions(spark, made, load) if _is_active(p, load) and (not bucketed or p[1] in touched)})):
         for p in sorted(own & set(_partitions(spark, new, load)) if new else own, key=str):
             if not touched:
                 continue
-            _point(spark, table, _spec(p, load), _location(spark, new, _spec(p, load)), p in before)
+            _point(spark, table, _spec(p, load), location_of(spark, new, _spec(p, load)), p in before)
             done.add(p)
     for p in before.keys() - done:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(p, load)})")
     spark.catalog.refreshTable(table)
     for beside in filter(None, (made, last)):
         spark.sql(f"DROP TABLE {beside}")
-    _delete(spark, before.values() if touched else [])
+    delete(spark, before.values() if touched else [])
     return _counts(seen)
 
 
@@ -312,18 +314,6 @@ def _beside(spark: SparkSession, table: str, folder: str) -> str:
     return name
 
 
-def _location(spark: SparkSession, table: str, spec: str | None = None) -> str:
-    rows = spark.sql(f"DESCRIBE EXTENDED {table}" + (f" PARTITION ({spec})" if spec else "")).collect()
-    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
-
-
-def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
-    """Delete folders that nothing names any more."""
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def _clustered(spark: SparkSession, table: str) -> bool:
     return any(c.isBucket for c in spark.catalog.listColumns(table))
 

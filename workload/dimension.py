@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from feedkit.operators import apply_mapping, merge_upsert, quality
 from feedkit.operators import type2 as steps
+from feedkit.operators.digest import DIGEST, scd2_by_digest, with_digest
 from feedkit.operators.dimension import Load
 from feedkit.operators.type2 import scd2
-from feedkit.plans import create_dimension, load_dimension
+from feedkit.plans import create_dimension, create_logged, first_rows, fold, load_dimension, load_logged
 from feedkit.sinks import create_table
 from feedkit.sources import read_feed
 from feedkit.workdir import new_folder, written
@@ -226,6 +227,37 @@ def scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
     return merge_upsert(target, changes, KEYS, "start_date")
 
 
+def scd2_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """A full load into a dimension that keeps a digest of each row: only keys that differ are read whole."""
+    target = written(with_digest(dimension(spark, folder), load_of()), "digested")
+    return scd2_by_digest(feed(spark, folder), target, load_of("full")).drop(DIGEST)
+
+
+NEXT_DATE = "1998-07-31"
+
+
+def scd2_logged_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads that append their changes to a log, merged when read: a full one, a delta, and once the log is folded a full one."""
+    name = f"{new_database(spark)}.profiles"
+    create_logged(spark, name, COLUMNS, KEYS, "start_date", "end_date")
+    first_rows(dimension(spark, folder), name, "active_flag")
+    before = past_profiles(spark, folder).select(*KEYS, *VALUES)
+    load_logged(feed(spark, folder), name, "active_flag", "full", RUN_DATE)
+    load_logged(before, name, "active_flag", "delta", NEXT_DATE)
+    fold(spark, name)
+    load_logged(feed(spark, folder), name, "active_flag", "full", NEXT_DATE)
+    return spark.table(name)
+
+
+LOGGED_SQL = on_tables(
+    "before AS (SELECT cust_id, priority, finished, open, tier FROM past)",
+    load_sql("dim", "feed", "one", "full"),
+    load_sql("one", "before", "two").replace(RUN_DATE, NEXT_DATE),
+    load_sql("two", "feed", "three", "full").replace(RUN_DATE, NEXT_DATE),
+    select="SELECT * FROM three",
+)
+
+
 COLUMNS = {
     "cust_id": "bigint", "priority": "VARCHAR", "finished": "VARCHAR", "open": "VARCHAR", "tier": "INTEGER",
     "start_date": "DATE", "active_flag": "CHAR", "end_date": "DATE",
@@ -493,6 +525,8 @@ WHERE {DIFFERENT} AND a.start_date <> DATE '{RUN_DATE}'""",
     "scd2_delta_touched": Query(
         scd2_delta_touched, on_tables(load_sql("dim", "feed", "loaded"), select="SELECT * FROM loaded")
     ),
+    "scd2_digest": Query(scd2_digest, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")),
+    "scd2_logged_loads": Query(scd2_logged_loads, LOGGED_SQL),
     "feed_to_dimension": Query(
         feed_to_dimension, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
     ),
