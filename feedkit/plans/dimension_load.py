@@ -11,8 +11,9 @@ short leaves no row out, and is completed by running it again with the same sour
   gets a new location. The whole dimension is rewritten; the switch is a single catalog change.
 * A table whose catalog takes row-level changes gets them by ``MERGE``, with ``row_level=True``.
 
-A row of the history is taken to end no earlier than the day before it began, as loads leave it;
-``quality.impossible_intervals`` shows rows of other origin that don't.
+What a load replaces stays until the next load of the table, for readers under way; that one also deletes what loads that
+were cut short have left. A row of the history is taken to end no earlier than the day before it began, as loads
+leave it; a table's first load checks that.
 """
 
 from __future__ import annotations
@@ -29,15 +30,17 @@ from pyspark.sql import functions as F
 from feedkit.functions.names import column, ref
 from feedkit.operators.dimension import Load
 from feedkit.operators.merge import merge_into
-from feedkit.operators.quality import data_checks, structure_checks
-from feedkit.operators.type2 import change_set, current_rows, has_same_day_history, stats, with_history, without_replaced
-from feedkit.sinks.files import delete, location_of
-from feedkit.sinks.tables import create_table
+from feedkit.operators.quality import data_checks, impossible_intervals, structure_checks
+from feedkit.operators.type2 import change_set, classify, current_rows, has_same_day_history, stats, with_history, without_replaced
+from feedkit.sinks.files import delete, folder_of, folders_in, location_of, same_folder
+from feedkit.sinks.tables import beside, create_table, left_beside, sweep, switch_rows
 from feedkit.workdir import written_at
 
 ACTIONS = ("insert", "same", "version", "inplace", "missing", "blank")
 #: Table property with the number of key buckets, and the name of the column that holds a row's.
 KEY_BUCKETS, BUCKET_COLUMN = "feedkit.key_buckets", "key_bucket"
+#: Table property of a table whose intervals have been checked, and the file that names what the last load replaced.
+INTERVALS, REPLACED = "feedkit.intervals", "_replaced"
 
 
 class LoadRejected(ValueError):
@@ -84,8 +87,7 @@ def load_dimension(
     The run date is the session's current date if none is given. The source is read once and kept in the
     shared folder for the checks and the load; that is not needed, ``stage_source=False``, if it is a
     stored table already. ``small_source=True`` chooses the form in which Spark can broadcast the source
-    and leave the target in place; rows are the same in both forms. A delta load into a table with key
-    buckets counts missing keys only in the buckets of the source's keys.
+    and leave the target in place; rows are the same in both forms.
     """
     spark = source.sparkSession
     run_date = run_date or spark.sql("SELECT current_date()").first()[0]
@@ -97,24 +99,39 @@ def load_dimension(
     reject(structure_checks(source.columns, rows.columns, load, max_keys))
     load, source = load.resolved(source, rows)
     staged = None
-    if stage_source:
-        source, staged = written_at(source, "source")
-    reject(data_checks(source, rows, load).collect())
-    if row_level:
-        counts = _merge(source, rows, table, load, close_blank, small_source)
-    elif partitions[:1] == [load.end] and (bucketed or len(partitions) == 1):
-        counts = _write_partitions(source, target, table, load, close_blank, small_source, bucketed)
-    elif partitions:
-        raise ValueError(f"{table} is partitioned by {', '.join(partitions)}; only {load.end}, or it and {BUCKET_COLUMN}, can be loaded")
-    else:
-        is_view = bool(spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Type' AND data_type = 'VIEW'").take(1))
-        commit = create_snapshot if is_view else _replace_rows
-        counts = _write_snapshot(source, target, table, load, close_blank, small_source, commit)
-    if staged:
-        delete(spark, [staged])
+    try:
+        if stage_source:
+            source, staged = written_at(source, "source")
+        reject(data_checks(source, rows, load).collect())
+        _check_intervals(spark, table, rows, load)
+        if row_level:
+            counts = _merge(source, rows, table, load, close_blank, small_source)
+        elif partitions[:1] == [load.end] and (bucketed or len(partitions) == 1):
+            counts = _write_partitions(source, target, table, load, close_blank, small_source, bucketed)
+        elif partitions:
+            raise ValueError(f"{table} is partitioned by {', '.join(partitions)}; only {load.end}, or it and {BUCKET_COLUMN}, can be loaded")
+        else:
+            commit = create_snapshot if _is_view(spark, table) else _replace_rows
+            counts = _write_snapshot(source, target, table, load, close_blank, small_source, commit)
+    finally:
+        delete(spark, filter(None, [staged]))
     return LoadResult(load.run_date, counts)
 
 
+def _is_view(spark: SparkSession, table: str) -> bool:
+    return bool(spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Type' AND data_type = 'VIEW'").take(1))
+
+
+def _check_intervals(spark: SparkSession, table: str, rows: DataFrame, load: Load) -> None:
+    """Rows that loads rely on not being there. A table is read for them once, at its first load; a view each time."""
+    if spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == INTERVALS).take(1):
+        return
+    if impossible_intervals(rows, load).take(1):
+        raise LoadRejected(f"{table} has rows that end before the day before they begin")
+    if not _is_view(spark, table):
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{INTERVALS}' = 'checked')")
+
+
 def reject(checks: Iterable[tuple[str, bool, str]]) -> None:
     """Refuse the load if a check failed."""
     failed = [message for _, passed, message in checks if not passed]
@@ -160,18 +177,8 @@ def create_snapshot(rows: DataFrame, view: str, keep: int = 1) -> None:
 
 
 def _replace_rows(rows: DataFrame, table: str) -> None:
-    """Write ``rows`` as files of ``table``'s own kind and make them its files, by one change of its location.
-
-    Format, buckets, comments and properties are the table's and stay.
-    """
-    spark, before = rows.sparkSession, location_of(rows.sparkSession, table)
-    folder = f"{before.rstrip('/')}__{uuid.uuid4().hex}"
-    beside = _beside(spark, table, folder)
-    rows.write.insertInto(beside)
-    spark.sql(f"DROP TABLE {beside}")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-    spark.catalog.refreshTable(table)
-    delete(spark, [before])
+    sweep(rows.sparkSession, table)
+    switch_rows(rows, table)
 
 
 def _write_snapshot(
@@ -199,33 +206,32 @@ def _write_snapshot(
 def _write_partitions(
     source: DataFrame, target: DataFrame, table: str, load: Load, close_blank: bool, small_source: bool, bucketed: bool
 ) -> dict[str, int]:
-    spark = source.sparkSession
+    """Only partitions with a change are written, once, and what they replace stays for readers until the next load."""
+    spark, names, root = source.sparkSession, target.columns, location_of(source.sparkSession, table).rstrip("/")
     end, start = ref(load.end), ref(load.start)
-    names = target.columns
-    bucket = None
+    _sweep_partitions(spark, table, root, load)
+    bucket = touched = counts = None
+    rows = target.drop(BUCKET_COLUMN) if bucketed else target
     if bucketed:
         n = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{KEY_BUCKETS}')").first()["value"])
         bucket = F.pmod(F.xxhash64(*[column(k) for k in load.keys]), F.lit(n)).cast("int")
-    reach = target
-    if bucketed and load.refresh_type == "delta" and not close_blank:
-        # at most as many numbers as there are buckets
-        own = [r[0] for r in source.select(bucket.alias("b")).distinct().collect()]
-        reach = target.where(F.col(BUCKET_COLUMN).isin(own))
-    rows = reach.drop(BUCKET_COLUMN) if bucketed else reach
-
-    def placed(df: DataFrame) -> DataFrame:
-        return (df.withColumn(BUCKET_COLUMN, bucket) if bucketed else df).select(*[column(c) for c in names])
+        counts, touched = _touched_buckets(source, target, load, bucket, close_blank, small_source)
+        if not touched:
+            return counts
+        source = source.where(bucket.isin(touched))
+        rows = target.where(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
 
     # 1. what the load makes, written beside the table
     seen = Observation()
-    changed = ["insert", "version", "inplace", "blank", *(["missing"] if load.refresh_type == "full" else [])]
-    touched = F.when(F.col("action").isin(changed), bucket if bucketed else F.lit(0))
-    outputs = current_rows(source, rows, load, close_blank, small_source).observe(seen, *_counters(), F.collect_set(touched).alias("touched"))
-    root = location_of(spark, table).rstrip("/")
+    outputs = current_rows(source, rows, load, close_blank, small_source).observe(seen, *_counters())
     folder = f"{root}/_load-{uuid.uuid4().hex}"
-    made = _beside(spark, table, folder)
-    placed(outputs).write.insertInto(made)
-    touched = set(seen.get["touched"])
+    made = beside(spark, table, folder)
+    placed = outputs.withColumn(BUCKET_COLUMN, bucket) if bucketed else outputs
+    placed.select(*[column(c) for c in names]).write.insertInto(made)
+    counts = counts or _counts(seen)
+    if not any(counts[a] for a in _changing(load)):
+        _drop_beside(spark, [(made, folder)], set())
+        return counts
 
     # 2. rows of the history that share a partition with closed rows, or that a new row replaces
     history = target.where(f"NOT {load.active} AND {end} >= {load.day_before}")  # a row that began today ends no earlier
@@ -234,49 +240,134 @@ def _write_partitions(
     there = {p for e in ends for p in _partitions(spark, table, load, e)}
     if bucketed:
         there = {p for p in there if p[1] in touched}
-    closed = {p for p in _partitions(spark, made, load) if not _is_active(p, load)} | (there if touched else set())
-    ends = sorted({p[0] for p in closed})
-    if closed and there:
-        kept = history.where(column(load.end).isin(ends))
-        kept = kept.where(F.col(BUCKET_COLUMN).isin(sorted({p[1] for p in there}))) if bucketed else kept
-        kept = without_replaced(kept, spark.table(made), load)
-        merged = spark.table(made).where(column(load.end).isin(ends)).unionByName(kept)
-    else:
-        merged = spark.table(made).where(column(load.end).isin(ends)) if closed else None
+    new = _partitions(spark, made, load)
+    closed = {p for p in new if not _is_active(p, load)} | there
     last = None
-    if merged is not None:
+    if closed:
+        ends = sorted({p[0] for p in closed})
+        merged = spark.table(made).where(column(load.end).isin(ends))
+        if there:
+            kept = history.where(column(load.end).isin(ends))
+            kept = kept.where(F.col(BUCKET_COLUMN).isin(sorted({p[1] for p in there}))) if bucketed else kept
+            merged = merged.unionByName(without_replaced(kept, spark.table(made), load))
         # every task of the load left its few closed rows in a file of its own
         last_folder = f"{root}/_load-{uuid.uuid4().hex}"
-        last = _beside(spark, table, last_folder)
+        last = beside(spark, table, last_folder)
         spread = merged if _clustered(spark, table) else merged.hint("rebalance", *[column(c) for c in _partition_columns(spark, table)])
         spread.select(*[column(c) for c in names]).write.insertInto(last)
 
     # 3. the catalog: closed rows first, so that no moment lacks a version; then the active ones
-    before = {p: location_of(spark, table, _spec(p, load)) for p in _all(spark, table, load, closed, touched, bucketed)}
-    done = set()
-    for new, own in ((last, closed), (made, {p for p in _partitions(spark, made, load) if _is_active(p, load) and (not bucketed or p[1] in touched)})):
-        for p in sorted(own & set(_partitions(spark, new, load)) if new else own, key=str):
-            if not touched:
-                continue
-            _point(spark, table, _spec(p, load), location_of(spark, new, _spec(p, load)), p in before)
-            done.add(p)
-    for p in before.keys() - done:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(p, load)})")
+    active_ends = {None, load.active_end_date}
+    before = {p for e in {p[0] for p in closed} for p in _partitions(spark, table, load, e) if p in closed}
+    before |= {p for e in active_ends for p in _partitions(spark, table, load, e) if not bucketed or p[1] in touched}
+    _note_replaced(spark, table, root, load, before)
+    done = {}
+    if last:
+        done |= {p: f"{last_folder}/{path}" for p, path in _partitions(spark, last, load).items()}
+    done |= {p: f"{folder}/{path}" for p, path in new.items() if _is_active(p, load)}
+    for p in sorted(done, key=lambda p: (_is_active(p, load), str(p))):
+        _point(spark, table, _spec(p, load), done[p], p in before)
+    gone = sorted(before - set(done), key=str)
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({_spec(p, load)})' for p in gone)}")
     spark.catalog.refreshTable(table)
-    for beside in filter(None, (made, last)):
-        spark.sql(f"DROP TABLE {beside}")
-    delete(spark, before.values() if touched else [])
-    return _counts(seen)
+    _drop_beside(spark, [(made, folder), *([(last, last_folder)] if last else [])], set(done.values()))
+    return counts
+
 
+def _changing(load: Load) -> list[str]:
+    return ["insert", "version", "inplace", "blank", *(["missing"] if load.refresh_type == "full" else [])]
 
-def _all(spark: SparkSession, table: str, load: Load, closed: set, touched: set, bucketed: bool) -> list[tuple]:
-    """Partitions of ``table`` that the load replaces or empties."""
-    if not touched:
-        return []
-    own = [p for e in {p[0] for p in closed} for p in _partitions(spark, table, load, e) if p in closed]
-    for e in {None, load.active_end_date}:
-        own += [p for p in _partitions(spark, table, load, e) if not bucketed or p[1] in touched]
-    return own
+
+def _touched_buckets(
+    source: DataFrame, target: DataFrame, load: Load, bucket: Column, close_blank: bool, small_source: bool
+) -> tuple[dict[str, int], list[int]]:
+    """Keys per action, and the buckets in which something changes: at most as many numbers as there are buckets.
+
+    A delta load reads the buckets of its source's keys; in the others all active keys are missing from the source, which
+    takes no more than their number.
+    """
+    reach, beyond = target, 0
+    if load.refresh_type == "delta" and not close_blank:
+        own = [r[0] for r in source.select(bucket.alias("b")).distinct().collect()]
+        inside = F.col(BUCKET_COLUMN).isin(own)
+        reach, beyond = target.where(inside), target.where(load.active).where(~inside).count()
+    keys = classify(source, reach.drop(BUCKET_COLUMN), load, close_blank, small_source)
+    changes = F.collect_set(F.when(F.col("action").isin(_changing(load)), bucket)).alias("touched")
+    found = keys.agg(*_counters(), changes).first()
+    counts = {a: found[a] for a in ACTIONS}
+    counts["missing"] += beyond
+    return counts, sorted(found["touched"])
+
+
+def _drop_beside(spark: SparkSession, tables: list[tuple[str, str]], named: set[str]) -> None:
+    """Drop tables written beside another, with the files that none of its partitions names."""
+    named = {same_folder(f) for f in named}
+    for table, folder in tables:
+        spark.sql(f"DROP TABLE {table}")
+        inner = _leaves(spark, folder)
+        unnamed = [f for f in inner if same_folder(f) not in named]
+        delete(spark, [folder] if len(unnamed) == len(inner) else unnamed)
+
+
+def _leaves(spark: SparkSession, folder: str) -> list[str]:
+    """Folders of partitions below ``folder``, which are one or two levels deep."""
+    found = []
+    for outer in folders_in(spark, folder):
+        inner = [f for f in folders_in(spark, outer) if f"{BUCKET_COLUMN}=" in f]
+        found += inner or [outer]
+    return found
+
+
+def _note_replaced(spark: SparkSession, table: str, root: str, load: Load, partitions: set[tuple]) -> None:
+    """Write down, before the catalog is changed, the folders whose partitions are about to get others."""
+    folders = _folders(spark, table, load, {p[0] for p in partitions})
+    if partitions and len(next(iter(partitions))) > 1:
+        paths = {f"{BUCKET_COLUMN}={p[1]}" for p in partitions}
+        folders = {f for f in folders if f.rpartition("/")[2] in paths}
+    noted = spark.createDataFrame([(f,) for f in sorted(folders)], "value string")
+    noted.coalesce(1).write.mode("overwrite").text(f"{root}/{REPLACED}")
+
+
+def _folders(spark: SparkSession, table: str, load: Load, ends: set) -> set[str]:
+    """Folders of the files in the partitions of some end dates, from the listing a scan would use; none is read."""
+    days = [e for e in ends if e is not None]
+    within = F.lit(False)
+    if days:
+        within = column(load.end).isin(days)
+    if None in ends:
+        within = within | column(load.end).isNull()
+    return {folder_of(f) for f in spark.table(table).where(within).inputFiles()}
+
+
+def _sweep_partitions(spark: SparkSession, table: str, root: str, load: Load) -> None:
+    """Delete what the last load replaced, and what loads that were cut short have left, unless a partition names it."""
+    noted = f"{root}/{REPLACED}"
+    old = [r["value"] for r in spark.read.text(noted).collect()] if any(same_folder(f) == same_folder(noted) for f in folders_in(spark, root)) else []
+    cut = [(name, location_of(spark, name)) for name in left_beside(spark, table)]
+    old += [f for _, folder in cut for f in _leaves(spark, folder)]
+    if not old and not cut:
+        return
+    spark.catalog.refreshTable(table)
+    live = {same_folder(f) for f in _folders(spark, table, load, _ends_in(old, load))}
+    delete(spark, [f for f in old if same_folder(f) not in live])
+    for name, folder in cut:
+        spark.sql(f"DROP TABLE {name}")
+        if not _leaves(spark, folder):
+            delete(spark, [folder])
+    delete(spark, [noted])
+    for folder in folders_in(spark, root):
+        if "/_load-" in folder and not _leaves(spark, folder):
+            delete(spark, [folder])
+
+
+def _ends_in(folders: list[str], load: Load) -> set:
+    """End dates that folders of partitions are named after."""
+    found = set()
+    for folder in folders:
+        name = next(part for part in reversed(folder.split("/")) if part.lower().startswith(f"{load.end.lower()}="))
+        found.add(_day(name.partition("=")[2]))
+    return found
 
 
 def _is_active(p: tuple, load: Load) -> bool:
@@ -288,18 +379,22 @@ def _spec(p: tuple, load: Load) -> str:
     return f"`{load.end}` = {day}" + (f", {BUCKET_COLUMN} = {p[1]}" if len(p) > 1 else "")
 
 
-def _partitions(spark: SparkSession, table: str, load: Load, end: object = ...) -> list[tuple]:
-    """(end date, bucket) or (end date,) of the table's partitions, or of those of one end date; no file is read."""
+def _partitions(spark: SparkSession, table: str, load: Load, end: object = ...) -> dict[tuple, str]:
+    """(end date, bucket) or (end date,) of the table's partitions, or of those of one end date, with their paths; no file is read."""
     only = "" if end is ... else f" PARTITION (`{load.end}` = {'NULL' if end is None else f"DATE'{end}'"})"
-    out = []
+    out = {}
     for row in spark.sql(f"SHOW PARTITIONS {table}{only}").collect():
         values = [part.partition("=")[2] for part in row[0].split("/")]
-        day = None if values[0] in ("__HIVE_DEFAULT_PARTITION__", "null") else datetime.date.fromisoformat(values[0])
+        day = _day(values[0])
         if end is ... or day == end:
-            out.append((day, *map(int, values[1:])))
+            out[(day, *map(int, values[1:]))] = row[0]
     return out
 
 
+def _day(text: str) -> datetime.date | None:
+    return None if text in ("__HIVE_DEFAULT_PARTITION__", "null") else datetime.date.fromisoformat(text)
+
+
 def _point(spark: SparkSession, table: str, spec: str, location: str, there: bool) -> None:
     if there:
         spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
@@ -307,13 +402,6 @@ def _point(spark: SparkSession, table: str, spec: str, location: str, there: boo
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
 
 
-def _beside(spark: SparkSession, table: str, folder: str) -> str:
-    """A table of the same kind whose files lie in ``folder`` and stay when its name is dropped."""
-    name = f"{table}__beside_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {name} LIKE {table} LOCATION '{folder}'")
-    return name
-
-
 def _clustered(spark: SparkSession, table: str) -> bool:
     return any(c.isBucket for c in spark.catalog.listColumns(table))
 

@@ -24,3 +24,13 @@ def folders_in(spark: SparkSession, folder: str) -> list[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
     return [s.getPath().toString() for s in system.listStatus(path) if s.isDirectory()] if system.exists(path) else []
+
+
+def folder_of(file: str) -> str:
+    return file.rpartition("/")[0]
+
+
+def same_folder(folder: str) -> str:
+    """A folder's path in one spelling: catalog and scans write schemes and slashes differently."""
+    scheme, colon, path = folder.rpartition(":")
+    return f"{scheme}{colon}/{path.strip('/')}"

@@ -346,9 +346,7 @@ def test_load(spark, source, table, rows, refresh):
     call = {**CALL, "refresh_type": refresh}
     result = load_dimension(source, table, **call)
     assert rows(spark.table(table), *ORDER) == AFTER[refresh]
-    # a delta load of a table with key buckets does not look at other buckets than the source's
-    unread = refresh == "delta" and table == "dim_key_buckets"
-    assert result.keys == {"insert": 1, "same": 1, "version": 1, "inplace": 1, "missing": 0 if unread else 1, "blank": 0}
+    assert result.keys == {"insert": 1, "same": 1, "version": 1, "inplace": 1, "missing": 1, "blank": 0}
     again = load_dimension(source, table, stage_source=False, **call)
     assert rows(spark.table(table), *ORDER) == AFTER[refresh]
     assert again.keys["same"] + again.keys["missing"] == sum(again.keys.values())
@@ -566,6 +564,107 @@ def test_nothing_is_left_behind(spark, source, target):
     assert len([t for t in spark.catalog.listTables() if t.name.startswith("dim_views__")]) == 2
 
 
+def files_of(spark, name):
+    """Data files below a table's folder, and those its partitions name."""
+    import glob
+
+    from feedkit.sinks.files import location_of
+
+    root = location_of(spark, name).removeprefix("file:")
+    below = {f for f in glob.glob(f"{root}/**/*.parquet", recursive=True)}
+    return below, {f.removeprefix("file://").removeprefix("file:") for f in spark.table(name).inputFiles()}
+
+
+def dimension_of(spark, name, kind, rows):
+    if kind == "key_buckets":
+        fill_buckets(spark, name, rows, 8)
+    else:
+        create_table(spark, name, COLUMNS, replace=True, partitioned_by=["end_date"])
+        rows.select(*COLUMNS).write.insertInto(name)
+
+
+@pytest.mark.parametrize("kind", ["partitions", "key_buckets"])
+def test_files_are_named_by_partitions_or_kept_for_readers_of_the_state_before(spark, rows, kind):
+    name = f"dim_files_{kind}"
+    many = spark.range(400).selectExpr("concat('K', id) AS store_id", "'x' AS location", "CAST(id AS INT) AS value", "DATE'2023-01-01' AS start_date", "DATE'9999-12-31' AS end_date", "'Y' AS active_flag")
+    dimension_of(spark, name, kind, many)
+    some = many.select("store_id", "location", "value").where("value < 300")
+    sizes = []
+    for k, day in enumerate(["2023-05-10", "2023-05-11", "2023-05-11", "2023-05-12"]):
+        _, named_before = files_of(spark, name)
+        reading = spark.table(name).toLocalIterator()
+        next(reading)
+        expected = spark.table(name).count() - 1
+        source = some.withColumn("value", F.when(F.col("value") < 2, F.col("value") + 1000 * (k + 1)).otherwise(F.col("value")))
+        result = load_dimension(source, name, **{**CALL, "run_date": day})
+        assert result.keys["missing"] == 100
+        assert len(list(reading)) == expected  # a reader under way finishes
+        below, named = files_of(spark, name)
+        assert named <= below
+        assert below - named <= named_before
+        sizes.append(len(below))
+        assert spark.table(name).where("active_flag = 'Y'").count() == 400
+    assert sizes[-1] <= max(sizes[:2]) + 8
+    before, _ = files_of(spark, name)
+    load_dimension(source, name, **{**CALL, "run_date": "2023-05-13"})  # nothing changes
+    below, named = files_of(spark, name)
+    assert below == named <= before
+
+
+def test_untouched_buckets_get_no_bytes(spark):
+    many = spark.range(400).selectExpr("concat('K', id) AS store_id", "'x' AS location", "CAST(id AS INT) AS value", "DATE'2023-01-01' AS start_date", "DATE'9999-12-31' AS end_date", "'Y' AS active_flag")
+    dimension_of(spark, "dim_bytes", "key_buckets", many)
+    before, _ = files_of(spark, "dim_bytes")
+    source = many.select("store_id", "location", F.when(F.col("value") == 7, -7).otherwise(F.col("value")).alias("value"))
+    assert load_dimension(source, "dim_bytes", **CALL).keys["version"] == 1
+    below, _ = files_of(spark, "dim_bytes")
+    changed = spark.range(1).select(F.pmod(F.xxhash64(F.lit("K7")), F.lit(8))).first()[0]
+    assert below - before and all(f"key_bucket={changed}/" in f for f in below - before)
+
+
+@pytest.mark.parametrize("kind", ["partitions", "key_buckets"])
+def test_cut_and_refused_loads_are_swept(spark, source, target, rows, monkeypatch, kind):
+    import os
+
+    name, shared = f"dim_swept_{kind}", shared_folder(spark).removeprefix("file:")
+    dimension_of(spark, name, kind, target)
+    staged = set(os.listdir(shared))
+    with pytest.raises(LoadRejected):
+        load_dimension(source.union(source), name, **CALL)
+    point = dimension_load._point
+    for stop in range(2):
+        done = []
+
+        def stopping(*args, done=done, stop=stop):
+            if len(done) == stop:
+                raise CutShort
+            point(*args)
+            done.append(1)
+
+        monkeypatch.setattr(dimension_load, "_point", stopping)
+        with pytest.raises(CutShort):
+            load_dimension(source.withColumn("value", F.col("value") + stop), name, **CALL)
+        monkeypatch.setattr(dimension_load, "_point", point)
+    assert set(os.listdir(shared)) == staged
+    load_dimension(source, name, **CALL)
+    load_dimension(source.withColumn("value", F.lit(5)), name, **{**CALL, "run_date": "2023-05-11"})
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}__")]
+    _, kept = files_of(spark, name)
+    load_dimension(source.withColumn("value", F.lit(5)), name, **{**CALL, "run_date": "2023-05-12"})
+    below, named = files_of(spark, name)
+    assert below == named == kept
+
+
+def test_impossible_intervals_refuse_a_tables_first_load(spark, source, target):
+    wrong = target.unionByName(spark.createDataFrame([("Z", "x", 1, d("2023-02-01"), d("2023-01-01"), "N")], DIMENSION))
+    dimension_of(spark, "dim_wrong", "partitions", wrong)
+    with pytest.raises(LoadRejected, match="end before the day before"):
+        load_dimension(source, "dim_wrong", **CALL)
+    dimension_of(spark, "dim_right", "partitions", target)
+    load_dimension(source, "dim_right", **CALL)
+    assert spark.sql("SHOW TBLPROPERTIES dim_right ('feedkit.intervals')").first()["value"] == "checked"
+
+
 def test_table_keeps_its_definition(spark, source, target, rows):
     spark.sql("DROP TABLE IF EXISTS dim_defined")
     spark.sql("""CREATE TABLE dim_defined (store_id STRING COMMENT 'the key', location STRING, value INT, start_date DATE, end_date DATE,

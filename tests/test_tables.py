@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from feedkit.operators import merge_upsert
 from feedkit.plans import create_snapshot, stage_load
@@ -103,3 +104,41 @@ def test_append_to_an_external_table_goes_by_name(spark, tmp_path, rows, monkeyp
     assert rows(spark.read.schema("a int, b string").csv(path)) == [(1, "x"), (2, "y")]
     with pytest.raises(ValueError, match="only one"):
         append_by_name(spark.createDataFrame([(2,)], "a int"), "t", source="csv")
+
+
+# ---------------------------------------------------------------- overwriting
+
+
+def test_an_overwrite_that_is_cut_short_leaves_the_old_rows(spark, rows):
+    """With the same columns and with others, in plain and partitioned tables."""
+
+    def failing(name):
+        return F.when(F.col(name) >= 0, F.raise_error(F.lit("CutShort")).cast("int"))
+
+    old = spark.range(5).selectExpr("CAST(id AS INT) AS a", "'x' AS b")
+    for name, partitions in (("ow_plain", []), ("ow_parts", ["b"])):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        old.write.partitionBy(*partitions).saveAsTable(name) if partitions else overwrite_table(old, name)
+        for new in (old.select(failing("a").alias("a"), "b"), old.select(failing("a").alias("c"))):
+            with pytest.raises(Exception, match="CutShort"):
+                overwrite_table(new, name)
+            assert rows(spark.table(name)) == rows(old)
+        overwrite_table(old.where("a < 2"), name)
+        assert rows(spark.table(name)) == rows(old.where("a < 2"))
+        overwrite_table(old.select("b", (F.col("a") * 2).alias("n")), name)
+        assert spark.table(name).columns == ["b", "n"]
+        assert spark.table(name).count() == 5
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+
+
+def test_overwriting_with_its_own_rows_and_readers_under_way(spark, rows):
+    spark.sql("DROP TABLE IF EXISTS ow_self")
+    overwrite_table(spark.range(100).selectExpr("id AS a"), "ow_self")
+    spark.sql("ALTER TABLE ow_self SET TBLPROPERTIES ('owner.team' = 'x')")
+    for k in range(3):
+        reading = spark.table("ow_self").toLocalIterator() if k else iter(range(100))
+        next(reading)
+        overwrite_table(spark.table("ow_self").selectExpr("a + 1 AS a"), "ow_self")
+        assert len(list(reading)) == 99
+    assert spark.table("ow_self").agg(F.min("a"), F.max("a")).first() == (3, 102)
+    assert spark.sql("SHOW TBLPROPERTIES ow_self ('owner.team')").first()["value"] == "x"

@@ -77,14 +77,14 @@ def load_of(refresh_type: str = "delta", **changes: str) -> Load:
 TIERS = "nullif(CAST(floor({}(o_totalprice) / 100000) AS INTEGER), 0)"
 
 
-def profiles_sql(name: str, condition: str) -> str:
+def profiles_sql(name: str, condition: str = "") -> str:
     return f"""{name} AS (
     SELECT o_custkey AS cust_id, o_orderpriority AS priority,
            CASE WHEN bool_or(o_orderstatus = 'F') THEN 'F' END AS finished,
            CASE WHEN bool_or(o_orderstatus = 'O') THEN 'O' END AS open,
            {TIERS.format("max")} AS tier, {TIERS.format("min")} AS first_tier,
            CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
-    FROM orders WHERE CAST(o_orderdate AS DATE) {condition} DATE '{RUN_DATE}' GROUP BY ALL)"""
+    FROM orders {condition and f"WHERE CAST(o_orderdate AS DATE) {condition} DATE '{RUN_DATE}'"} GROUP BY ALL)"""
 
 
 TABLES_SQL = f"""
@@ -216,8 +216,9 @@ def scd2_close_blank(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scd2_first_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles of all orders into an empty dimension."""
     empty = spark.createDataFrame([], dimension(spark, folder).schema)
-    return scd2(feed(spark, folder), empty, **CALL)
+    return scd2(profiles(table(spark, folder, "orders")).select(*KEYS, *VALUES), empty, **CALL)
 
 
 def scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,14 +234,19 @@ def scd2_digest(spark: SparkSession, folder: str) -> DataFrame:
     return scd2_by_digest(feed(spark, folder), target, load_of("full")).drop(DIGEST)
 
 
+def logged_dimension(spark: SparkSession, folder: str) -> str:
+    name = f"{new_database(spark)}.profiles"
+    create_logged(spark, name, COLUMNS, KEYS, "start_date", "end_date")
+    first_rows(dimension(spark, folder), name, "active_flag")
+    return name
+
+
 NEXT_DATE = "1998-07-31"
 
 
 def scd2_logged_loads(spark: SparkSession, folder: str) -> DataFrame:
     """Loads that append their changes to a log, merged when read: a full one, a delta, and once the log is folded a full one."""
-    name = f"{new_database(spark)}.profiles"
-    create_logged(spark, name, COLUMNS, KEYS, "start_date", "end_date")
-    first_rows(dimension(spark, folder), name, "active_flag")
+    name = logged_dimension(spark, folder)
     before = past_profiles(spark, folder).select(*KEYS, *VALUES)
     load_logged(feed(spark, folder), name, "active_flag", "full", RUN_DATE)
     load_logged(before, name, "active_flag", "delta", NEXT_DATE)
@@ -279,13 +285,19 @@ def scd2_load_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
-def scd2_delta_touched(spark: SparkSession, folder: str) -> DataFrame:
-    """A delta load into a table whose active rows are kept by bucket of the key; buckets without a change stay."""
+def bucketed_table(spark: SparkSession, folder: str) -> str:
+    """The dimension as a table whose rows are kept by bucket of the key."""
     name = f"{new_database(spark)}.profiles"
     create_dimension(spark, name, {c: t for c, t in COLUMNS.items() if c != "end_date"} | {"end_date": "DATE"}, "end_date", 32)
     bucket = F.pmod(F.xxhash64(*KEYS), F.lit(32)).cast("int").alias("key_bucket")
     rows = dimension(spark, folder).select(*[c for c in COLUMNS if c != "end_date"], "end_date", bucket)
     rows.hint("rebalance", "end_date", "key_bucket").write.insertInto(name)
+    return name
+
+
+def scd2_delta_touched(spark: SparkSession, folder: str) -> DataFrame:
+    """A delta load into a table with key buckets; those without a change stay."""
+    name = bucketed_table(spark, folder)
     load_dimension(feed(spark, folder), name, **CALL)
     return spark.table(name).drop("key_bucket")
 
@@ -517,7 +529,7 @@ WHERE {DIFFERENT} AND a.start_date <> DATE '{RUN_DATE}'""",
         scd2_small_source, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
     ),
     "scd2_close_blank": Query(scd2_close_blank, CLOSE_BLANK_SQL),
-    "scd2_first_load": Query(scd2_first_load, on_tables(select=f"SELECT f.*, {NEW} FROM feed f")),
+    "scd2_first_load": Query(scd2_first_load, on_tables(profiles_sql("whole"), select=f"SELECT cust_id, priority, finished, open, tier, {NEW} FROM whole")),
     "scd2_merge": Query(scd2_merge, on_tables(load_sql("dim", "feed", "loaded"), select="SELECT * FROM loaded")),
     "scd2_load_table": Query(
         scd2_load_table, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
