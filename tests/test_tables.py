@@ -1,10 +1,11 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from feedkit.operators import merge_upsert
-from feedkit.plans import create_snapshot, stage_load
+from feedkit.plans import create_loaded, create_snapshot, ledger, load_new_files, stage_load
 from feedkit.sinks import append_by_name, create_table, overwrite_table, run_sql, truncate
 from feedkit.sources import list_tables, preview, read_table
 from feedkit.workdir import new_folder, shared_folder, written
@@ -142,3 +143,76 @@ def test_overwriting_with_its_own_rows_and_readers_under_way(spark, rows):
         assert len(list(reading)) == 99
     assert spark.table("ow_self").agg(F.min("a"), F.max("a")).first() == (3, 102)
     assert spark.sql("SHOW TBLPROPERTIES ow_self ('owner.team')").first()["value"] == "x"
+
+
+# ---------------------------------------------------------------- new files only
+
+
+@pytest.fixture
+def stage(spark, tmp_path):
+    """A stage's folder, and a function that loads it into two tables and notes which files it reads."""
+    (tmp_path / "in").mkdir()
+    for name in ("st_rows", "st_mapped", "st_rows__files"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_loaded(spark, "st_rows", {"a": "VARCHAR", "b": "VARCHAR"})
+    create_loaded(spark, "st_mapped", {"n": "INTEGER"})
+    read = []
+
+    def rows_of(paths):
+        read.append(sorted(p.rpartition("/")[2] for p in paths))
+        return spark.read.schema("b string, a string").csv(paths)
+
+    def load(**options):
+        read.clear()
+        targets = {"st_mapped": lambda rows: rows.selectExpr("CAST(a AS INT) * 10 AS n")}
+        return load_new_files(spark, str(tmp_path / "in"), rows_of, "st_rows", targets, pattern="*.csv", **options), list(read)
+
+    return tmp_path / "in", load
+
+
+def test_only_new_files_are_read_and_each_once(spark, rows, stage):
+    folder, load = stage
+    assert load() == ([], [])
+    (folder / "one.csv").write_text("x,1\ny,2\n")
+    (folder / "other.txt").write_text("no,0\n")
+    assert load() == ([1], [["one.csv"]])
+    assert load() == ([], [])
+    (folder / "two.csv").write_text("z,3\n")
+    (folder / "below").mkdir()
+    (folder / "below" / "three.csv").write_text("w,4\n")
+    os.utime(folder / "two.csv", (1e9, 1e9))  # the oldest is loaded first
+    assert load(files_per_load=1)[0] == [2, 3]
+    assert rows(spark.table("st_rows")) == [("1", "x", 1), ("2", "y", 1), ("3", "z", 2), ("4", "w", 3)]
+    assert rows(spark.table("st_mapped"), "n") == [(10,), (20,), (30,), (40,)]
+    assert {(r["path"].rpartition("/")[2], r["length"], r["load_number"]) for r in ledger(spark, "st_rows").collect()} == {("one.csv", 8, 1), ("two.csv", 4, 2), ("three.csv", 4, 3)}
+    (folder / "two.csv").write_text("z,33\n")  # another length: another file
+    assert load() == ([4], [["two.csv"]])
+
+
+@pytest.mark.parametrize("cut_at", [0, 1, 2])
+def test_a_load_of_files_that_is_cut_short_is_done_again(spark, rows, stage, monkeypatch, cut_at):
+    import sys
+
+    module = sys.modules["feedkit.plans.stage_load"]
+    folder, load = stage
+    (folder / "one.csv").write_text("x,1\n")
+    load()
+    (folder / "two.csv").write_text("y,2\n")
+    add, done = module._add, []
+
+    def stopping(*args):
+        if len(done) == cut_at:
+            raise RuntimeError("cut")
+        done.append(1)
+        return add(*args)
+
+    with monkeypatch.context() as cut:
+        cut.setattr(module, "_add", stopping)
+        with pytest.raises(RuntimeError, match="cut"):
+            load()
+    (folder / "three.csv").write_text("z,3\n")
+    assert load()[0] == [2]
+    assert rows(spark.table("st_rows"), "a") == [("1",), ("2",), ("3",)]
+    assert rows(spark.table("st_mapped"), "n") == [(10,), (20,), (30,)]
+    with pytest.raises(ValueError, match="only one of rows and table"):
+        module._add(spark.range(1), "st_rows", 9)

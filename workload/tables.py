@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.operators import merge_upsert
-from feedkit.plans import create_snapshot, stage_load
+from feedkit.operators import apply_mapping, merge_upsert
+from feedkit.plans import create_loaded, create_snapshot, load_new_files, stage_load
 from feedkit.sinks import append_by_name, create_table, overwrite_table, run_sql, truncate
-from feedkit.sources import list_tables, preview, read_table
+from feedkit.sources import list_files, list_tables, preview, read_table, read_with_header
 from feedkit.workdir import new_folder
 from workload.common import Query, new_database, table
 from workload.mappings import to
@@ -109,6 +109,51 @@ FROM customer
 """
 
 
+def customer_files(spark: SparkSession, folder: str, condition: str) -> str:
+    """Customers as delimited files, one folder for each nation."""
+    path = new_folder(spark, "nations")
+    customers = table(spark, folder, "customer").where(condition)
+    rows = customers.select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"), F.col("c_nationkey").alias("nation"))
+    rows.hint("rebalance", "nation").write.partitionBy("nation").options(sep="|", header=True).csv(path)
+    return path
+
+
+def listed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What a stage's listing says of the files: the nation in their path, and that they have bytes and a time."""
+    files = list_files(spark, customer_files(spark, folder, "true"), "*.csv")
+    nation = F.regexp_extract("path", r"nation=(\d+)/", 1).cast("int").alias("nation")
+    return files.where("length > 0 AND modificationTime IS NOT NULL").select(nation).distinct()
+
+
+LISTED_SQL = "SELECT DISTINCT CAST(c_nationkey AS INTEGER) AS nation FROM customer"
+
+
+def new_files_loaded(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs over a stage: files of some nations, nothing new, files of the others. Staged rows and mapped ones."""
+    database = new_database(spark)
+    staging, target = f"{database}.staging", f"{database}.customers"
+    create_loaded(spark, staging, {"c_custkey": "VARCHAR", "c_name": "VARCHAR", "c_acctbal": "VARCHAR"})
+    create_loaded(spark, target, {"id": "bigint", "balance": "DOUBLE"})
+    mapping = {"mappings": [to("c_custkey", "id", "bigint"), to("c_acctbal", "balance", "DOUBLE")]}
+
+    def load(path: str) -> list[int]:
+        return load_new_files(
+            spark, path, lambda paths: read_with_header(spark, paths, "|", infer_types=False), staging, {target: lambda rows: apply_mapping(rows, mapping)}, pattern="*.csv"
+        )
+
+    first, rest = (customer_files(spark, folder, f"c_nationkey {sign} 10") for sign in ("<", ">="))
+    for path in (first, first, rest):
+        load(path)
+    staged = spark.table(staging).select(F.col("c_custkey").cast("bigint").alias("id"), "c_name", "load_number")
+    return staged.join(spark.table(target), ["id", "load_number"])
+
+
+NEW_FILES_SQL = """
+SELECT c_custkey AS id, CASE WHEN c_nationkey < 10 THEN 1 ELSE 2 END AS load_number, c_name, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance
+FROM customer
+"""
+
+
 def merge_customers(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers merged into customers by number and nation: two keys."""
     customers = table(spark, folder, "customer").selectExpr(
@@ -149,6 +194,8 @@ QUERIES = {
     "sql_query": Query(sql_query, SQL_QUERY_SQL),
     "append_by_name": Query(append_twice, APPEND_SQL),
     "truncate_insert": Query(truncate_insert, TRUNCATE_SQL),
+    "listed_files": Query(listed_files, LISTED_SQL),
+    "new_files_loaded": Query(new_files_loaded, NEW_FILES_SQL),
     "stage_load": Query(stage_load_customers, STAGE_LOAD_SQL),
     "merge_upsert": Query(merge_customers, MERGE_SQL),
     "list_tables": Query(loaded_tables, LIST_TABLES_SQL),
