@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedkit.functions.lenient import lenient
+
 # The type names that occur in schema and mapping files, and the Spark type of each.
 # VARHCAR is a misspelling that occurs in real schema files; CHAR maps to string because Spark's
 # char(n) pads with blanks on read.
@@ -37,8 +39,15 @@ DATE_FUNCTIONS = ("to_date", "try_to_date", "to_timestamp", "try_to_timestamp",
 
 _LITERAL = re.compile(r"('(?:[^'\\]|\\.|'')*')")
 _CALL = re.compile(r"(\w*)\s*\(|\)|(\S)")
-_DATE_ONLY = re.compile(r"'(?=[^']*mm)(?=[^']*yy)[dmy/., -]+'", re.IGNORECASE)
-_LENIENT = re.compile(r"\b(to_date|to_timestamp|cast)(?=\s*\()", re.IGNORECASE)
+# The elements of a warehouse's date patterns, in any case, and Spark's letters for each. ``mm`` is
+# the month, or the minute next to hours or seconds; ``hh`` counts to 24 unless the pattern tells am from pm.
+PATTERN_ELEMENTS = {
+    "yyyy": "yyyy", "yy": "yy", "month": "MMMM", "mmmm": "MMMM", "mon": "MMM", "mmm": "MMM", "mm": "MM", "m": "M", "dd": "dd", "d": "d",
+    "day": "EEEE", "dy": "EEE", "hh24": "HH", "hh12": "hh", "hh": "HH", "h": "H", "mi": "mm", "ss": "ss", "s": "s", "ff3": "SSS",
+    "ff6": "SSSSSS", "ff": "SSSSSS", "am": "a", "pm": "a", "a": "a", "tzh:tzm": "XXX", "tzhtzm": "XX",
+}
+_HOURS, _DATES = ("hh24", "hh12", "hh", "h"), ("yyyy", "yy", "mon", "month", "mmm", "mmmm", "dd", "d", "day", "dy")
+_ELEMENT = re.compile("|".join([*sorted(PATTERN_ELEMENTS, key=len, reverse=True), r'"[^"]*"', r"\w", r"\W"]), re.IGNORECASE)
 _CURRENT_DATE = re.compile(r"\bcurrent_date\b(\s*\(\s*\))?", re.IGNORECASE)
 
 
@@ -78,9 +87,9 @@ def sql_expression(
 ) -> Column:
     """SQL text of a mapping file as a column.
 
-    ``date_dialect='warehouse'`` reads ``mm`` in date-only patterns as the month; Spark itself reads it as
-    the minute and silently returns January. ``on_error='null'`` makes casts and date functions give null
-    where they would fail. ``run_date`` stands in for ``current_date()`` so that a load can be repeated.
+    ``date_dialect='warehouse'`` reads the patterns of date functions as a warehouse does (:func:`spark_pattern`); Spark
+    itself reads ``mm`` as the minute and silently returns January. ``on_error='null'`` makes casts of any form
+    and date functions give null where they would fail. ``run_date`` stands in for ``current_date()`` so that a load can be repeated.
     Text in quotes is left as it is, but for the patterns of date functions.
     """
     one_of(date_dialect, DATE_DIALECTS, "date_dialect")
@@ -88,14 +97,40 @@ def sql_expression(
     parts = _LITERAL.split(text)  # every second one is a literal
     if date_dialect == "warehouse":
         for i in _patterns(parts):
-            if _DATE_ONLY.fullmatch(parts[i]):
-                parts[i] = parts[i].lower().replace("m", "M")
+            parts[i] = f"'{spark_pattern(parts[i][1:-1])}'"
     for i in range(0, len(parts), 2):
-        if on_error == "null":
-            parts[i] = _LENIENT.sub(r"try_\1", parts[i])
         if run_date is not None:
             parts[i] = _CURRENT_DATE.sub(f"DATE'{run_date}'", parts[i])
-    return F.expr("".join(parts))
+    whole = "".join(parts)
+    return F.expr(lenient(whole) if on_error == "null" else whole)
+
+
+def spark_pattern(pattern: str) -> str:
+    """A warehouse's date pattern in Spark's letters, as it stands in an SQL literal.
+
+    One with letters that are no element, or with neither a date nor hours in it, is taken to be Spark's own.
+    """
+    found = _ELEMENT.findall(pattern)
+    names = [e.lower() for e in found]
+    known = [n for n in names if n in PATTERN_ELEMENTS]
+    if any(re.fullmatch(r"\w", e) and e.lower() not in PATTERN_ELEMENTS and not e.isdigit() for e in found) or not {*_DATES, *_HOURS}.intersection(known):
+        return pattern
+    halves = {"am", "pm", "a"}.intersection(known)
+    out, place = [], -1
+    for element, name in zip(found, names):
+        if name not in PATTERN_ELEMENTS:
+            # text in double quotes stands for itself
+            out.append(f"''{element[1:-1]}''" if len(element) > 1 else element)
+            continue
+        place += 1
+        beside = known[place - 1 : place] if place else [], known[place + 1 : place + 2]
+        letters = PATTERN_ELEMENTS[name]
+        if name in ("mm", "m") and "mi" not in known and (beside[0] and beside[0][0] in _HOURS or beside[1] and beside[1][0] in ("ss", "s")):
+            letters = letters.lower()
+        if name in ("hh", "h") and halves:
+            letters = letters.lower()
+        out.append(letters)
+    return "".join(out)
 
 
 def _patterns(parts: list[str]) -> list[int]:

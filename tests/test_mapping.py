@@ -17,6 +17,8 @@ from feedkit.functions import (
     substring_columns,
     with_function,
 )
+from feedkit.functions.lenient import lenient
+from feedkit.functions.types import spark_pattern
 from feedkit.operators import apply_mapping, compare_layout, conform, rename, rename_by_mapping
 
 RUN = "2023-05-10"
@@ -283,3 +285,50 @@ def test_function_gets_the_declared_type(spark, rows):
     frame = spark.createDataFrame([(1,), (None,), (7,)], "n int").coalesce(1)
     assert rows(with_function(frame, "text", "n", str), "text") == [("1",), ("7",), (None,)]
     assert rows(with_function(frame, "next", "n", lambda n: n + 1, "bigint"), "next") == [(2,), (8,), (None,)]
+
+
+@pytest.mark.parametrize(
+    "pattern, expected",
+    [
+        ("dd/mm/yyyy", "dd/MM/yyyy"), ("dd/mm/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss"), ("YYYY-MM-DD HH24:MI:SS", "yyyy-MM-dd HH:mm:ss"),
+        ("dd-mon-yyyy hh:mi am", "dd-MMM-yyyy hh:mm a"), ("hh24:mm dd.mm.yy", "HH:mm dd.MM.yy"), ("HH:mm", "HH:mm"), ("mm", "mm"), ("mm:ss", "mm:ss"),
+        ("yyyymmddhh24miss", "yyyyMMddHHmmss"), ("DD MONTH YYYY", "dd MMMM yyyy"), ("d/m/yy h:m a", "d/M/yy h:m a"), ('yyyy-mm-dd"T"hh24', "yyyy-MM-dd''T''HH"),
+        ("yyyy-'T'", "yyyy-'T'"), ("EEE dd", "EEE dd"), ("yyyy-MM-dd HH:mm:ss.ff3", "yyyy-MM-dd HH:mm:ss.SSS"), ("", ""),
+    ],
+)
+def test_warehouse_patterns(pattern, expected):
+    assert spark_pattern(pattern) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("to_timestamp('03/12/2023 10:20:30', 'dd/mm/yyyy HH:mm:ss')", "2023-12-03 10:20:30"), ("to_date('03/12/2023 10:20', 'dd/mm/yyyy hh24:mi')", "2023-12-03"),
+        ("to_timestamp('2023-12-03T10', 'yyyy-mm-dd\"T\"hh24')", "2023-12-03 10:00:00"), ("date_format(TIMESTAMP'2023-12-03 22:20:00', 'dd mon yyyy hh:mi am')", "03 Dec 2023 10:20 PM"),
+    ],
+)
+def test_patterns_with_times_and_names(spark, text, expected):
+    assert str(spark.range(1).select(sql_expression(text)).first()[0]) == expected
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "b::int", "int(b)", "date(b)", "timestamp (b)", "unix_timestamp(b)", "unix_timestamp(b, 'yyyy')", "to_unix_timestamp(b, 'dd/mm/yyyy')", "upper(b)::date", "(b || 'x') :: decimal(10,2)",
+        "s.`f.g`::int", "a[0]::int::string", "CASE WHEN (b)::int > 1 THEN 1 END", "to_date(b, 'dd/mm/yyyy')::string", "float(substr(b, 2))", "-b::int", "cast(b AS int) + int(b)", "double(trim(b))",
+    ],
+)
+def test_casts_of_every_form_give_null(spark, text):
+    row = spark.sql("SELECT 'no number' AS b, named_struct('f.g', 'x') AS s, array('y') AS a")
+    assert row.select(sql_expression(text, on_error="null")).first()[0] is None
+    with pytest.raises(PySparkException):
+        row.select(sql_expression(text)).collect()
+
+
+def test_lenient_text_is_changed_where_it_converts_only():
+    assert lenient("concat('b::int', \"int(b)\", `date(x)`, point(b), x.int(b), t IN (1))") == "concat('b::int', \"int(b)\", `date(x)`, point(b), x.int(b), t IN (1))"
+    assert lenient("f(a, b)::int + (c)::date") == "try_cast(f(a, b) AS int) + try_cast((c) AS date)"
+    assert lenient("x IN (1)::int") == "x IN try_cast((1) AS int)"
+    assert lenient("unix_timestamp()") == "unix_timestamp()"
+    with pytest.raises(ValueError, match="not closed"):
+        lenient("int(b")

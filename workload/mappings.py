@@ -324,14 +324,22 @@ def map_dates(spark: SparkSession, folder: str) -> DataFrame:
             to("", "TRIED", expression=f"try_to_date({day}, 'dd/mm/yyyy')"),
             to("", "STAMP", expression=f"to_timestamp({day}, 'dd/mm/yyyy')"),
             to("", "SHOWN", expression="date_format(o_orderdate, 'dd.mm.yyyy')"),
+            to("", "NOON", expression=f"to_timestamp(concat({day}, ' 12:34:56'), 'dd/mm/yyyy HH:mm:ss')"),
+            to("", "NIGHT", expression=f"to_timestamp(concat({day}, ' 23:59:08'), 'DD/MM/YYYY HH24:MI:SS')"),
+            to("", "NAMED", expression="to_date(date_format(o_orderdate, 'dd-MMM-yyyy'), 'dd-mon-yyyy')"),
+            to("", "HALF", expression="date_format(timestamp(o_orderdate) + INTERVAL 15 HOUR, 'yyyymmdd hh12:mi am')"),
             to("", "QUOTED", expression="concat('to_date(x, ''dd/mm/yyyy'') on current_date() for ', o_orderkey)"),
         ]
     }
-    return apply_mapping(table(spark, folder, "orders"), mapping, run_date=RUN_DATE)
+    mapped = apply_mapping(table(spark, folder, "orders"), mapping, run_date=RUN_DATE)
+    return mapped.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("NOON", "NIGHT")})
 
 
 DATES_SQL = """
 SELECT o_orderkey AS "ORDER_ID", CAST(o_orderdate AS DATE) AS "TRIED",
+       CAST(o_orderdate AS DATE) + INTERVAL '12:34:56' AS "NOON",
+       CAST(o_orderdate AS DATE) + INTERVAL '23:59:08' AS "NIGHT",
+       CAST(o_orderdate AS DATE) AS "NAMED", strftime(o_orderdate, '%Y%m%d') || ' 03:00 PM' AS "HALF",
        CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS "STAMP", strftime(o_orderdate, '%d.%m.%Y') AS "SHOWN",
        'to_date(x, ''dd/mm/yyyy'') on current_date() for ' || o_orderkey AS "QUOTED"
 FROM orders
@@ -346,6 +354,11 @@ def map_lenient_cast(spark: SparkSession, folder: str) -> DataFrame:
             to("o_orderpriority", "RANK", expression="cast(substr(o_orderpriority, 1, 1) as int) + 1"),
             to("o_orderpriority", "NUMBER", expression="coalesce(CAST(o_orderpriority AS INT), -1)"),
             to("o_orderstatus", "DAY", expression="to_date(concat(o_orderstatus, '1/01/2000'), 'dd/mm/yyyy')"),
+            to("", "COLONS", expression="coalesce(substr(o_orderpriority, 1, 1)::int + 1, -1) + coalesce(o_orderpriority::bigint, 100)"),
+            to("", "DIGIT", expression="(substring(o_orderpriority, 1, 1))::int::string"),
+            to("", "CALLED", expression="int(nullif(substring(o_orderpriority, 1 + int(o_orderkey % 3), 1), '-'))"),
+            to("", "DATED", expression="date(concat('1995-0', substr(o_orderpriority, 1, 1), '-', o_orderkey % 40))"),
+            to("", "SECONDS", expression="unix_timestamp(concat('1995-01-01 00:00:', lpad(o_orderkey % 70, 2, '0'))) - unix_timestamp('1995-01-01 00:00:00')"),
         ]
     }
     return apply_mapping(table(spark, folder, "orders"), mapping, on_error="null")
@@ -353,7 +366,11 @@ def map_lenient_cast(spark: SparkSession, folder: str) -> DataFrame:
 
 LENIENT_CAST_SQL = """
 SELECT o_orderkey AS "ORDER_ID", TRY_CAST(substring(o_orderpriority, 1, 1) AS INTEGER) + 1 AS "RANK",
-       coalesce(TRY_CAST(o_orderpriority AS INTEGER), -1) AS "NUMBER", CAST(NULL AS DATE) AS "DAY"
+       coalesce(TRY_CAST(o_orderpriority AS INTEGER), -1) AS "NUMBER", CAST(NULL AS DATE) AS "DAY",
+       TRY_CAST(substring(o_orderpriority, 1, 1) AS INTEGER) + 101 AS "COLONS", substring(o_orderpriority, 1, 1) AS "DIGIT",
+       TRY_CAST(nullif(substring(o_orderpriority, CAST(1 + o_orderkey % 3 AS INTEGER), 1), '-') AS INTEGER) AS "CALLED",
+       TRY_CAST('1995-0' || substring(o_orderpriority, 1, 1) || '-' || o_orderkey % 40 AS DATE) AS "DATED",
+       CASE WHEN o_orderkey % 70 < 60 THEN o_orderkey % 70 END AS "SECONDS"
 FROM orders
 """
 
