@@ -92,12 +92,8 @@ def sql_expression(
     and date functions give null where they would fail. ``run_date`` stands in for ``current_date()`` so that a load can be repeated.
     Text in quotes is left as it is, but for the patterns of date functions.
     """
-    one_of(date_dialect, DATE_DIALECTS, "date_dialect")
     one_of(on_error, ERROR_MODES, "on_error")
-    parts = _LITERAL.split(text)  # every second one is a literal
-    if date_dialect == "warehouse":
-        for i in _patterns(parts):
-            parts[i] = f"'{spark_pattern(parts[i][1:-1])}'"
+    parts = _LITERAL.split(date_text(text, date_dialect))  # every second one is a literal
     for i in range(0, len(parts), 2):
         if run_date is not None:
             parts[i] = _CURRENT_DATE.sub(f"DATE'{run_date}'", parts[i])
@@ -105,6 +101,16 @@ def sql_expression(
     return F.expr(lenient(whole) if on_error == "null" else whole)
 
 
+def date_text(text: str, date_dialect: str) -> str:
+    """SQL text with the patterns of its date functions in Spark's letters."""
+    one_of(date_dialect, DATE_DIALECTS, "date_dialect")
+    parts = _LITERAL.split(text)
+    if date_dialect == "warehouse":
+        for i in _patterns(parts):
+            parts[i] = f"'{spark_pattern(parts[i][1:-1])}'"
+    return "".join(parts)
+
+
 def spark_pattern(pattern: str) -> str:
     """A warehouse's date pattern in Spark's letters, as it stands in an SQL literal.
 

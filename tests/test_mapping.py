@@ -17,6 +17,7 @@ from feedkit.functions import (
     substring_columns,
     with_function,
 )
+from feedkit.functions.declared import declare_functions
 from feedkit.functions.lenient import lenient
 from feedkit.functions.types import spark_pattern
 from feedkit.operators import apply_mapping, compare_layout, conform, rename, rename_by_mapping
@@ -332,3 +333,24 @@ def test_lenient_text_is_changed_where_it_converts_only():
     assert lenient("unix_timestamp()") == "unix_timestamp()"
     with pytest.raises(ValueError, match="not closed"):
         lenient("int(b")
+
+
+def test_declared_functions_are_expressions(spark, rows, tmp_path):
+    path = tmp_path / "functions.json"
+    path.write_text(json.dumps({"functions": [
+        {"name": "ts_half", "parameters": [{"name": "n", "type": "INTEGER"}], "returns": "DOUBLE", "body": "n / 2"},
+        {"name": "ts_day", "parameters": [{"name": "s", "type": "VARCHAR"}], "returns": "DATE", "body": "to_date(s, 'dd/mm/yyyy')"},
+        {"name": "ts_none", "returns": "VARCHAR(3)", "body": "'abc'"},
+    ]}))
+    assert declare_functions(spark, str(path)) == ["ts_half", "ts_day", "ts_none"]
+    frame = spark.createDataFrame([(3, "13/12/2023"), (None, None)], "a int, b string")
+    mapped = apply_mapping(frame, {"mappings": [to("", "x", None, "ts_half(a) + 1"), to("", "y", None, "ts_day(b)"), to("", "z", None, "ts_none()")]})
+    assert rows(mapped) == [(2.5, datetime.date(2023, 12, 13), "abc"), (None, None, "abc")]
+    plan = mapped._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ts_half" not in plan
+    again = {"functions": [{"name": "ts_half", "parameters": [{"name": "n", "type": "INT"}], "returns": "DOUBLE", "body": "n / 4"}]}
+    declare_functions(spark, again)
+    assert frame.selectExpr("ts_half(a) AS h").where("h IS NOT NULL").first()["h"] == 0.75
+    for wrong in ({"functions": again["functions"] * 2}, {"functions": [{**again["functions"][0], "parameters": [{"name": "n", "type": "INT"}] * 2}]}):
+        with pytest.raises(ValueError, match="more than one"):
+            declare_functions(spark, wrong)

@@ -14,6 +14,7 @@ from feedkit.functions import (
     substring_columns,
     with_function,
 )
+from feedkit.functions.declared import declare_functions
 from feedkit.operators import apply_mapping, conform, rename, rename_by_mapping
 from workload.common import Query, table
 
@@ -375,6 +376,36 @@ FROM orders
 """
 
 
+def map_declared(spark: SparkSession, folder: str) -> DataFrame:
+    """Expressions that call functions declared in SQL, one of which calls another."""
+    day = {"name": "day", "type": "DATE"}
+    declare_functions(
+        spark,
+        {
+            "functions": [
+                {"name": "feedkit_rank", "parameters": [{"name": "priority", "type": "VARCHAR(20)"}], "returns": "INTEGER", "body": "CAST(substr(priority, 1, 1) AS INT)"},
+                {"name": "feedkit_due", "parameters": [day, {"name": "priority", "type": "VARCHAR"}], "returns": "DATE", "body": "date_add(day, 10 * feedkit_rank(priority))"},
+                {"name": "feedkit_shown", "parameters": [day], "returns": "VARCHAR", "body": "date_format(day, 'dd/mm/yyyy')"},
+            ]
+        },
+    )
+    mapping = {
+        "mappings": [
+            to("o_orderkey", "ORDER_ID", "BIGINT"),
+            to("", "RANK", expression="feedkit_rank(o_orderpriority)"),
+            to("", "DUE", expression="feedkit_shown(feedkit_due(date(o_orderdate), o_orderpriority))"),
+        ]
+    }
+    return apply_mapping(table(spark, folder, "orders"), mapping)
+
+
+DECLARED_SQL = """
+SELECT o_orderkey AS "ORDER_ID", CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS "RANK",
+       strftime(CAST(o_orderdate AS DATE) + 10 * CAST(substring(o_orderpriority, 1, 1) AS INTEGER), '%d/%m/%Y') AS "DUE"
+FROM orders
+"""
+
+
 def customer_hash(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
     return customers.select("c_custkey", row_hash(["c_name", "c_nationkey", "c_mktsegment"]).alias("row_hash"))
@@ -409,6 +440,7 @@ QUERIES = {
     "cols_by_name_only": Query(cols_by_name_only, COLS_ONLY_SQL),
     "udf_short_name": Query(udf_short_name, UDF_SQL),
     "udf_nullable_int": Query(udf_nullable_int, UDF_INT_SQL),
+    "map_declared": Query(map_declared, DECLARED_SQL),
     "map_dates": Query(map_dates, DATES_SQL),
     "map_lenient_cast": Query(map_lenient_cast, LENIENT_CAST_SQL),
     "row_hash": Query(customer_hash, HASH_SQL),
