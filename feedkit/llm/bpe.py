@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from feedkit.llm.tokens import LONGEST, POWERS, TABLES
 
 #: What a worker keeps at most: pieces with their ids, transitions, seams.
-PIECES_KEPT, STEPS_KEPT, SEAMS_KEPT = 1_000_000, 400_000, 400_000
+PIECES_KEPT, STEPS_KEPT, SEAMS_KEPT = 800_000, 250_000, 250_000
 #: Pieces of a text, and bytes of texts, that are worked on together.
 PIECES, BATCH_BYTES = 100_000, 1 << 20
 #: A place where no later token can begin.
