@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from feedkit.functions.names import ref, resolve
 
@@ -26,6 +26,11 @@ def as_date(value: str | datetime.date, what: str) -> datetime.date:
         raise ValueError(f"{what} {value!r} is not a date of the form yyyy-mm-dd") from None
 
 
+def session_date() -> datetime.date:
+    """The current date of the active session, in its time zone: the run date if none is given."""
+    return SparkSession.active().sql("SELECT current_date()").first()[0]
+
+
 @dataclass(frozen=True)
 class Load:
     """Parameters of one load. ``active_end_date=None`` means an open interval: active rows have no end date."""
@@ -58,7 +63,7 @@ class Load:
             end=(end_col or "").strip(),
             flag=(flag_col or "").strip(),
             refresh_type=refresh,
-            run_date=as_date(given, "run date") if given else datetime.date.today(),
+            run_date=as_date(given, "run date") if given else session_date(),
             active_end_date=as_date(active_end_date, "active end date") if active_end_date else None,
         )
 

@@ -103,7 +103,6 @@ def load_logged(
     """
     spark = source.sparkSession
     about = logged(spark, name)
-    run_date = run_date or spark.sql("SELECT current_date()").first()[0]
     load = Load.of(about.keys, about.start, about.end, flag_col, refresh_type, run_date, active_end_date)
     rows = spark.table(name)
     reject(structure_checks(source.columns, rows.columns, load, max_keys))

@@ -90,7 +90,6 @@ def load_dimension(
     and leave the target in place; rows are the same in both forms.
     """
     spark = source.sparkSession
-    run_date = run_date or spark.sql("SELECT current_date()").first()[0]
     load = Load.of(keys, start_col, end_col, flag_col, refresh_type, run_date, active_end_date)
     partitions = _partition_columns(spark, table)
     target = spark.table(table)

@@ -665,6 +665,17 @@ def test_impossible_intervals_refuse_a_tables_first_load(spark, source, target):
     assert spark.sql("SHOW TBLPROPERTIES dim_right ('feedkit.intervals')").first()["value"] == "checked"
 
 
+def test_the_run_date_is_the_sessions(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("Pacific/Kiritimati", "Pacific/Pago_Pago"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            today = spark.sql("SELECT current_date()").first()[0]
+            assert Load.of(["k"], "s", "e", "f").run_date == today
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_table_keeps_its_definition(spark, source, target, rows):
     spark.sql("DROP TABLE IF EXISTS dim_defined")
     spark.sql("""CREATE TABLE dim_defined (store_id STRING COMMENT 'the key', location STRING, value INT, start_date DATE, end_date DATE,

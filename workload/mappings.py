@@ -238,15 +238,15 @@ def cut(start: int, length: int):
     return lambda c: F.substring(c, start, length)
 
 
-CUTS = [cut(1, 3), cut(2, 4), cut(4, 6)]
+CUTS = [cut(2, 5), cut(3, 3), cut(1, 7)]
 
 
 def cols_all(spark: SparkSession, folder: str) -> DataFrame:
-    return map_all(part_texts(spark, folder), cut(1, 3))
+    return map_all(part_texts(spark, folder), cut(2, 5))
 
 
 COLS_ALL_SQL = """
-SELECT substring(p_name, 1, 3) AS p_name, substring(p_brand, 1, 3) AS p_brand, substring(p_type, 1, 3) AS p_type
+SELECT substring(p_name, 2, 5) AS p_name, substring(p_brand, 2, 5) AS p_brand, substring(p_type, 2, 5) AS p_type
 FROM part
 """
 
@@ -256,7 +256,7 @@ def cols_by_position(spark: SparkSession, folder: str) -> DataFrame:
 
 
 COLS_BY_POSITION_SQL = """
-SELECT substring(p_name, 1, 3) AS p_name, substring(p_brand, 2, 4) AS p_brand, substring(p_type, 1, 3) AS p_type
+SELECT substring(p_name, 2, 5) AS p_name, substring(p_brand, 3, 3) AS p_brand, substring(p_type, 2, 5) AS p_type
 FROM part
 """
 
@@ -265,7 +265,7 @@ def cols_by_index(spark: SparkSession, folder: str) -> DataFrame:
     return map_by_index(table(spark, folder, "part"), [("p_type", 2), ("p_name", 0)], CUTS)
 
 
-COLS_BY_INDEX_SQL = "SELECT substring(p_type, 4, 6) AS p_type, substring(p_name, 1, 3) AS p_name FROM part"
+COLS_BY_INDEX_SQL = "SELECT substring(p_type, 1, 7) AS p_type, substring(p_name, 2, 5) AS p_name FROM part"
 
 
 def cols_by_name_keep(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,7 +276,7 @@ COLS_KEEP_SQL = """
 SELECT p_partkey, upper(p_name) AS p_name, p_brand, p_type, p_size + 1 AS p_size, p_retailprice FROM part
 """
 
-POSITIONS = {"properties": [{"name": "p_name", "position": "1,2"}, {"name": "p_brand", "position": "3,6"}]}
+POSITIONS = {"properties": [{"name": "p_name", "position": "2,8"}, {"name": "p_brand", "position": "4,9"}]}
 
 
 def cols_substring_keep(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,7 +284,7 @@ def cols_substring_keep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 COLS_SUBSTRING_KEEP_SQL = """
-SELECT substring(p_name, 1, 2) AS p_name, substring(p_brand, 3, 4) AS p_brand, p_type FROM part
+SELECT substring(p_name, 2, 7) AS p_name, substring(p_brand, 4, 6) AS p_brand, p_type FROM part
 """
 
 
@@ -292,7 +292,7 @@ def cols_by_name_only(spark: SparkSession, folder: str) -> DataFrame:
     return substring_columns(part_texts(spark, folder), POSITIONS, keep_others=False)
 
 
-COLS_ONLY_SQL = "SELECT substring(p_name, 1, 2) AS p_name, substring(p_brand, 3, 4) AS p_brand FROM part"
+COLS_ONLY_SQL = "SELECT substring(p_name, 2, 7) AS p_name, substring(p_brand, 4, 6) AS p_brand FROM part"
 
 
 def udf_short_name(spark: SparkSession, folder: str) -> DataFrame:
