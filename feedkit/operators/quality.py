@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedkit.functions.names import column, find, name_difference, ref
 from feedkit.operators.dimension import Load
@@ -35,6 +36,23 @@ def max_dates(target: DataFrame, load: Load) -> DataFrame:
     )
 
 
+def max_dates_of_files(spark: SparkSession, path: str, load: Load) -> DataFrame:
+    """The same of a table's Parquet files, from the statistics in their footers: no row is read.
+
+    The frame belongs to a session of its own, in which Spark reads Parquet through the source that can answer an aggregate
+    so. Files without statistics are read. Both must be columns of the files, not names of folders, and dates.
+    """
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    files = footers.read.parquet(path)
+    columns = {name: find(given, files.columns) for name, given in (("max_start", load.start), ("max_end", load.end))}
+    for given, name in zip((load.start, load.end), columns.values()):
+        if name is None or files.schema[name].dataType != T.DateType():
+            raise ValueError(f"the files have no date column {given}")
+    return files.agg(*[F.max(column(name)).alias(alias) for alias, name in columns.items()])
+
+
 def impossible_intervals(target: DataFrame, load: Load) -> DataFrame:
     """Rows that end before the day before they begin, which loads never leave. Reads both date columns."""
     start, end = ref(find(load.start, target.columns)), ref(find(load.end, target.columns))

@@ -665,6 +665,19 @@ def test_impossible_intervals_refuse_a_tables_first_load(spark, source, target):
     assert spark.sql("SHOW TBLPROPERTIES dim_right ('feedkit.intervals')").first()["value"] == "checked"
 
 
+def test_latest_dates_from_footers(spark, target, tmp_path):
+    target.write.parquet(str(tmp_path / "dim"))
+    load = Load.of(**{**CALL, "start_col": "START_DATE"})
+    found = quality.max_dates_of_files(spark, str(tmp_path / "dim"), load)
+    assert found.collect() == quality.max_dates(spark.read.parquet(str(tmp_path / "dim")), load).collect()
+    assert "PushedAggregation: [MAX(start_date), MAX(end_date)]" in found._jdf.queryExecution().executedPlan().toString()
+    target.limit(0).write.parquet(str(tmp_path / "none"))
+    assert tuple(quality.max_dates_of_files(spark, str(tmp_path / "none"), load).first()) == (None, None)
+    with pytest.raises(ValueError, match="no date column location"):
+        quality.max_dates_of_files(spark, str(tmp_path / "dim"), Load.of(**{**CALL, "start_col": "location"}))
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""  # the caller's session is as it was
+
+
 def test_the_run_date_is_the_sessions(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     try:

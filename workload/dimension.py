@@ -362,6 +362,13 @@ def dq_max_dates(spark: SparkSession, folder: str) -> DataFrame:
     return quality.max_dates(dimension(spark, folder), load_of())
 
 
+def dq_max_dates_footers(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest dates of the stored dimension, out of its files' footers."""
+    rows, path = dimension(spark, folder), new_folder(spark, "dimension")
+    rows.write.parquet(path)
+    return quality.max_dates_of_files(spark, path, load_of())
+
+
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     """All checks, on a feed with a row per order and a load dated before the dimension's latest start."""
     orders = table(spark, folder, "orders")
@@ -560,6 +567,10 @@ WHERE {DIFFERENT} AND a.start_date <> DATE '{RUN_DATE}'""",
         dq_max_dates,
         on_tables(select="SELECT max(start_date) AS max_start, max(end_date) AS max_end FROM dim"),
     ),
+    "dq_max_dates_footers": Query(
+        dq_max_dates_footers,
+        on_tables(select="SELECT max(start_date) AS max_start, max(end_date) AS max_end FROM dim"),
+    ),
     "dq_report": Query(
         dq_report,
         report_sql(
