@@ -176,17 +176,20 @@ WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey AND s_natio
 
 
 def loaded_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """The tables of a database made from the given supplier and nation tables."""
+    """The tables of a database that has one for each market segment of the customers and one for their nations' names."""
     database = new_database(spark)
-    for name in ("nation", "supplier"):
-        overwrite_table(table(spark, folder, name), f"{database}.{name}")
+    customers = table(spark, folder, "customer")
+    for (segment,) in customers.select("c_mktsegment").distinct().collect():  # a handful
+        overwrite_table(customers.where(F.col("c_mktsegment") == segment), f"{database}.of_{segment.lower()}")
+    overwrite_table(table(spark, folder, "nation"), f"{database}.nation")
     return list_tables(spark, database).where("NOT isTemporary").select("tableName", "isTemporary")
 
 
 LIST_TABLES_SQL = """
-SELECT 'nation' AS "tableName", FALSE AS "isTemporary" UNION ALL SELECT 'supplier', FALSE
+SELECT DISTINCT 'of_' || lower(c_mktsegment) AS "tableName", FALSE AS "isTemporary" FROM customer UNION ALL SELECT 'nation', FALSE
 """
 
+
 QUERIES = {
     "group_count": Query(group_count, GROUP_COUNT_SQL),
     "table_preview": Query(table_preview, PREVIEW_SQL),
