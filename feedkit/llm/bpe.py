@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -442,10 +442,10 @@ def _by_size(column: pa.Array) -> Iterator[pa.Array]:
         at += len(block)
 
 
-def _mapped(df: DataFrame, name: str, type_name: str, values: Callable[[pa.Array], pa.Array], of: str) -> DataFrame:
-    """``df`` with column ``name``, made from the batches of column ``of``; other columns pass as they are."""
-    kept = [c for c in df.columns if c != name]
-    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(name, T._parse_datatype_string(type_name))])
+def _mapped(df: DataFrame, made: dict[str, str], values: Callable[[pa.Array], list[pa.Array]], of: str) -> DataFrame:
+    """``df`` with the columns ``made`` (name, type), worked out from column ``of`` slice by slice; other columns pass as they are."""
+    kept = [c for c in df.columns if c not in made]
+    schema = T.StructType([*[df.schema[c] for c in kept], *[T.StructField(n, T._parse_datatype_string(t)) for n, t in made.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -454,11 +454,29 @@ def _mapped(df: DataFrame, name: str, type_name: str, values: Callable[[pa.Array
                 rest = batch.slice(at, len(part))
                 at += len(part)
                 if len(part):
-                    yield pa.RecordBatch.from_arrays([*rest.columns[1:], values(part)], names=[*kept, name])
+                    yield pa.RecordBatch.from_arrays([*rest.columns[1:], *values(part)], names=[*kept, *made])
 
     return df.select(F.col(of).alias("__given"), *[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
 
 
+def _encoded(texts: pa.Array, path: str, pattern: str) -> list[np.ndarray]:
+    return encoder(path, pattern).encode([t or "" for t in texts.to_pylist()])
+
+
+def _ids(found: list[np.ndarray]) -> pa.Array:
+    ends = np.append(0, np.cumsum([len(x) for x in found])).astype("<i4")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+
+
+def _decoded(rows: Iterable[np.ndarray], path: str) -> pa.Array:
+    known, out = vocabulary(path), []
+    for ids in rows:
+        stream = Decoder(known)
+        blocks = [stream.feed(ids[i : i + PIECES]) for i in range(0, len(ids), PIECES)]
+        out.append(b"".join([*blocks, stream.finish()]))
+    return pa.array(out, pa.binary())
+
+
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """The rows with their ``ids`` (array of int): those of the whole ``text``, without special tokens.
 
@@ -466,14 +484,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
     ones, null identifiers and ties included; of other columns only ``text`` goes, and one named ``ids`` is
     replaced. No rows give none.
     """
-
-    def ids(texts: pa.Array) -> pa.Array:
-        library = encoder(path, pattern)
-        found = library.encode([t or "" for t in texts.to_pylist()])
-        ends = np.append(0, np.cumsum([len(x) for x in found])).astype("<i4")
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-
-    return _mapped(docs, "ids", "array<int>", ids, "text").drop("text")
+    return _mapped(docs, {"ids": "array<int>"}, lambda texts: [_ids(_encoded(texts, path, pattern))], "text").drop("text")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -483,12 +494,17 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     lacks fails.
     """
 
-    def decoded(ids: pa.Array) -> pa.Array:
-        known, out = vocabulary(path), []
-        for row in ids:
-            stream, values = Decoder(known), np.asarray(row.values if row.is_valid else [], "<i4")
-            blocks = [stream.feed(values[i : i + PIECES]) for i in range(0, len(values), PIECES)]
-            out.append(b"".join([*blocks, stream.finish()]))
-        return pa.array(out, pa.binary())
+    def decoded(ids: pa.Array) -> list[pa.Array]:
+        return [_decoded((np.asarray(row.values if row.is_valid else [], "<i4") for row in ids), path)]
+
+    return _mapped(rows, {"decoded": "binary"}, decoded, "ids").drop("ids")
+
+
+def there_and_back(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """The rows with ``ids`` as of :func:`encode` and ``decoded`` as of :func:`decode` of them, by one worker for each task."""
+
+    def both(texts: pa.Array) -> list[pa.Array]:
+        found = _encoded(texts, path, pattern)
+        return [_ids(found), _decoded(found, path)]
 
-    return _mapped(rows, "decoded", "binary", decoded, "ids").drop("ids")
+    return _mapped(docs, {"ids": "array<int>", "decoded": "binary"}, both, "text").drop("text")

@@ -61,10 +61,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), ranks)
-    counted = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), "ids")
-    return bpe.decode(counted, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = bpe.there_and_back(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """Spelling variants of words: pairs at one edit by composing automata, and the form that each word varies.
 
 Two words are near if one inserted, deleted or replaced code point makes them equal. The edit lies in one half of the
-shorter word, so the other half is shared, from the start or from the end. Words are partitioned by that half: the initial state that
-an automaton of the whole vocabulary is in after it (or, read backwards, before it). In each partition the rest of the
-words makes a minimised acceptor; the composition acceptor, one-edit transducer, acceptor is walked
-and every accepted pair comes out once, at its first difference.
+shorter word, so the other half is shared, from the start or from the end. Words are partitioned by that half: the
+initial state that an automaton of the whole vocabulary is in after it (or, read backwards, before it). In each
+partition the rest of the words makes a minimised acceptor; the composition of acceptor, one-edit transducer and
+acceptor is walked, and every accepted pair comes out once, at its first difference.
 
 At scale: occurrences are counted map-side first, and only distinct words go on, four rows each. A partition of more
 than ``LARGE`` words is split by halves of what is left to compare, as often as needed, until the words differ in one
@@ -34,14 +34,15 @@ ANY = 1 << 30
 def runs(docs: DataFrame, least: int) -> DataFrame:
     """``doc_id`` and ``run`` for each run of ``least`` or more letters in the whole text, A-Z lower-cased.
 
-    A null text has none. Runs of a repeated row come again; other columns go.
+    A null or empty text has none; one of any length is read whole. Runs of a repeated row come again, and a null ``doc_id``
+    stays null; other columns go. No rows give none.
     """
     found = F.regexp_extract_all("text", F.lit(f"{LETTERS}{{{least},}}+"), F.lit(0))
     return docs.select("doc_id", F.explode(found).alias("run")).select("doc_id", F.translate("run", UPPER, LOWER).alias("run"))
 
 
 def counted(words: DataFrame, least: int, seen: int) -> DataFrame:
-    """``word`` and ``n``: words of at least ``least`` code points that occur ``seen`` times or more."""
+    """``word`` and ``n``: words of at least ``least`` code points that occur ``seen`` times or more. Null words count for none."""
     return words.where(F.char_length("word") >= least).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= seen)
 
 

@@ -3,14 +3,15 @@
 Repaired roles read ``(s?(ua)+)?`` by their initials: an optional system turn, then user and assistant in turn. For
 each length there is one such string, so a conversation is aligned to the string of every feasible length as by Wagner
 and Fischer: keep or re-role a turn, delete it, insert an empty one. Strings that end alike share a table, counted from the
-end. Ukkonen's band around the diagonal holds all cells through which an alignment no dearer than the best one known can pass;
-a first narrow band finds that incumbent. Of the cheapest alignments of all lengths the least audit, as
-ASCII text, is taken.
-
-At scale: one shuffle by conversation. Turns come sorted, and a task holds a few bytes a turn; lines of a long conversation wait in
-a file of the task's own. Long conversations are aligned in blocks of ``BLOCK`` turns: for each role before
-and after a block its best alignment, and these are joined as costs add and audits follow each other. The audit and the hash of a conversation's
-lines go from its first turn to its last, so a conversation stays in one task, as a stream.
+end. Ukkonen's band around the diagonal holds all cells through which an alignment no dearer than the best one known can
+pass; a first narrow band finds that incumbent. Of the cheapest alignments of all lengths the least audit, as ASCII
+text, is taken.
+
+At scale: one shuffle by conversation. Turns come sorted, and a task holds a few bytes a turn; lines of a long
+conversation wait in a file of the task's own. Long conversations are aligned in blocks of ``BLOCK`` turns: for each
+role before and after a block its best alignment, and these are joined as costs add and audits follow each other. The
+audit and the hash of a conversation's lines go from its first turn to its last, so a conversation stays in one task,
+as a stream.
 """
 
 from __future__ import annotations

@@ -119,6 +119,11 @@ def test_rows(edges, empty, library):
     back = bpe.decode(rows.withColumn("decoded", F.lit("own")), PATH)
     assert sorted(bytes(r["decoded"]) for r in back.collect()) == sorted((r["text"] or "").encode() for r in edges.collect())
     assert bpe.decode(bpe.encode(empty, PATH), PATH).count() == 0
+    both = bpe.there_and_back(edges, PATH)
+    assert both.columns == [*[c for c in edges.columns if c != "text"], "ids", "decoded"]
+    assert sorted((str(r["doc_id"]), r["ids"]) for r in both.collect()) == want
+    assert sorted(bytes(r["decoded"]) for r in both.collect()) == sorted((r["text"] or "").encode() for r in edges.collect())
+    assert bpe.there_and_back(empty, PATH).count() == 0
     nothing = rows.limit(1).withColumn("ids", F.lit(None).cast("array<int>"))
     assert [bytes(r["decoded"]) for r in bpe.decode(nothing, PATH).collect()] == [b""]
 
