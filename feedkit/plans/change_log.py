@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.functions.names import column, quoted, ref, resolve
+from feedkit.functions.names import column, name_difference, quoted, resolve
 from feedkit.functions.types import spark_type
 from feedkit.operators.digest import ACTIONS, DIGEST, changes_by_digest, with_digest
 from feedkit.operators.dimension import NO_START, Load
@@ -125,6 +125,25 @@ def first_rows(rows: DataFrame, name: str, flag_col: str) -> None:
     append_changes(with_digest(rows.select(*[column(c) for c in about.columns]), load), about)
 
 
+def merge_logged(changes: DataFrame, name: str, flag_col: str) -> int:
+    """Merge rows into the dimension in place: update where key and start date match, insert otherwise.
+
+    Columns go by name, whatever their order. A key and start date may occur once in ``changes``, which is checked first.
+    Returns the number of the load, or 0 without rows.
+    """
+    spark = changes.sparkSession
+    about, held = logged(spark, name), spark.table(name).schema.fields
+    different = name_difference(changes.columns, about.columns)
+    if different:
+        raise ValueError(f"columns found in only one of changes and {name}: {' '.join(different)}")
+    names = resolve(about.columns, changes.columns, "changes")
+    rows = changes.select(*[column(n).cast(f.dataType).alias(f.name) for n, f in zip(names, held)])
+    by = [*[column(k) for k in about.keys], F.coalesce(column(about.start), F.expr(NO_START)).alias("start")]
+    if rows.groupBy(*by).count().where("`count` > 1").take(1):
+        raise ValueError(f"several changes of one row: {', '.join(about.keys)} and the start date occur more than once")
+    return append_changes(with_digest(rows, Load.of(about.keys, about.start, about.end, flag_col)), about)
+
+
 def append_changes(changes: DataFrame, about: Logged) -> int:
     """Append rows that take the place of those with their key and start date; the number of the load, or 0 without rows."""
     spark = changes.sparkSession

@@ -12,7 +12,7 @@ from feedkit.functions.hashing import blank_digest, row_digest
 from feedkit.operators.digest import DIGEST, changes_by_digest, scd2_by_digest, with_digest
 from feedkit.operators.dimension import Load
 from feedkit.operators.type2 import change_set, scd2, stats
-from feedkit.plans import LoadRejected, change_log, create_logged, first_rows, fold, load_logged
+from feedkit.plans import LoadRejected, change_log, create_logged, first_rows, fold, load_logged, merge_logged
 from feedkit.sinks.files import location_of
 
 COLUMNS = {"store_id": "VARCHAR", "location": "VARCHAR", "value": "INTEGER", "start_date": "DATE", "end_date": "DATE", "active_flag": "VARCHAR"}
@@ -187,3 +187,18 @@ def test_a_cut_fold_changes_nothing_and_readers_keep_their_base(spark, rows, dim
     assert rows(spark.table(name)) == before
     plan = spark.table(name).where("end_date = DATE'9999-12-31'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(end_date" in plan
+
+
+def test_merge_in_place(spark, rows, dimension):
+    name, day = dimension(), datetime.date(2023, 1, 1)
+    first = [("A", "x", 1, day, OPEN, "Y"), ("B", "x", 1, None, OPEN, "Y")]
+    assert merge_logged(spark.createDataFrame(first, DIMENSION), name, "active_flag") == 1
+    changes = [("A", "y", 2, day, OPEN, "Y"), ("B", "z", 3, None, OPEN, "Y"), ("A", "x", 1, datetime.date(2022, 1, 1), day, "N")]
+    frame = spark.createDataFrame(changes, DIMENSION)
+    assert merge_logged(frame.select(*[c.upper() for c in reversed(frame.columns)]), name, "active_flag") == 2
+    assert rows(spark.table(name)) == sorted(changes, key=repr)
+    assert merge_logged(frame.limit(0), name, "active_flag") == 0
+    with pytest.raises(ValueError, match="several changes of one row"):
+        merge_logged(frame.unionByName(frame), name, "active_flag")
+    with pytest.raises(ValueError, match="only one of changes"):
+        merge_logged(frame.drop("value"), name, "active_flag")

@@ -16,7 +16,7 @@ from feedkit.operators import type2 as steps
 from feedkit.operators.digest import DIGEST, scd2_by_digest, with_digest
 from feedkit.operators.dimension import Load
 from feedkit.operators.type2 import scd2
-from feedkit.plans import create_dimension, create_logged, first_rows, fold, load_dimension, load_logged
+from feedkit.plans import create_dimension, create_logged, first_rows, fold, load_dimension, load_logged, merge_logged
 from feedkit.sinks import create_table
 from feedkit.sources import read_feed
 from feedkit.workdir import new_folder, written
@@ -255,6 +255,14 @@ def scd2_logged_loads(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def scd2_merge_logged(spark: SparkSession, folder: str) -> DataFrame:
+    """The change set merged in place into a dimension with a log, its columns in another order."""
+    name = logged_dimension(spark, folder)
+    changes = steps.change_set(feed(spark, folder), spark.table(name), load_of())
+    merge_logged(changes.select(*reversed(changes.columns)), name, "active_flag")
+    return spark.table(name)
+
+
 LOGGED_SQL = on_tables(
     "before AS (SELECT cust_id, priority, finished, open, tier FROM past)",
     load_sql("dim", "feed", "one", "full"),
@@ -546,6 +554,7 @@ WHERE {DIFFERENT} AND a.start_date <> DATE '{RUN_DATE}'""",
     ),
     "scd2_digest": Query(scd2_digest, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")),
     "scd2_logged_loads": Query(scd2_logged_loads, LOGGED_SQL),
+    "scd2_merge_logged": Query(scd2_merge_logged, on_tables(load_sql("dim", "feed", "loaded"), select="SELECT * FROM loaded")),
     "feed_to_dimension": Query(
         feed_to_dimension, on_tables(load_sql("dim", "feed", "loaded", "full"), select="SELECT * FROM loaded")
     ),
