@@ -264,8 +264,11 @@ def _write_partitions(
     if last:
         done |= {p: f"{last_folder}/{path}" for p, path in _partitions(spark, last, load).items()}
     done |= {p: f"{folder}/{path}" for p, path in new.items() if _is_active(p, load)}
-    for p in sorted(done, key=lambda p: (_is_active(p, load), str(p))):
-        _point(spark, table, _spec(p, load), done[p], p in before)
+    for current in (False, True):
+        some = sorted((p for p in done if _is_active(p, load) == current), key=str)
+        for group in [[p for p in some if p not in before], *[[p] for p in some if p in before]]:
+            if group:
+                _point(spark, table, [(_spec(p, load), done[p]) for p in group], group[0] in before)
     gone = sorted(before - set(done), key=str)
     if gone:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({_spec(p, load)})' for p in gone)}")
@@ -394,11 +397,14 @@ def _day(text: str) -> datetime.date | None:
     return None if text in ("__HIVE_DEFAULT_PARTITION__", "null") else datetime.date.fromisoformat(text)
 
 
-def _point(spark: SparkSession, table: str, spec: str, location: str, there: bool) -> None:
+def _point(spark: SparkSession, table: str, places: list[tuple[str, str]], there: bool) -> None:
+    """Give partitions their locations: new ones by one statement, one that is there by its own."""
     if there:
+        ((spec, location),) = places
         spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
     else:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
+        listed = " ".join(f"PARTITION ({spec}) LOCATION '{location}'" for spec, location in places)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {listed}")
 
 
 def _clustered(spark: SparkSession, table: str) -> bool:
