@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.llm.common import located, locator, stored
-from feedkit.llm.quality import chunks, texts_of
+from feedkit.llm.quality import lean, parts_of, texts_of
 
 BANDS, ROWS = 24, 4
 PLACES = BANDS * ROWS
@@ -132,9 +132,9 @@ def featured(docs: DataFrame, size: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
-            at = 0
-            for some in chunks(texts_of(batch, "text")):
+            for part, some in parts_of(batch, "text"):
                 doc, value = sets_of(some, size)
                 n = np.bincount(doc, minlength=len(some))
                 sig = signatures(doc, value, len(some))
@@ -145,8 +145,6 @@ def featured(docs: DataFrame, size: int) -> DataFrame:
                 raw = value.astype("<u8").tobytes()
                 stop = np.cumsum(n)
                 digests = [hashlib.blake2b(raw[8 * (e - k) : 8 * e], digest_size=16).digest() if k else None for e, k in zip(stop.tolist(), n.tolist(), strict=True)]
-                part = batch.slice(at, len(some))
-                at += len(some)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * BANDS, pa.int32()), pa.array(keys.view(np.int64).ravel(), pa.int64()))
                 columns = [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), bands, pa.array([s.tobytes() for s in small], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "row", "n", "digest", "bands", "sig"])
@@ -233,6 +231,7 @@ def in_blocks(rows: DataFrame, columns: list[str], kinds: str, found) -> DataFra
     names = [k.split()[0] for k in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for table in groups_of(batches, KEY):
             key, i, j = (table.column(c).to_numpy() for c in KEY)
             new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
@@ -312,11 +311,12 @@ def verified(edges: DataFrame, texts: DataFrame, least: int, size: int) -> DataF
     rows = others.unionByName(heads.select("a", "salt", nobody.alias("b"), nobody.alias("ca"), nobody.alias("cb"), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         head, owner = set(), None
-        for batch in batches:
+        for part, texts in (x for batch in batches for x in parts_of(batch, "text")):
             out = []
-            names = [batch.column(k).to_pylist() for k in range(5)]
-            for a, salt, b, ca, cb, text in zip(*names, texts_of(batch, "text"), strict=True):
+            names = [part.column(k).to_pylist() for k in range(5)]
+            for a, salt, b, ca, cb, text in zip(*names, texts, strict=True):
                 own = shingles(words_of(text), size)
                 if b is None:
                     head, owner = own, (a, salt)

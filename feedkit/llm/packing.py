@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedkit.llm.common import parted
-from feedkit.llm.quality import chunks, texts_of
+from feedkit.llm.quality import lean, parts_of
 from feedkit.llm.tokens import word_encoder
 
 PIECE = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
@@ -32,14 +32,12 @@ def encoded(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     """``doc_id``, ``source``, ``tokens`` and ``ids`` (with ``end``) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         encoder = word_encoder(tokenizer)
         close, size = np.array([end], encoder.dtype).tobytes(), encoder.dtype.itemsize
         for batch in batches:
-            at = 0
-            for some in chunks(texts_of(batch, "text")):
+            for part, some in parts_of(batch, "text"):
                 ids = [x + close for x in encoder.encode(some)]
-                part = batch.slice(at, len(some))
-                at += len(some)
                 tokens = pa.array([len(x) // size for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), tokens, pa.array(ids, pa.binary())], names=["doc_id", "source", "tokens", "ids"])
 
@@ -185,6 +183,7 @@ def pack(
 
     def sliced(key, texts, cuts):
         """Of each cut of a part its ids, and what the piece needs of its document."""
+        lean()
         order = np.argsort(texts.column("row").to_numpy())
         at = order[np.searchsorted(texts.column("row").to_numpy()[order], cuts.column("of_row").to_numpy())]
         data, lengths = texts.column("ids").to_pylist(), texts.column("tokens").to_numpy()
@@ -203,6 +202,7 @@ def pack(
     schema = PIECE.format(kind)
 
     def deal(key, table):
+        lean()
         table = table.sort_by([("queue", "ascending"), ("lo", "ascending")])
         number = key[0].as_py()
         dtype = word_encoder(tokenizer).dtype

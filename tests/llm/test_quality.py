@@ -1,8 +1,13 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
-from feedkit.llm.quality import chunks, good, measured, quality, repeats
+from feedkit.llm.near import featured
+from feedkit.llm.packing import encoded
+from feedkit.llm.quality import chunks, good, measured, parts_of, quality, repeats, texts_of
 
 
 def longest_repeat(words, i):
@@ -62,6 +67,47 @@ def test_chunks_never_cut_or_drop():
     assert [t for some in chunks(texts) for t in some] == texts
 
 
+def test_parts_never_cut_or_drop():
+    texts = [None, "a" * (3 << 20), "", "b", None, "é" * (1 << 19), "c" * (1 << 20), ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(parts_of(batch, "text"))
+    assert pa.Table.from_batches([p for p, _ in parts]) == pa.Table.from_batches([batch])
+    assert [t for _, some in parts for t in some] == texts_of(batch, "text") and len(parts) > 3
+    assert list(parts_of(batch.slice(0, 0), "text")) == []
+
+
+@pytest.fixture
+def own_pool():
+    """What the functions of a worker set stays in the test."""
+    before = pa.default_memory_pool()
+    yield
+    pa.set_memory_pool(before)
+
+
+@pytest.mark.parametrize("operator", ["good", "quality", "featured", "encoded"])
+def test_a_worker_holds_a_part_of_a_batch(spark, own_pool, monkeypatch, operator):
+    """A worker's objects and arrays, and what it keeps of Arrow's buffers, do not grow with the batch."""
+    import public_tokenizers
+
+    text = " ".join(f"w{i * i % 70_001}" for i in range(4_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(["s"] * 300), pa.array(range(300)), pa.array([text] * 300)], names=["doc_id", "source", "row", "text"])
+    if operator == "encoded":
+        batch = batch.select(["doc_id", "source", "text"])
+    frame = spark.createDataFrame([], "doc_id long, source string, text string")
+    runs = []
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    monkeypatch.setattr(type(frame), "select", lambda self, *columns: self)
+    {"good": good, "quality": quality, "featured": lambda d: featured(d, 5), "encoded": lambda d: encoded(d, public_tokenizers.path("word_bpe_49k.json"), 2)}[operator](frame)
+    list(runs[0](iter([batch.slice(0, 1)])))  # what a worker learns once
+    tracemalloc.start()
+    rows = sum(len(part) for part in runs[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 300 and batch.nbytes > 7e6
+    assert peak < 100e6
+    assert pa.default_memory_pool().backend_name == "system"
+
+
 def test_edges(edges, empty):
     rows = quality(edges).collect()
     assert len(rows) == edges.count()
